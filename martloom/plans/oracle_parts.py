@@ -11,6 +11,7 @@ import re
 from martloom.functions import rules
 from martloom.functions.keys import NULL_PART, SEPARATOR
 from martloom.functions.measures import EXACT_RATIO
+from martloom.operators import quality
 
 
 def key(*columns: str) -> str:
@@ -573,6 +574,81 @@ LEFT JOIN budget_weekday p ON p.campaign_key = d.campaign_key AND p.day_of_week
 LEFT JOIN campaign_conversions v ON v.campaign_key = d.campaign_key"""
 
 
+# ---- described tables that are no model of their own -------------------------------------------------------------
+
+PARTS["customer_ltv"] = f"""
+SELECT customer_id, CAST(MIN(order_date) AS DATE) AS first_order_date,
+       CAST(COALESCE(SUM(grand_total), 0) AS DECIMAL(28,2)) AS total_ltv
+FROM stg_customers LEFT JOIN stg_orders USING (customer_id) GROUP BY customer_id"""
+
+PARTS["orders_with_profit"] = f"""
+SELECT order_id, customer_id, order_date, {money('line_item_total')} AS total_revenue,
+       {money('line_item_total - cost * quantity')} AS total_profit
+FROM stg_orders JOIN stg_order_items USING (order_id) JOIN stg_products USING (product_id) GROUP BY ALL"""
+
+PARTS["ads_daily"] = f"""
+SELECT date, ad_id, campaign_id, spend, impressions, clicks, {over('spend', 'clicks')} AS cpc,
+       {over('spend', 'impressions', 1000)} AS cpm, {over('clicks', 'impressions', 100)} AS ctr
+FROM (SELECT date, a.ad_id, campaign_id, {money('spend')} AS spend, {total('impressions')} AS impressions,
+             {total('clicks')} AS clicks
+      FROM fact_ad_performance f JOIN dim_ad a USING (ad_key) JOIN dim_adset s ON s.adset_key = a.adset_key
+      JOIN (SELECT campaign_key FROM dim_campaign) c ON c.campaign_key = s.campaign_key GROUP BY ALL)"""
+
+PARTS["sales_ads_daily"] = f"""
+SELECT date, campaign_id, ad_set_id, {money('spend')} AS total_spend, {total('conversions')} AS total_conversions,
+       {money('conversion_value')} AS total_attributed_revenue, store_revenue
+FROM (SELECT f.date, s.campaign_id, s.ad_set_id, f.spend, f.conversions, f.conversion_value, store_revenue
+      FROM fact_ad_performance f JOIN dim_ad a USING (ad_key) JOIN dim_adset s ON s.adset_key = a.adset_key
+      LEFT JOIN (SELECT CAST(order_date AS DATE) AS day, {money('grand_total')} AS store_revenue
+                 FROM fact_order_summary GROUP BY 1) ON day = f.date)
+GROUP BY date, campaign_id, ad_set_id, store_revenue"""
+
+PARTS["cac"] = f"""
+SELECT month_start, total_spend, new_customers, {per('total_spend', 'new_customers')} AS cac
+FROM (SELECT month_start, CAST(SUM(s) AS DECIMAL(28,2)) AS total_spend, CAST(SUM(n) AS BIGINT) AS new_customers
+      FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month_start, amount_spent AS s, 0 AS n FROM stg_ad_spend
+            UNION ALL
+            SELECT CAST(date_trunc('month', MIN(order_date)) AS DATE), 0, 1 FROM stg_orders GROUP BY customer_id)
+      GROUP BY month_start)"""
+
+# ---- data-quality checks -----------------------------------------------------------------------------------------
+
+
+def check_row(table: str, column: str, test: str, failures: str) -> str:
+    return f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{test}' AS test, ({failures}) AS failures"
+
+
+def not_null_rows() -> list[str]:
+    return [
+        check_row(t, c, "not_null", f"SELECT COUNT(*) FROM {t} WHERE {c} IS NULL")
+        for t, columns in quality.NOT_NULL.items() for c in columns
+    ]
+
+
+def unique_rows() -> list[str]:
+    return [
+        check_row(t, c, "unique", f"SELECT COUNT(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL"
+                                  f" GROUP BY {c} HAVING COUNT(*) > 1)")
+        for t, columns in quality.UNIQUE.items() for c in columns
+    ]
+
+
+def relationship_rows() -> list[str]:
+    return [
+        check_row(t, c, "relationships", f"SELECT COUNT(*) FROM {t} WHERE {c} IS NOT NULL"
+                                         f" AND {c} NOT IN (SELECT {name} FROM {parent} WHERE {name} IS NOT NULL)")
+        for t, parents in quality.RELATIONSHIPS.items() for c, (parent, name) in parents.items()
+    ]
+
+
+PARTS["dq_not_null"] = "\n" + "\nUNION ALL\n".join(not_null_rows())
+PARTS["dq_unique"] = "\n" + "\nUNION ALL\n".join(unique_rows())
+PARTS["dq_relationships"] = "\n" + "\nUNION ALL\n".join(relationship_rows())
+PARTS["dq_report"] = (
+    "\nSELECT * FROM dq_not_null UNION ALL SELECT * FROM dq_unique UNION ALL SELECT * FROM dq_relationships"
+)
+
+
 def with_parts(body: str, extra: dict[str, str] | None = None) -> str:
     """The statement with every part it needs put in front, each after the parts it uses itself."""
     parts = {**PARTS, **(extra or {})}

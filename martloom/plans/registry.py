@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martloom.operators import ad_marts, dimensions, facts, sales_marts
+from martloom.operators import ad_marts, dimensions, extensions, facts, quality, sales_marts
+from martloom.operators.incremental import FactTable, month_of_key
+from martloom.operators.report_order import in_report_order
 from martloom.operators.staging import STAGED
 from martloom.plans import oracle_parts as sql
-from martloom.plans.warehouse import DIMENSIONS, FACTS, MARTS, StarWarehouse
-from martloom.session import tune
+from martloom.plans.warehouse import DIMENSIONS, FACTS, MARTS, StarWarehouse, Warehouse
+from martloom.session import tune, work_folder
 from martloom.sources import star
+from martloom.streaming import ads as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,12 +87,81 @@ STEPS: dict[str, Callable[[StarWarehouse], DataFrame]] = {
 }
 
 
+# Fact -> the input that carries its time column.
+TIMED_INPUT = {
+    "fact_sales": ("Orders", "order_date"),
+    "fact_order_summary": ("Orders", "order_date"),
+    "fact_inventory": ("Inventory", "last_restocked"),
+    "fact_ad_performance": ("Ad_Insights", "date"),
+    "fact_adset_performance": ("Ad_Insights", "date"),
+    "fact_campaign_spend": ("Ad_Spend", "date"),
+}
+
+
+def load_twice(w: StarWarehouse, name: str) -> DataFrame:
+    """The fact after two loads: the input as it stood halfway through its dates, then all of it."""
+    source, column = TIMED_INPUT[name]
+    first, last = w.inputs[source].agg(F.to_date(F.min(column)), F.to_date(F.max(column))).first()
+    halfway = first + (last - first) / 2
+    earlier = Warehouse(
+        w.spark, {**w.inputs, source: w.inputs[source].where(F.col(column) < F.lit(halfway))}, w.dates
+    )
+    key, time_column, date_key = facts.LOADS[name]
+    table = FactTable(w.spark, work_folder(w.spark, name), key, time_column, month_of_key(date_key))
+    table.load(lambda mark: earlier.fact(name, mark))
+    table.load(lambda mark: w.fact(name, mark))
+    return table.read()
+
+
+def quality_report(w: StarWarehouse) -> DataFrame:
+    """All checks, over stored dimensions and facts: each is built once and then read by its checks."""
+    return quality.report(w.save(work_folder(w.spark, "tables")).model)
+
+
+def event_files(w: StarWarehouse) -> str:
+    """A pattern, since a stream takes a folder or a pattern but not the name of one file."""
+    return f"{w.folder.rstrip('/')}/event[s].parquet"
+
+
+def streamed_fact(w: StarWarehouse) -> DataFrame:
+    return streams.stream_fact_upsert(
+        w.spark, event_files(w), work_folder(w.spark, "stream"), w["dim_ad"], w["dim_date"]
+    ).read()
+
+
+def streamed_insights(w: StarWarehouse) -> DataFrame:
+    return streams.stream_ad_daily(w.spark, event_files(w), work_folder(w.spark, "stream")).read()
+
+
+STEPS.update({
+    "dq_not_null": lambda w: quality.all_not_null(w.model),
+    "dq_unique": lambda w: quality.all_unique(w.model),
+    "dq_relationships": lambda w: quality.all_relationships(w.model),
+    "dq_report": quality_report,
+    "stream_ad_daily": streamed_insights,
+    "stream_fact_upsert": streamed_fact,
+    "customer_ltv": lambda w: extensions.customer_ltv(w["stg_customers"], w["stg_orders"]),
+    "orders_with_profit": lambda w: extensions.orders_with_profit(
+        w["stg_orders"], w["stg_order_items"], w["stg_products"]
+    ),
+    "ads_daily": lambda w: extensions.ads_daily(w["fact_ad_performance"], *w.hierarchy),
+    "sales_ads_daily": lambda w: extensions.sales_ads_daily(
+        w["fact_ad_performance"], w["fact_order_summary"], *w.hierarchy
+    ),
+    "cac": lambda w: extensions.acquisition_cost(w["stg_ad_spend"], w["stg_orders"]),
+})
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for name in (*STAGED, *DIMENSIONS, *FACTS, *MARTS):
         found[name] = over_warehouse(lambda w, name=name: w[name])
     for name, build in STEPS.items():
         found[name] = over_warehouse(build)
+    for name in FACTS:
+        found[f"incr_{name}"] = over_warehouse(lambda w, name=name: load_twice(w, name))
+    for name in MARTS:
+        found[f"{name}_in_order"] = over_warehouse(lambda w, name=name: in_report_order(name, w[name]))
     return found
 
 
@@ -101,4 +174,10 @@ def oracle_sql() -> dict[str, str]:
     known["customer_segmentation_sample_limits"] = sql.with_parts(
         sql.customer_report(SAMPLE_HIGH_VALUE, SAMPLE_MEDIUM_VALUE)
     )
+    for name in FACTS:
+        known[f"incr_{name}"] = known[name]
+    for name in MARTS:
+        known[f"{name}_in_order"] = known[name]
+    known["stream_ad_daily"] = known["stg_ad_insights"]
+    known["stream_fact_upsert"] = known["fact_ad_performance"]
     return known

@@ -201,8 +201,8 @@ def ads(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def daily_counts(events: DataFrame) -> DataFrame:
-    """Events counted by ad and day: one shuffle of partial sums, also when one ad holds most events.
+def event_counts() -> list[Column]:
+    """Aggregates of the events of one ad and day.
 
     Distinct hours with a click are bits of one integer, so no second, per-hour grouping is needed.
     """
@@ -215,14 +215,19 @@ def daily_counts(events: DataFrame) -> DataFrame:
         return F.coalesce(F.sum(value).cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))
 
     click_hour = F.when(F.col("event_type") == "click", F.expr("shiftleft(1, hour(ts))"))
-    return events.groupBy(F.col("user_id").alias("ad_id"), F.to_date("ts").alias("date")).agg(
+    return [
         count_of("view").alias("views"),
         count_of("click").alias("clicks"),
         value_of("click", "view").alias("spend"),
         count_of("purchase").alias("conversions"),
         value_of("purchase").alias("conversion_value"),
         F.coalesce(F.bit_count(F.bit_or(click_hour)), F.lit(0)).cast("bigint").alias("unique_clicks"),
-    )
+    ]
+
+
+def daily_counts(events: DataFrame) -> DataFrame:
+    """Events counted by ad and day: one shuffle of partial sums, also when one ad holds most events."""
+    return events.groupBy(F.col("user_id").alias("ad_id"), F.to_date("ts").alias("date")).agg(*event_counts())
 
 
 def insight_columns(counted: DataFrame) -> DataFrame:
