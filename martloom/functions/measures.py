@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-# Doubles are averaged in this type: a decimal sum is the same whatever order the partial sums arrive in.
-EXACT_RATIO = "decimal(28,10)"
+# A double is averaged in whole units of this size: a sum of whole numbers is the same whatever order its parts
+# arrive in, and rounding to a unit is the same in every engine with IEEE doubles.
+UNITS_PER_ONE = 1e8
+UNITS = "decimal(18,0)"
 
 
 def _col(c: str | Column) -> Column:
@@ -33,6 +35,14 @@ def mean(c: str | Column) -> Column:
     return F.try_divide(F.sum(_col(c)).cast("double"), F.count(_col(c)).cast("double"))
 
 
+def ratio_units(c: str | Column) -> Column:
+    return F.floor(_col(c) * F.lit(UNITS_PER_ONE) + F.lit(0.5)).cast(UNITS)
+
+
+def mean_of_units(total: Column, rows: Column) -> Column:
+    return F.try_divide(total.cast("double"), rows.cast("double") * F.lit(UNITS_PER_ONE))
+
+
 def mean_of_ratio(c: str | Column) -> Column:
     """Aggregate: average of a double column."""
-    return mean(_col(c).cast(EXACT_RATIO))
+    return mean_of_units(F.sum(ratio_units(c)), F.count(_col(c)))

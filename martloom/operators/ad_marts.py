@@ -12,7 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import rules
-from martloom.functions.measures import EXACT_RATIO, mean, mean_of_ratio, ratio_or_null, ratio_or_zero
+from martloom.functions.measures import (
+    mean,
+    mean_of_ratio,
+    mean_of_units,
+    ratio_or_null,
+    ratio_or_zero,
+    ratio_units,
+)
 from martloom.operators.common import stamped
 from martloom.operators.facts import totals
 from martloom.operators.sales_marts import in_calendar
@@ -309,23 +316,24 @@ def budget_utilization(
     def money(value: Column, window) -> Column:
         return F.sum(value).over(window).cast("decimal(28,2)")
 
-    def average(value: Column, window) -> Column:
-        total, rows = F.sum(value).over(window), F.count(value).over(window)
-        return F.try_divide(total.cast("double"), rows.cast("double"))
+    def average_use(window) -> Column:
+        return mean_of_units(F.sum(ratio_units(use)).over(window), F.count(use).over(window))
 
-    exact_use = use.cast(EXACT_RATIO)
+    average_spent = F.try_divide(
+        F.sum(spent).over(weekday).cast("double"), F.count(spent).over(weekday).cast("double")
+    )
     rolled = daily.select(
         "*",
         money(spent, week).alias("weekly_amount_spent"),
         money(budget, week).alias("weekly_budget"),
-        average(exact_use, week).alias("weekly_avg_utilization"),
+        average_use(week).alias("weekly_avg_utilization"),
         F.min(use).over(week).alias("min_daily_utilization"),
         F.max(use).over(week).alias("max_daily_utilization"),
         money(spent, month).alias("monthly_amount_spent"),
         money(budget, month).alias("monthly_budget"),
-        average(exact_use, month).alias("monthly_avg_utilization"),
-        average(spent, weekday).alias("avg_spend_for_day_of_week"),
-        average(exact_use, weekday).alias("avg_utilization_for_day_of_week"),
+        average_use(month).alias("monthly_avg_utilization"),
+        average_spent.alias("avg_spend_for_day_of_week"),
+        average_use(weekday).alias("avg_utilization_for_day_of_week"),
     )
     # The conversions are those of the campaign's whole life, set against the spend of one day.
     lifetime = campaign_conversions(performance, ad, adset, campaign).drop("total_performance_spend")

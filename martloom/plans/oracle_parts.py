@@ -10,7 +10,6 @@ import re
 
 from martloom.functions import rules
 from martloom.functions.keys import NULL_PART, SEPARATOR
-from martloom.functions.measures import EXACT_RATIO
 from martloom.operators import quality
 
 
@@ -47,7 +46,8 @@ def avg(value: str) -> str:
 
 
 def avg_ratio(value: str) -> str:
-    return avg(f"CAST({value} AS {EXACT_RATIO.upper()})")
+    units = f"CAST(CAST(floor({value} * 1e8 + 0.5) AS BIGINT) AS DECIMAL(18,0))"
+    return f"(CAST(SUM({units}) AS DOUBLE) / (CAST(COUNT({value}) AS DOUBLE) * 1e8))"
 
 
 def cents(value: str) -> str:

@@ -80,9 +80,11 @@ STEPS: dict[str, Callable[[StarWarehouse], DataFrame]] = {
     "budget_monthly": lambda w: ad_marts.budget_monthly(daily_budget(w)),
     "budget_weekday": lambda w: ad_marts.budget_weekday(daily_budget(w)),
     "campaign_conversions": lambda w: ad_marts.campaign_conversions(w["fact_ad_performance"], *w.hierarchy),
-    "product_performance_sample_tiers": lambda w: w.products_with(revenue_tiers=SAMPLE_REVENUE_TIERS),
-    "customer_segmentation_sample_limits": lambda w: w.customers_with(
-        high=SAMPLE_HIGH_VALUE, medium=SAMPLE_MEDIUM_VALUE
+    "product_performance_sample_tiers": lambda w: w.mart(
+        "product_performance", revenue_tiers=SAMPLE_REVENUE_TIERS
+    ),
+    "customer_segmentation_sample_limits": lambda w: w.mart(
+        "customer_segmentation", high=SAMPLE_HIGH_VALUE, medium=SAMPLE_MEDIUM_VALUE
     ),
 }
 
@@ -115,7 +117,7 @@ def load_twice(w: StarWarehouse, name: str) -> DataFrame:
 
 def quality_report(w: StarWarehouse) -> DataFrame:
     """All checks, over stored dimensions and facts: each is built once and then read by its checks."""
-    return quality.report(w.save(work_folder(w.spark, "tables")).model)
+    return quality.report(w.save(work_folder(w.spark, "tables")).__getitem__)
 
 
 def event_files(w: StarWarehouse) -> str:
@@ -134,9 +136,9 @@ def streamed_insights(w: StarWarehouse) -> DataFrame:
 
 
 STEPS.update({
-    "dq_not_null": lambda w: quality.all_not_null(w.model),
-    "dq_unique": lambda w: quality.all_unique(w.model),
-    "dq_relationships": lambda w: quality.all_relationships(w.model),
+    "dq_not_null": lambda w: quality.all_not_null(w.__getitem__),
+    "dq_unique": lambda w: quality.all_unique(w.__getitem__),
+    "dq_relationships": lambda w: quality.all_relationships(w.__getitem__),
     "dq_report": quality_report,
     "stream_ad_daily": streamed_insights,
     "stream_fact_upsert": streamed_fact,

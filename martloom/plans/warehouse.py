@@ -6,6 +6,7 @@ returns a warehouse whose marts read the stored tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, time
 from functools import cached_property
 
@@ -29,168 +30,127 @@ MARTS = (
 
 
 class Warehouse:
-    """Models over the ten input tables (by table name), for given run dates."""
+    """Models over the ten input tables (by table name), for given run dates. ``warehouse[name]`` is a model."""
 
-    def __init__(self, spark: SparkSession, inputs: dict[str, DataFrame], dates: RunDates | None = None):
+    def __init__(self, spark: SparkSession, inputs: Mapping[str, DataFrame], dates: RunDates | None = None):
         self.spark = spark
         self.inputs = inputs
         self._dates = dates
-        self.stored: dict[str, DataFrame] = {}
+        self.tables: dict[str, DataFrame] = {}
 
-    @cached_property
+    @property
     def dates(self) -> RunDates:
         return self._dates
 
-    @property
-    def run_ts(self) -> datetime:
-        """The instant the run counts as: midnight of the report day."""
-        return datetime.combine(self.dates.as_of, time())
-
-    def model(self, name: str) -> DataFrame:
-        """A model by name: the stored table if there is one, else its query."""
-        if name in self.stored:
-            return self.stored[name]
-        if name in STAGED:
-            return stage(name, self.inputs[STAGED[name]])
-        return getattr(self, name)
-
     def __getitem__(self, name: str) -> DataFrame:
-        return self.model(name)
-
-    # ---- dimensions ----
-
-    @cached_property
-    def dim_customer(self) -> DataFrame:
-        return dimensions.dim_customer(self["stg_customers"])
-
-    @cached_property
-    def dim_product(self) -> DataFrame:
-        return dimensions.dim_product(self["stg_products"])
-
-    @cached_property
-    def dim_campaign(self) -> DataFrame:
-        return dimensions.dim_campaign(self["stg_campaigns"])
-
-    @cached_property
-    def dim_adset(self) -> DataFrame:
-        return dimensions.dim_adset(self["stg_adsets"], self["dim_campaign"], self.run_ts)
-
-    @cached_property
-    def dim_ad(self) -> DataFrame:
-        return dimensions.dim_ad(self["stg_ads"], self["dim_adset"])
-
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        return dimensions.dim_date(self.spark, self.dates.start, self.dates.end)
-
-    @cached_property
-    def dim_order_status(self) -> DataFrame:
-        return dimensions.dim_order_status(self["stg_orders"])
-
-    @cached_property
-    def dim_payment_method(self) -> DataFrame:
-        return dimensions.dim_payment_method(self["stg_orders"])
-
-    @cached_property
-    def dim_warehouse(self) -> DataFrame:
-        return dimensions.dim_warehouse(self["stg_inventory"])
-
-    @cached_property
-    def dim_status(self) -> DataFrame:
-        return dimensions.dim_status(self["stg_campaigns"], self["stg_adsets"], self["stg_ads"])
-
-    # ---- facts; ``after`` is the high-water mark of an incremental load ----
+        """A model: the stored table if there is one, else its query, set up once."""
+        if name not in self.tables:
+            if name in STAGED:
+                self.tables[name] = stage(name, self.inputs[STAGED[name]])
+            elif name in DIMENSIONS:
+                self.tables[name] = self.dimension(name)
+            elif name in FACTS:
+                self.tables[name] = self.fact(name)
+            else:
+                self.tables[name] = self.mart(name)
+        return self.tables[name]
+
+    def dimension(self, name: str) -> DataFrame:
+        match name:
+            case "dim_customer":
+                return dimensions.dim_customer(self["stg_customers"])
+            case "dim_product":
+                return dimensions.dim_product(self["stg_products"])
+            case "dim_campaign":
+                return dimensions.dim_campaign(self["stg_campaigns"])
+            case "dim_adset":
+                # The run counts as loaded at midnight of the report day.
+                loaded_at = datetime.combine(self.dates.as_of, time())
+                return dimensions.dim_adset(self["stg_adsets"], self["dim_campaign"], loaded_at)
+            case "dim_ad":
+                return dimensions.dim_ad(self["stg_ads"], self["dim_adset"])
+            case "dim_date":
+                return dimensions.dim_date(self.spark, self.dates.start, self.dates.end)
+            case "dim_order_status":
+                return dimensions.dim_order_status(self["stg_orders"])
+            case "dim_payment_method":
+                return dimensions.dim_payment_method(self["stg_orders"])
+            case "dim_warehouse":
+                return dimensions.dim_warehouse(self["stg_inventory"])
+            case "dim_status":
+                return dimensions.dim_status(self["stg_campaigns"], self["stg_adsets"], self["stg_ads"])
+        raise KeyError(name)
 
     def fact(self, name: str, after=None) -> DataFrame:
-        if name == "fact_sales":
-            return facts.fact_sales(
-                self["stg_order_items"], self["stg_orders"], self["dim_customer"], self["dim_product"],
-                self["dim_date"], after=after,
-            )
-        if name == "fact_order_summary":
-            return facts.fact_order_summary(
-                self["stg_orders"], self["stg_order_items"], self["dim_customer"], self["dim_date"], after=after
-            )
-        if name == "fact_inventory":
-            return facts.fact_inventory(self["stg_inventory"], self["dim_product"], self["dim_date"], after=after)
-        if name == "fact_ad_performance":
-            return facts.fact_ad_performance(self["stg_ad_insights"], self["dim_ad"], self["dim_date"], after=after)
-        if name == "fact_adset_performance":
-            return facts.fact_adset_performance(
-                self["stg_ad_insights"], self["stg_ads"], self["dim_adset"], self["dim_date"], after=after
-            )
-        return facts.fact_campaign_spend(
-            self["stg_ad_spend"], self["dim_campaign"], self["dim_adset"], self["dim_date"], after=after
-        )
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name in FACTS:
-            return self.fact(name)
-        raise AttributeError(name)
-
-    # ---- marts ----
-
-    @property
-    def product_performance(self) -> DataFrame:
-        return self.products_with()
-
-    def products_with(self, **tiers) -> DataFrame:
-        return sales_marts.product_performance(
-            self["fact_sales"], self["fact_inventory"], self["dim_product"], self["dim_date"], **tiers
-        )
-
-    @property
-    def customer_segmentation(self) -> DataFrame:
-        return self.customers_with()
-
-    def customers_with(self, **limits) -> DataFrame:
-        return sales_marts.customer_segmentation(
-            self["fact_order_summary"], self["fact_sales"], self["dim_customer"], self["dim_product"],
-            self["dim_date"], self.dates.as_of, **limits,
-        )
-
-    @property
-    def sales_by_region(self) -> DataFrame:
-        return sales_marts.sales_by_region(self["fact_sales"], self["dim_customer"], self["dim_date"])
-
-    @property
-    def inventory_analysis(self) -> DataFrame:
-        return sales_marts.inventory_analysis(
-            self["fact_inventory"], self["fact_sales"], self["dim_product"], self["dim_warehouse"],
-            self["dim_date"], self.dates.as_of,
-        )
+        """The query of a fact; ``after`` is the high-water mark of an incremental load."""
+        days = self["dim_date"]
+        match name:
+            case "fact_sales":
+                return facts.fact_sales(
+                    self["stg_order_items"], self["stg_orders"], self["dim_customer"], self["dim_product"], days,
+                    after=after,
+                )
+            case "fact_order_summary":
+                return facts.fact_order_summary(
+                    self["stg_orders"], self["stg_order_items"], self["dim_customer"], days, after=after
+                )
+            case "fact_inventory":
+                return facts.fact_inventory(self["stg_inventory"], self["dim_product"], days, after=after)
+            case "fact_ad_performance":
+                return facts.fact_ad_performance(self["stg_ad_insights"], self["dim_ad"], days, after=after)
+            case "fact_adset_performance":
+                return facts.fact_adset_performance(
+                    self["stg_ad_insights"], self["stg_ads"], self["dim_adset"], days, after=after
+                )
+            case "fact_campaign_spend":
+                return facts.fact_campaign_spend(
+                    self["stg_ad_spend"], self["dim_campaign"], self["dim_adset"], days, after=after
+                )
+        raise KeyError(name)
 
     @property
     def hierarchy(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self["dim_ad"], self["dim_adset"], self["dim_campaign"]
 
-    @property
-    def campaign_performance(self) -> DataFrame:
-        return ad_marts.campaign_performance(
-            self["fact_ad_performance"], self["fact_campaign_spend"], *self.hierarchy, self["dim_date"]
-        )
-
-    @property
-    def ad_effectiveness(self) -> DataFrame:
-        return ad_marts.ad_effectiveness(self["fact_ad_performance"], *self.hierarchy)
-
-    @property
-    def targeting_analysis(self) -> DataFrame:
-        return ad_marts.targeting_analysis(self["fact_ad_performance"], *self.hierarchy)
-
-    @property
-    def budget_utilization(self) -> DataFrame:
-        return ad_marts.budget_utilization(
-            self["fact_campaign_spend"], self["fact_ad_performance"], *self.hierarchy, self["dim_date"]
-        )
-
-    # ---- stored tables ----
+    def mart(self, name: str, **limits) -> DataFrame:
+        """The query of a mart, if wanted with other limits than the standard ones."""
+        days = self["dim_date"]
+        match name:
+            case "product_performance":
+                return sales_marts.product_performance(
+                    self["fact_sales"], self["fact_inventory"], self["dim_product"], days, **limits
+                )
+            case "customer_segmentation":
+                return sales_marts.customer_segmentation(
+                    self["fact_order_summary"], self["fact_sales"], self["dim_customer"], self["dim_product"], days,
+                    self.dates.as_of, **limits,
+                )
+            case "sales_by_region":
+                return sales_marts.sales_by_region(self["fact_sales"], self["dim_customer"], days)
+            case "inventory_analysis":
+                return sales_marts.inventory_analysis(
+                    self["fact_inventory"], self["fact_sales"], self["dim_product"], self["dim_warehouse"], days,
+                    self.dates.as_of,
+                )
+            case "campaign_performance":
+                return ad_marts.campaign_performance(
+                    self["fact_ad_performance"], self["fact_campaign_spend"], *self.hierarchy, days
+                )
+            case "ad_effectiveness":
+                return ad_marts.ad_effectiveness(self["fact_ad_performance"], *self.hierarchy)
+            case "targeting_analysis":
+                return ad_marts.targeting_analysis(self["fact_ad_performance"], *self.hierarchy)
+            case "budget_utilization":
+                return ad_marts.budget_utilization(
+                    self["fact_campaign_spend"], self["fact_ad_performance"], *self.hierarchy, days
+                )
+        raise KeyError(name)
 
     def save(self, folder: str, names=(*DIMENSIONS, *FACTS)) -> Warehouse:
         """Store models (each from the ones stored before it) and return the warehouse that reads them."""
         kept = Warehouse(self.spark, self.inputs, self.dates)
         for name in names:
-            kept.stored[name] = save_table(kept.model(name), f"{folder.rstrip('/')}/{name}")
+            kept.tables[name] = save_table(kept[name], f"{folder.rstrip('/')}/{name}")
         return kept
 
 
@@ -198,7 +158,7 @@ class StarWarehouse(Warehouse):
     """The models over a star-schema sample; run dates come from the data when a model first needs them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        super().__init__(spark, star.read_tables(spark, folder))
+        super().__init__(spark, star.StarTables(spark, folder))
         self.folder = folder
 
     @cached_property

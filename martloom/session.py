@@ -17,12 +17,17 @@ RUNTIME_SETTINGS = {
 }
 
 
+TUNED = "spark.martloom.tuned"
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Fill in the settings the session leaves at Spark's default."""
-    chosen = {row["key"] for row in spark.sql("SET").collect()}
-    for name, value in RUNTIME_SETTINGS.items():
-        if name not in chosen:
-            spark.conf.set(name, value)
+    """Fill in, once per session, the settings that still have Spark's default."""
+    if spark.conf.get(TUNED, None) is None:
+        chosen = {row["key"] for row in spark.sql("SET").collect()}
+        for name, value in RUNTIME_SETTINGS.items():
+            if name not in chosen:
+                spark.conf.set(name, value)
+        spark.conf.set(TUNED, "true")
     return spark
 
 

@@ -6,18 +6,35 @@ expressions are exact (integers and decimals), so another SQL engine gives the s
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CENT = "CAST(0.01 AS DECIMAL(3,2))"
-BASIS = "CAST(0.0001 AS DECIMAL(5,4))"
+# Given, so that no job has to open files just to learn them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+CENT = "CAST(0.01 AS DECIMAL(3,2))"
+BASIS = "CAST(0.0001 AS DECIMAL(5,4))"
 
 
 def cents(amount: str) -> str:
@@ -25,6 +42,11 @@ def cents(amount: str) -> str:
     return f"CAST(CAST({amount} AS DECIMAL(18,0)) * {CENT} AS DECIMAL(18,2))"
 
 
+def hundredths(value: str) -> str:
+    """A double with two decimals as a whole number of hundredths."""
+    return f"CAST(floor({value} * 100 + 0.5D) AS BIGINT)"
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Region is the country, nation the state, market segment the city (*); contact details from the id (*)."""
     place = table(spark, folder, "customer").join(
@@ -102,19 +124,24 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per lineitem; order and line number do not identify a line, so five columns make its id."""
-    price, net = "CAST(l_extendedprice AS DECIMAL(18,2))", "CAST(1 - CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(4,2))"
-    return table(spark, folder, "lineitem").selectExpr(
+    """One row per lineitem; order and line number do not identify a line, so five columns make its id.
+
+    Amounts are worked out in whole cents and rounded half up; decimals are made once, at the end.
+    """
+    price, off, tax = hundredths("l_extendedprice"), hundredths("l_discount"), hundredths("l_tax")
+    priced = table(spark, folder, "lineitem").selectExpr(
+        "*", f"{price} AS price", f"{off} AS off", f"{tax} AS tax", "CAST(l_quantity AS BIGINT) AS units"
+    )
+    return priced.selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE)) AS order_item_id",
         "l_orderkey AS order_id",
         "l_partkey AS product_id",
-        "CAST(l_quantity AS INT) AS quantity",
-        cents(f"CAST({price} * 100 AS BIGINT) DIV CAST(l_quantity AS BIGINT)") + " AS unit_price",
-        f"CAST({price} * {net} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS line_item_tax",
+        "CAST(units AS INT) AS quantity",
+        cents("price DIV units") + " AS unit_price",
+        cents("(price * (100 - off) * tax + 5000) DIV 10000") + " AS line_item_tax",
         "CAST(0 AS DECIMAL(18,2)) AS line_item_shipping",
-        f"CAST({price} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS line_item_discount",
-        f"CAST({price} * {net} * CAST(1 + CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(4,2)) AS DECIMAL(18,2))"
-        " AS line_item_total",
+        cents("(price * off + 50) DIV 100") + " AS line_item_discount",
+        cents("(price * (100 - off) * (100 + tax) + 5000) DIV 10000") + " AS line_item_total",
     )
 
 
@@ -293,9 +320,20 @@ BUILDERS = {
 }
 
 
-def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All ten inputs, by table name; nothing is read until a query needs it."""
-    return {name: build(spark, folder) for name, build in BUILDERS.items()}
+class StarTables(Mapping):
+    """All ten inputs, by table name; each is only set up when it is asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return BUILDERS[name](self.spark, self.folder)
+
+    def __iter__(self):
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
 
 
 # The time columns that facts join to the calendar.

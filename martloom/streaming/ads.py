@@ -14,11 +14,8 @@ from pyspark.sql import functions as F
 
 from martloom.operators import facts
 from martloom.operators.incremental import FactTable, month_of_key
-from martloom.sources.star import event_counts, insight_columns
+from martloom.sources.star import SCHEMAS, event_counts, insight_columns
 
-EVENT_SCHEMA = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -39,7 +36,7 @@ def ad_daily(events: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def read_events(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(EVENT_SCHEMA)
+    reader = spark.readStream.schema(SCHEMAS["events"])
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
