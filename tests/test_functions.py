@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import hashlib
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.functions import rules
+from martloom.functions.keys import surrogate_key
+from martloom.functions.measures import mean_of_ratio, ratio_or_null, ratio_or_zero
+from martloom.operators.dimensions import dim_date, dim_date_dynamic
+from tests.samples import by, only
+
+
+def md5(text: str) -> str:
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def test_surrogate_key(spark):
+    df = spark.createDataFrame([(1, "b", None, date(2024, 3, 9))], "a int, b string, c string, d date")
+    row = only(df.select(
+        surrogate_key("a").alias("one"), surrogate_key("a", "b").alias("two"), surrogate_key("b", "c").alias("none"),
+        surrogate_key("a", "d").alias("day"),
+    ))
+    assert row["one"] == md5("1")
+    assert row["two"] == md5("1-b")
+    assert row["none"] == md5("b-_dbt_utils_surrogate_key_null_")
+    assert row["day"] == md5("1-2024-03-09")
+
+
+def test_divide_guards(spark):
+    df = spark.createDataFrame([(1, 4, 2), (2, 4, 0), (3, 4, -2), (4, None, 2), (5, 4, None)], "id int, a int, b int")
+    found = by(df.select("id", ratio_or_zero("a", "b", 100).alias("z"), ratio_or_null("a", "b").alias("n")), "id")
+    assert [found[i]["z"] for i in range(1, 6)] == [200.0, 0.0, 0.0, None, 0.0]
+    assert [found[i]["n"] for i in range(1, 6)] == [2.0, None, -2.0, None, None]
+
+
+def test_mean_does_not_depend_on_order(spark):
+    values = [(0.1,), (0.2,), (0.3,), (1e9,), (-1e9,), (None,)]
+    means = {
+        only(spark.createDataFrame(v, "x double").repartition(n).agg(mean_of_ratio("x").alias("m")))["m"]
+        for v in (values, values[::-1]) for n in (1, 3)
+    }
+    assert means == {0.12}
+
+
+@pytest.mark.parametrize("low, high, label", [
+    (17, 24, "Under 25"), (17, 25, "25-34"), (18, 24, "25-34"), (25, 35, "35-44"), (30, 44, "35-44"),
+    (40, 54, "45-54"), (55, 60, "55+"), (30, 60, "All Ages"), (None, None, "All Ages"), (20, None, "All Ages"),
+])
+def test_age_range(spark, low, high, label):
+    df = spark.createDataFrame([(low, high)], "targeting_age_min int, targeting_age_max int")
+    assert only(df.select(rules.age_range().alias("x")))["x"] == label
+
+
+def test_recommendations(spark):
+    cases = [
+        (0.96, 2.5, "Increase Budget"), (0.96, 2.0, "Maintain Budget"), (0.5, 9.0, "Decrease Budget"),
+        (0.96, 0.5, "Optimize Campaign"), (0.8, 0.5, "Maintain Budget"), (None, 5.0, "Maintain Budget"),
+        (0.96, None, "Maintain Budget"), (0.7, 5.0, "Maintain Budget"),
+    ]
+    df = spark.createDataFrame([(i, u, v) for i, (u, v, _) in enumerate(cases)], "id int, u double, v double")
+    found = by(df.select("id", rules.budget_recommendation(F.col("u"), F.col("v")).alias("x")), "id")
+    assert [found[i]["x"] for i in range(len(cases))] == [c[2] for c in cases]
+
+
+def test_velocity_and_status(spark):
+    df = spark.createDataFrame(
+        [(1, 0.0, None), (2, 1.0, 14.9), (3, 1.0, 15.0), (4, 1.0, 45.0), (5, None, None)],
+        "id int, rate double, supply double",
+    )
+    found = by(df.select("id", rules.inventory_velocity(F.col("rate"), F.col("supply")).alias("x")), "id")
+    assert [found[i]["x"] for i in range(1, 6)] == [
+        "No Movement", "Fast Moving", "Medium Moving", "Slow Moving", "Slow Moving"
+    ]
+    df = spark.createDataFrame([(1, 10, 10), (2, 15, 10), (3, 16, 10), (4, 50, 10), (5, 51, 10), (6, 0, None)],
+                               "id int, q int, r int")
+    found = by(df.select("id", rules.inventory_status(F.col("q"), F.col("r")).alias("x")), "id")
+    assert [found[i]["x"] for i in range(1, 7)] == [
+        "Reorder", "Low Stock", "Adequate", "Adequate", "Overstocked", "Adequate"
+    ]
+
+
+def test_standard_calendar(spark):
+    days = dim_date(spark)
+    assert days.count() == 4017
+    found = by(days.where("full_date IN ('2018-01-01', '2020-12-31', '2021-01-03', '2028-12-30', '2028-12-31')"),
+               "date_key")
+    assert sorted(found) == [20180101, 20201231, 20210103, 20281230]
+    assert found[20201231]["week_of_year"] == 53 and found[20210103]["week_of_year"] == 53
+    sunday = found[20210103]
+    assert (sunday["day_of_week"], sunday["day_name"], sunday["is_weekend"]) == (0, "Sun", True)
+    assert (found[20180101]["day_name"], found[20180101]["is_weekend"]) == ("Mon", False)
+    assert sunday["holiday_name"] is None and sunday["is_holiday"] is False
+
+
+def test_calendar_of_data(spark):
+    bounds = spark.createDataFrame([(date(2024, 2, 28), date(2024, 3, 2))], "start_date date, end_date date")
+    assert [r["date_key"] for r in dim_date_dynamic(bounds).orderBy("date_key").collect()] == [
+        20240228, 20240229, 20240301
+    ]
+    assert dim_date_dynamic(bounds.select(F.col("start_date"), F.col("start_date").alias("end_date"))).count() == 0
+
+
+def test_audit_columns(spark):
+    from martloom.operators.common import stamped
+
+    now = datetime(2024, 5, 6, 7, 8, 9)
+    row = only(stamped(spark.range(1), now, "dw_insert_date", "dw_update_date"))
+    assert row["dw_insert_date"] == row["dw_update_date"] == now
+    assert stamped(spark.range(1), None, "analysis_date").columns == ["id"]
