@@ -19,11 +19,16 @@ def current(dim: DataFrame) -> DataFrame:
     return dim.where("is_current")
 
 
+def moment(when: datetime) -> Column:
+    """A zoneless time as a literal. Spelled out as text: a datetime literal would pass through the local zone."""
+    return F.lit(when.isoformat(" ")).cast("timestamp_ntz")
+
+
 def stamped(df: DataFrame, run_ts: datetime | None, *names: str) -> DataFrame:
     """Audit columns: one instant for the whole run, the same in every task and every retry."""
     if run_ts is None:
         return df
-    return df.select("*", *[F.lit(run_ts).cast("timestamp_ntz").alias(name) for name in names])
+    return df.select("*", *[moment(run_ts).alias(name) for name in names])
 
 
 def days_table(calendar: DataFrame, *columns: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martloom.functions.calendar import calendar_columns
 from martloom.functions.keys import surrogate_key
 from martloom.functions.rules import SOURCE_SYSTEM, status_description
-from martloom.operators.common import current, no_value, stamped
+from martloom.operators.common import current, moment, no_value, stamped
 
 AUDIT = ("dw_insert_date", "dw_update_date")
 
@@ -64,7 +64,7 @@ def dim_adset(
         *"ad_set_id campaign_key campaign_id ad_set_name targeting_age_min targeting_age_max".split(),
         *"targeting_gender targeting_locations targeting_interests bid_strategy bid_amount".split(),
         *"daily_budget start_date end_date status".split(),
-        *_versioned(F.lit(loaded_at).cast("timestamp_ntz")),
+        *_versioned(moment(loaded_at)),
     )
     return stamped(out, run_ts, *AUDIT)
 

@@ -17,13 +17,34 @@ from pyspark.sql import functions as F
 from martloom.functions.keys import surrogate_key
 from martloom.functions.measures import ratio_or_zero
 from martloom.functions.rules import SOURCE_SYSTEM
-from martloom.operators.common import current, days_table, stamped, with_member_key
+from martloom.operators.common import current, days_table, moment, stamped, with_member_key
 
 AUDIT = ("dw_insert_date", "dw_update_date")
 
 
 def newer(df: DataFrame, column: str, after) -> DataFrame:
-    return df if after is None else df.where(F.col(column) > F.lit(after))
+    """Rows above the high-water mark (a date or a time); all rows without one."""
+    if after is None:
+        return df
+    return df.where(F.col(column) > (moment(after) if isinstance(after, datetime) else F.lit(after)))
+
+
+# Order ids are 8 bytes each: this many are some 16 MB on every executor.
+BROADCAST_IDS = 2_000_000
+
+
+def lines_of(order_items: DataFrame, orders: DataFrame, after) -> DataFrame:
+    """Lines that an incremental load may need.
+
+    Lines carry no time, so a load would shuffle all of them to find those of a few new orders. The new order ids are
+    counted first, up to the limit: few are broadcast to thin out the lines as they are read, many are left to the join.
+    """
+    if after is None:
+        return order_items
+    ids = newer(orders, "order_date", after).select(F.col("order_id").cast("bigint"))
+    if ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS:
+        return order_items
+    return order_items.join(F.broadcast(ids), "order_id", "left_semi")
 
 
 def dated(df: DataFrame, day, calendar: DataFrame, key: str) -> DataFrame:
@@ -61,7 +82,7 @@ def fact_sales(
     if after is None:
         lines = order_items.join(products, "product_id").join(headers, "order_id")
     else:
-        lines = order_items.join(headers, "order_id").join(products, "product_id")
+        lines = lines_of(order_items, orders, after).join(headers, "order_id").join(products, "product_id")
     out = lines.select(
         surrogate_key("order_id", "order_item_id").alias("sales_key"),
         *"order_id order_item_id customer_key product_key order_date_key status_key payment_method_key".split(),
@@ -88,7 +109,8 @@ def fact_order_summary(
 ) -> DataFrame:
     """One row per order that has at least one line."""
     headers = _keyed_orders(orders, customer, calendar, status, payment_method, after)
-    out = headers.join(order_item_counts(order_items), "order_id").select(
+    counts = order_item_counts(lines_of(order_items, orders, after))
+    out = headers.join(counts, "order_id").select(
         surrogate_key("order_id").alias("order_summary_key"),
         *"order_id customer_key order_date_key status_key payment_method_key".split(),
         *"total_amount tax_amount shipping_amount discount_amount grand_total".split(),

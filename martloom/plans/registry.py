@@ -116,8 +116,8 @@ def load_twice(w: StarWarehouse, name: str) -> DataFrame:
 
 
 def quality_report(w: StarWarehouse) -> DataFrame:
-    """All checks, over stored dimensions and facts: each is built once and then read by its checks."""
-    return quality.report(w.save(work_folder(w.spark, "tables")).__getitem__)
+    """All checks after a run: dimensions and facts are built once, and their checks read what is stored."""
+    return quality.report(w.run(work_folder(w.spark, "tables")).__getitem__)
 
 
 def event_files(w: StarWarehouse) -> str:

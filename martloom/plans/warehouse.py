@@ -1,7 +1,7 @@
 """All models over one set of input tables.
 
-Every attribute is a lazy DataFrame; nothing runs until one is used. ``save`` stores the dimensions and facts and
-returns a warehouse whose marts read the stored tables.
+Every model is a lazy DataFrame; nothing runs until one is used. ``run`` stores dimensions and facts and returns a
+warehouse whose marts read the stored tables.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.operators import ad_marts, dimensions, facts, sales_marts
+from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.staging import STAGED, stage
 from martloom.sources import star
 from martloom.sources.files import save_table
@@ -29,6 +30,9 @@ MARTS = (
 ).split()
 
 
+STORED_MARTS = ("budget_utilization",)
+
+
 class Warehouse:
     """Models over the ten input tables (by table name), for given run dates. ``warehouse[name]`` is a model."""
 
@@ -146,11 +150,23 @@ class Warehouse:
                 )
         raise KeyError(name)
 
-    def save(self, folder: str, names=(*DIMENSIONS, *FACTS)) -> Warehouse:
-        """Store models (each from the ones stored before it) and return the warehouse that reads them."""
+    def run(self, folder: str, look_back_days: int = 0) -> Warehouse:
+        """A whole run into stored tables, and the warehouse that reads them.
+
+        Dimensions are rebuilt in full. Facts are loaded above their high-water mark, or in full the first time. Marts
+        stay queries over the stored tables, except the budget mart, which is stored too.
+        """
+        folder = folder.rstrip("/")
         kept = Warehouse(self.spark, self.inputs, self.dates)
-        for name in names:
-            kept.tables[name] = save_table(kept[name], f"{folder.rstrip('/')}/{name}")
+        for name in DIMENSIONS:
+            kept.tables[name] = save_table(kept[name], f"{folder}/{name}")
+        for name, (key, time_column, date_key) in facts.LOADS.items():
+            table = FactTable(self.spark, f"{folder}/{name}", key, time_column, month_of_key(date_key))
+            table.load(lambda mark, name=name: kept.fact(name, mark), look_back_days)
+            stored = table.read()
+            kept.tables[name] = kept.fact(name).where("false") if stored is None else stored
+        for name in STORED_MARTS:
+            kept.tables[name] = save_table(kept[name], f"{folder}/{name}")
         return kept
 
 

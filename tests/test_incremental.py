@@ -7,7 +7,8 @@ import pytest
 
 from martloom.operators import facts
 from martloom.operators.incremental import FactTable, latest_per_key, month_of_key
-from tests.samples import at, bag, line, order, shop
+from martloom.plans.warehouse import DIMENSIONS, MARTS
+from tests.samples import at, bag, insight, line, media, order, plan, shop, spent
 
 SCHEMA = "id string, day date, date_key int, value int"
 
@@ -124,3 +125,55 @@ def test_fact_in_two_loads_is_the_fact_in_one(spark, tmp_path):
     dates = {r["order_id"]: r["order_date_key"] for r in table.read().collect()}
     assert dates[1] == 20240601 and table.read().count() == 13
     assert table.read().select("status_key").distinct().count() == 1
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_lines_of_new_orders(spark, monkeypatch, few):
+    """Thinned out by broadcast ids or left to the join: the same rows."""
+    monkeypatch.setattr(facts, "BROADCAST_IDS", 10 if few else 1)
+    orders = [order(i, day=f"2024-01-0{i}") for i in range(1, 6)]
+    w = shop(spark, orders, [line(i, 1 + i % 5) for i in range(1, 12)])
+    after = at("2024-01-02")
+    assert bag(w.fact("fact_sales", after)) == bag(w["fact_sales"].where("order_date > '2024-01-02'"))
+    assert bag(w.fact("fact_order_summary", after)) == bag(
+        w["fact_order_summary"].where("order_date > '2024-01-02'")
+    )
+    assert ("LeftSemi" in plan(w.fact("fact_sales", after))) == few
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_mark_does_not_depend_on_the_zone(spark, tmp_path, zone):
+    orders = [order(1, day="2024-01-02T12:00:00"), order(2, day="2024-01-02T13:00:00")]
+    w = shop(spark, orders, [line(1, 1), line(2, 2)])
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        table = FactTable(spark, str(tmp_path / "f"), "sales_key", "order_date", month_of_key("order_date_key"))
+        table.upsert(w["fact_sales"].where("order_id = 1"))
+        assert [r["order_id"] for r in w.fact("fact_sales", table.high_water()).collect()] == [2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_two_runs(spark, tmp_path):
+    """A second run adds what is new and leaves the rest; its marts are those of the models."""
+    orders = [order(i, day=f"2024-0{i}-01") for i in range(1, 5)]
+    lines = [line(i, 1 + i % 4) for i in range(1, 9)]
+    stock = [{"inventory_id": 1, "product_id": 1, "warehouse_location": "W", "quantity_available": 5}]
+    ads = media(spark, [insight(1, spend=3), insight(2, day="2024-02-03", clicks=1)], [spent(1), spent(2, budget=0)])
+
+    def warehouse(orders):
+        return shop(spark, orders, lines, inventory=stock, **ads.inputs)
+
+    first = warehouse(orders[:2]).run(str(tmp_path))
+    assert first["fact_order_summary"].count() == 2
+    second = warehouse(orders).run(str(tmp_path))
+    whole = warehouse(orders)
+    for name in (*DIMENSIONS, *facts.LOADS, *MARTS):
+        assert bag(second[name].select(whole[name].columns)) == bag(whole[name]), name
+    assert second.run(str(tmp_path))["fact_sales"].count() == 8
+
+
+def test_run_without_rows(spark, tmp_path):
+    ads = media(spark)
+    kept = shop(spark, [], [], **ads.inputs).run(str(tmp_path))
+    assert kept["fact_sales"].count() == 0 and kept["product_performance"].count() == 0

@@ -1,4 +1,5 @@
-"""Every registered query against its SQL check, exactly, on the smallest sample."""
+"""Every registered query against its SQL check, exactly, on the smallest sample; no plan crosses rows or
+leaves the JVM."""
 
 from __future__ import annotations
 
@@ -6,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.check_results import checker, differences
+from tests.samples import plan
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,7 +19,11 @@ def con():
 
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_matches_sql(spark, con, name):
-    assert differences(queries()[name](spark, FOLDER), con, oracle_sql()[name]) == []
+    df = queries()[name](spark, FOLDER)
+    text = plan(df)
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "Pandas", "RDD"):
+        assert operator not in text
+    assert differences(df, con, oracle_sql()[name]) == []
 
 
 def test_entry(spark):

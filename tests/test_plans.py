@@ -11,15 +11,11 @@ from __spark_entry__ import queries
 from martloom.operators.report_order import in_report_order
 from martloom.session import tune, work_folder
 from martloom.sources.schemas import TABLES, ddl
-from tests.samples import DATES, bag, shop
+from tests.samples import DATES, bag, plan, shop
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 @contextmanager
 def settings(spark, **values):
     old = {k: spark.conf.get(k, None) for k in values}
@@ -32,16 +28,6 @@ def settings(spark, **values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-BATCH = [n for n in queries() if not n.startswith(("incr_", "stream_", "dq_report"))]
-
-
-@pytest.mark.parametrize("name", BATCH)
-def test_no_cross_join_and_no_python(spark, name):
-    text = plan(queries()[name](spark, FOLDER))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "Pandas", "RDD"):
-        assert operator not in text
-
-
 def test_scans_are_pruned(spark):
     text = plan(queries()["product_preferences"](spark, FOLDER))
     assert "FileScan parquet [l_orderkey#" in text and "l_extendedprice" not in text and "l_shipdate" not in text
