@@ -611,6 +611,39 @@ FROM (SELECT month_start, CAST(SUM(s) AS DECIMAL(28,2)) AS total_spend, CAST(SUM
             SELECT CAST(date_trunc('month', MIN(order_date)) AS DATE), 0, 1 FROM stg_orders GROUP BY customer_id)
       GROUP BY month_start)"""
 
+PARTS["scd2"] = """
+SELECT product_id, price, MIN(day) AS effective_date, LEAD(MIN(day)) OVER later AS expiration_date,
+       LEAD(MIN(day)) OVER later IS NULL AS is_current
+FROM (SELECT *, SUM(changed) OVER (PARTITION BY product_id ORDER BY day) AS period
+      FROM (SELECT *, CASE WHEN price = LAG(price) OVER (PARTITION BY product_id ORDER BY day) THEN 0 ELSE 1 END
+                          AS changed
+            FROM (SELECT product_id, CAST(order_date AS DATE) AS day, MAX(unit_price) AS price
+                  FROM stg_order_items JOIN stg_orders USING (order_id) GROUP BY ALL)))
+GROUP BY product_id, price, period
+WINDOW later AS (PARTITION BY product_id ORDER BY MIN(day))"""
+
+PARTS["purchase_touches"] = f"""
+SELECT {dec('p.value')} AS value, COUNT(*) FILTER (t.event_type = 'click') AS click,
+       COUNT(*) FILTER (t.event_type = 'view') AS view, arg_min(t.event_type, (t.ts, t.event_id)) AS first_touch,
+       arg_max(t.event_type, (t.ts, t.event_id)) AS last_touch
+FROM events p JOIN events t ON t.user_id = p.user_id AND (t.ts, t.event_id) < (p.ts, p.event_id)
+WHERE p.event_type = 'purchase' AND t.event_type IN ('click', 'view')
+GROUP BY p.event_id, p.value"""
+
+
+def credit(touch: str) -> str:
+    share = f"CAST(floor({dbl(touch)} / {dbl('click + view')} * 1e8 + 0.5) AS BIGINT)"
+    return f"""
+SELECT '{touch}' AS touch, COUNT(*) FILTER (first_touch = '{touch}') AS first_touch_purchases,
+       COUNT(*) FILTER (last_touch = '{touch}') AS last_touch_purchases,
+       CAST(SUM({share}) AS DOUBLE) / 1e8 AS linear_purchases,
+       CAST(SUM(value) FILTER (first_touch = '{touch}') AS DECIMAL(28,2)) AS first_touch_value,
+       CAST(SUM(value) FILTER (last_touch = '{touch}') AS DECIMAL(28,2)) AS last_touch_value
+FROM purchase_touches"""
+
+
+PARTS["attribution"] = credit("click") + "\nUNION ALL" + credit("view")
+
 # ---- data-quality checks -----------------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators import ad_marts, dimensions, extensions, facts, quality, sales_marts
+from martloom.operators import ad_marts, dimensions, extensions, facts, history, quality, sales_marts
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.report_order import in_report_order
 from martloom.operators.staging import STAGED
@@ -150,6 +150,8 @@ STEPS.update({
     "sales_ads_daily": lambda w: extensions.sales_ads_daily(
         w["fact_ad_performance"], w["fact_order_summary"], *w.hierarchy
     ),
+    "scd2": lambda w: history.product_price_history(w["stg_order_items"], w["stg_orders"]),
+    "attribution": lambda w: history.touch_attribution(star.table(w.spark, w.folder, "events")),
     "cac": lambda w: extensions.acquisition_cost(w["stg_ad_spend"], w["stg_orders"]),
 })
 
