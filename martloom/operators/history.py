@@ -67,14 +67,13 @@ def touch_attribution(events: DataFrame) -> DataFrame:
     def count_of(name: str):
         return F.count(F.when(F.col("touch") == name, 1))
 
-    # One row per user and hour, then what all hours before add up to.
-    hourly = timed.where("touch IS NOT NULL").groupBy("user_id", "hour").agg(
-        F.min(F.struct("at", "touch"))["touch"].alias("first_touch"),
-        F.max(F.struct("at", "touch"))["touch"].alias("last_touch"),
+    # One row per user and hour, also for hours with purchases only; then what all hours before add up to.
+    touched = F.when(F.col("touch").isNotNull(), F.struct("at", "touch"))
+    hours = timed.groupBy("user_id", "hour").agg(
+        F.min(touched)["touch"].alias("first_touch"),
+        F.max(touched)["touch"].alias("last_touch"),
         *[count_of(name).alias(name) for name in TOUCHES],
     )
-    # Hours with purchases need the carry too, also if they have no touch themselves.
-    hours = timed.select("user_id", "hour").distinct().join(hourly, ["user_id", "hour"], "left")
     earlier = Window.partitionBy("user_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
     carried = hours.select(
         "user_id",

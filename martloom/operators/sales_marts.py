@@ -25,9 +25,8 @@ def in_calendar(fact: DataFrame, key: str, calendar: DataFrame, *columns: str) -
 # ---- product performance ----------------------------------------------------------------------------------------
 
 
-def product_sales(sales: DataFrame, product: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Units, revenue, profit and prices per product."""
-    sold = (
+def _sold(sales: DataFrame, calendar: DataFrame) -> DataFrame:
+    return (
         in_calendar(sales, "order_date_key", calendar)
         .groupBy("product_key")
         .agg(
@@ -37,25 +36,39 @@ def product_sales(sales: DataFrame, product: DataFrame, calendar: DataFrame) ->
             mean("unit_price").alias("avg_selling_price"),
         )
     )
-    # Cost is one number per product, so profit follows from the two sums.
+
+
+def _held(stock: DataFrame) -> DataFrame:
+    return stock.groupBy("product_key").agg(
+        F.sum("quantity_available").alias("total_inventory"), mean("reorder_level").alias("avg_reorder_level")
+    )
+
+
+def _product_columns() -> list:
+    """Sold products with their dimension row. Cost is one number per product: profit follows from the two sums."""
     profit = F.col("total_revenue") - F.col("cost") * F.col("total_units_sold").cast("decimal(18,0)")
-    described = product.select("product_key", "product_id", "product_name", "category", "vendor", "cost", "price")
-    return sold.join(described, "product_key").select(
+    return [
         *"product_id product_name category vendor total_units_sold total_revenue".split(),
         profit.cast("decimal(28,2)").alias("total_profit"),
         "order_count",
         "avg_selling_price",
         F.col("price").alias("list_price"),
         ratio_or_null("avg_selling_price", "price").alias("avg_discount_ratio"),
-    )
+    ]
+
+
+def _described(product: DataFrame) -> DataFrame:
+    return product.select(*"product_key product_id product_name category vendor cost price".split())
+
+
+def product_sales(sales: DataFrame, product: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Units, revenue, profit and prices per product."""
+    return _sold(sales, calendar).join(_described(product), "product_key").select(*_product_columns())
 
 
 def product_inventory(stock: DataFrame, product: DataFrame) -> DataFrame:
     """Stock on hand per product."""
-    held = stock.groupBy("product_key").agg(
-        F.sum("quantity_available").alias("total_inventory"), mean("reorder_level").alias("avg_reorder_level")
-    )
-    return held.join(product.select("product_key", "product_id"), "product_key").select(
+    return _held(stock).join(product.select("product_key", "product_id"), "product_key").select(
         "product_id", "total_inventory", "avg_reorder_level"
     )
 
@@ -69,8 +82,13 @@ def product_performance(
     profit_tiers=rules.PROFIT_TIERS,
     run_ts: datetime | None = None,
 ) -> DataFrame:
+    """Sales next to stock. Both are summed and joined by product key, so both sums leave them partitioned alike."""
     margin = ratio_or_null("total_profit", "total_revenue")
-    out = product_sales(sales, product, calendar).join(product_inventory(stock, product), "product_id", "left").select(
+    described = _sold(sales, calendar).join(_described(product), "product_key")
+    both = described.join(_held(stock), "product_key", "left").select(
+        *_product_columns(), "total_inventory", "avg_reorder_level"
+    )
+    out = both.select(
         *"product_id product_name category vendor total_units_sold total_revenue total_profit".split(),
         margin.alias("profit_margin"),
         *"order_count avg_selling_price list_price avg_discount_ratio total_inventory avg_reorder_level".split(),
@@ -247,39 +265,52 @@ def sales_by_region(
 RATE_DAYS = 90
 
 
-def inventory_status(
-    stock: DataFrame, product: DataFrame, warehouse: DataFrame, as_of: date
-) -> DataFrame:
-    """Stock records with product and warehouse, and days since the last delivery (negative for one yet to come)."""
-    described = current(product).select(*"product_key product_id product_name category vendor".split())
-    places = warehouse.select("warehouse_key", "warehouse_location")
-    return stock.join(described, "product_key").join(places, "warehouse_key").select(
-        *"product_key product_id product_name category vendor warehouse_location".split(),
-        *"quantity_available reorder_level last_restocked".split(),
-        F.datediff(F.lit(as_of), F.to_date("last_restocked")).alias("days_since_restock"),
+STOCK_COLUMNS = (
+    "product_key product_id product_name category vendor warehouse_location quantity_available reorder_level"
+    " last_restocked"
+).split()
+
+
+def _described_stock(stock: DataFrame, product: DataFrame) -> DataFrame:
+    return stock.join(
+        current(product).select(*"product_key product_id product_name category vendor".split()), "product_key"
     )
 
 
-def sales_velocity(sales: DataFrame, product: DataFrame, calendar: DataFrame, as_of: date) -> DataFrame:
-    """Units per day with sales, over the last 90 days.
+def _days_since_restock(as_of: date):
+    """Negative for a delivery yet to come."""
+    return F.datediff(F.lit(as_of), F.to_date("last_restocked")).alias("days_since_restock")
+
+
+def inventory_status(stock: DataFrame, product: DataFrame, warehouse: DataFrame, as_of: date) -> DataFrame:
+    """Stock records with product and warehouse, and days since the last delivery."""
+    places = warehouse.select("warehouse_key", "warehouse_location")
+    placed = _described_stock(stock, product).join(places, "warehouse_key")
+    return placed.select(*STOCK_COLUMNS, _days_since_restock(as_of))
+
+
+def _recent_sales(sales: DataFrame, calendar: DataFrame, as_of: date) -> DataFrame:
+    """Units per day with sales, over the last 90 days, by product key.
 
     The window is also a condition on the date key, so a fact stored by date reads only those days.
     """
     since = as_of - timedelta(days=RATE_DAYS)
     recent = sales.where(F.col("order_date_key") >= since.year * 10000 + since.month * 100 + since.day)
     days = calendar.where(F.col("full_date") >= F.lit(since))
-    sold = (
+    return (
         in_calendar(recent, "order_date_key", days, "full_date")
         .groupBy("product_key")
         .agg(
             F.sum("quantity").alias("total_quantity_sold"), F.count_distinct("full_date").alias("days_with_sales")
         )
+        .withColumn("daily_sales_rate", ratio_or_null("total_quantity_sold", "days_with_sales"))
     )
-    return sold.join(product.select("product_key", "product_id"), "product_key").select(
-        "product_id",
-        "total_quantity_sold",
-        "days_with_sales",
-        ratio_or_null("total_quantity_sold", "days_with_sales").alias("daily_sales_rate"),
+
+
+def sales_velocity(sales: DataFrame, product: DataFrame, calendar: DataFrame, as_of: date) -> DataFrame:
+    ids = product.select("product_key", "product_id")
+    return _recent_sales(sales, calendar, as_of).join(ids, "product_key").select(
+        "product_id", "total_quantity_sold", "days_with_sales", "daily_sales_rate"
     )
 
 
@@ -292,12 +323,14 @@ def inventory_analysis(
     as_of: date,
     run_ts: datetime | None = None,
 ) -> DataFrame:
+    """Stock against recent sales. Product and sales are both joined by product key, from one shuffle of the stock."""
     rate, on_hand, reorder = F.col("daily_sales_rate"), F.col("quantity_available"), F.col("reorder_level")
     supply = F.when(rate > 0, on_hand.cast("double") / rate)
-    held = inventory_status(stock, product, warehouse, as_of)
-    out = held.join(sales_velocity(sales, product, calendar, as_of), "product_id", "left").select(
-        *"product_key product_id product_name category vendor warehouse_location".split(),
-        *"quantity_available reorder_level last_restocked days_since_restock".split(),
+    places = warehouse.select("warehouse_key", "warehouse_location")
+    held = _described_stock(stock, product).join(_recent_sales(sales, calendar, as_of), "product_key", "left")
+    out = held.join(places, "warehouse_key").select(
+        *STOCK_COLUMNS,
+        _days_since_restock(as_of),
         "total_quantity_sold",
         "daily_sales_rate",
         supply.alias("days_of_supply"),
