@@ -87,7 +87,7 @@ CALENDAR_START, CALENDAR_END = date(2018, 1, 1), date(2028, 12, 31)
 
 def dim_date(spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END) -> DataFrame:
     """One row per day from ``start`` up to, not including, ``end``."""
-    bounds = spark.range(1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
+    bounds = spark.range(0, 1, 1, 1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
     return dim_date_dynamic(bounds)
 
 

@@ -50,7 +50,7 @@ def lines_of(order_items: DataFrame, orders: DataFrame, after) -> DataFrame:
 def dated(df: DataFrame, day, calendar: DataFrame, key: str) -> DataFrame:
     """Keep rows whose day is in the calendar, with its date key."""
     days = days_table(calendar, F.col("full_date").alias("_day"), F.col("date_key").alias(key))
-    return df.withColumn("_day", day).join(days, "_day").drop("_day")
+    return df.join(days, day == F.col("_day"))
 
 
 def _keyed_orders(orders, customer, calendar, status, payment_method, after) -> DataFrame:

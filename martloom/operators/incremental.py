@@ -93,9 +93,13 @@ class FactTable:
 
     # ---- writing ----
 
+    @staticmethod
+    def balanced(rows: DataFrame) -> DataFrame:
+        """Rows shuffled for writing: a month goes into few files, and one too big for a task is split."""
+        return rows.hint("rebalance", F.col("month"))
+
     def _store(self, rows: DataFrame, path: str) -> list[tuple[int, str]]:
-        """Write rows by month. The rebalance puts a month into few files and splits a month too big for one task."""
-        rows.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(path)
+        self.balanced(rows).write.mode("overwrite").partitionBy("month").parquet(path)
         return self._months(path)
 
     def upsert(self, rows: DataFrame) -> None:

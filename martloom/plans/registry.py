@@ -48,7 +48,7 @@ def customers(w: StarWarehouse) -> DataFrame:
 
 
 STEPS: dict[str, Callable[[StarWarehouse], DataFrame]] = {
-    "dim_date_dynamic": lambda w: dimensions.dim_date_dynamic(star.date_bounds(w.spark, w.folder)),
+    "dim_date_dynamic": lambda w: dimensions.dim_date_dynamic(star.date_bounds(w.inputs.raw)),
     "order_item_counts": lambda w: facts.order_item_counts(w["stg_order_items"]),
     "ad_daily_totals": lambda w: facts.ad_daily_totals(w["stg_ad_insights"]),
     "product_sales": lambda w: sales_marts.product_sales(w["fact_sales"], w["dim_product"], w["dim_date"]),
@@ -122,7 +122,7 @@ def quality_report(w: StarWarehouse) -> DataFrame:
 
 def event_files(w: StarWarehouse) -> str:
     """A pattern, since a stream takes a folder or a pattern but not the name of one file."""
-    return f"{w.folder.rstrip('/')}/event[s].parquet"
+    return f"{w.inputs.folder}/event[s].parquet"
 
 
 def streamed_fact(w: StarWarehouse) -> DataFrame:
@@ -151,7 +151,7 @@ STEPS.update({
         w["fact_ad_performance"], w["fact_order_summary"], *w.hierarchy
     ),
     "scd2": lambda w: history.product_price_history(w["stg_order_items"], w["stg_orders"]),
-    "attribution": lambda w: history.touch_attribution(star.table(w.spark, w.folder, "events")),
+    "attribution": lambda w: history.touch_attribution(w.inputs.raw("events")),
     "cac": lambda w: extensions.acquisition_cost(w["stg_ad_spend"], w["stg_orders"]),
 })
 

@@ -173,10 +173,11 @@ class Warehouse:
 class StarWarehouse(Warehouse):
     """The models over a star-schema sample; run dates come from the data when a model first needs them."""
 
+    inputs: star.StarTables
+
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark, star.StarTables(spark, folder))
-        self.folder = folder
 
     @cached_property
     def dates(self) -> RunDates:
-        return star.run_dates(self.spark, self.folder)
+        return star.run_dates(self.inputs.raw)

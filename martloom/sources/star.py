@@ -6,7 +6,7 @@ expressions are exact (integers and decimals), so another SQL engine gives the s
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -29,8 +29,7 @@ SCHEMAS = {
 }
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+Raw = Callable[[str], DataFrame]
 
 
 CENT = "CAST(0.01 AS DECIMAL(3,2))"
@@ -47,11 +46,11 @@ def hundredths(value: str) -> str:
     return f"CAST(floor({value} * 100 + 0.5D) AS BIGINT)"
 
 
-def customers(spark: SparkSession, folder: str) -> DataFrame:
+def customers(raw: Raw) -> DataFrame:
     """Region is the country, nation the state, market segment the city (*); contact details from the id (*)."""
-    place = table(spark, folder, "customer").join(
-        table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    ).join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    place = raw("customer").join(
+        raw("nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).join(raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return place.selectExpr(
         "c_custkey AS customer_id",
         "substring_index(c_name, '#', 1) AS first_name",
@@ -68,9 +67,9 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, folder: str) -> DataFrame:
+def products(raw: Raw) -> DataFrame:
     """Cost is 1.6 times the list price (*), which gives every margin class."""
-    return table(spark, folder, "part").selectExpr(
+    return raw("part").selectExpr(
         "p_partkey AS product_id",
         "p_name AS product_name",
         "concat(p_name, ' ', p_type) AS description",
@@ -85,11 +84,11 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+def orders(raw: Raw) -> DataFrame:
     """Ship-to nation from the order id, missing for every seventh order (*); priority is the payment method (*);
     tax, shipping and discount are shares of the total (*)."""
     total = "CAST(o_totalprice AS DECIMAL(18,2))"
-    staged = table(spark, folder, "orders").selectExpr(
+    staged = raw("orders").selectExpr(
         "o_orderkey AS order_id",
         "o_custkey AS customer_id",
         "o_orderdate AS order_date",
@@ -102,8 +101,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 25 AS INT) END AS ship_nation",
     )
     shipped = staged.join(
-        table(spark, folder, "nation"), F.col("ship_nation") == F.col("n_nationkey"), "left"
-    ).join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        raw("nation"), F.col("ship_nation") == F.col("n_nationkey"), "left"
+    ).join(raw("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     return shipped.selectExpr(
         "order_id",
         "customer_id",
@@ -123,13 +122,13 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, folder: str) -> DataFrame:
+def order_items(raw: Raw) -> DataFrame:
     """One row per lineitem; order and line number do not identify a line, so five columns make its id.
 
     Amounts are worked out in whole cents and rounded half up; decimals are made once, at the end.
     """
     price, off, tax = hundredths("l_extendedprice"), hundredths("l_discount"), hundredths("l_tax")
-    priced = table(spark, folder, "lineitem").selectExpr(
+    priced = raw("lineitem").selectExpr(
         "*", f"{price} AS price", f"{off} AS off", f"{tax} AS tax", "CAST(l_quantity AS BIGINT) AS units"
     )
     return priced.selectExpr(
@@ -145,16 +144,16 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def inventory(spark: SparkSession, folder: str) -> DataFrame:
+def inventory(raw: Raw) -> DataFrame:
     """One stock record per part and supplier that shipped it; stock level from the shipped quantity (*)."""
     shipped = (
-        table(spark, folder, "lineitem")
+        raw("lineitem")
         .groupBy("l_partkey", "l_suppkey")
         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("shipped"), F.max("l_shipdate").alias("last_ship"))
     )
     return (
-        shipped.join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        shipped.join(raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(raw("part"), F.col("l_partkey") == F.col("p_partkey"))
         .selectExpr(
             "concat_ws('-', l_partkey, l_suppkey) AS inventory_id",
             "l_partkey AS product_id",
@@ -171,8 +170,8 @@ AD_SET = "user_id % 50"
 CAMPAIGN = "ad_set_id % 10"
 
 
-def campaigns(spark: SparkSession, folder: str) -> DataFrame:
-    ids = table(spark, folder, "events").selectExpr(f"({AD_SET}) % 10 AS campaign_id").distinct()
+def campaigns(raw: Raw) -> DataFrame:
+    ids = raw("events").selectExpr(f"({AD_SET}) % 10 AS campaign_id").distinct()
     return ids.selectExpr(
         "campaign_id",
         "concat('Campaign ', campaign_id) AS campaign_name",
@@ -189,8 +188,8 @@ def campaigns(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def adsets(spark: SparkSession, folder: str) -> DataFrame:
-    ids = table(spark, folder, "events").selectExpr(f"{AD_SET} AS ad_set_id").distinct()
+def adsets(raw: Raw) -> DataFrame:
+    ids = raw("events").selectExpr(f"{AD_SET} AS ad_set_id").distinct()
     return ids.selectExpr(
         "ad_set_id",
         f"{CAMPAIGN} AS campaign_id",
@@ -209,8 +208,8 @@ def adsets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ads(spark: SparkSession, folder: str) -> DataFrame:
-    ids = table(spark, folder, "events").selectExpr("user_id AS ad_id").distinct()
+def ads(raw: Raw) -> DataFrame:
+    ids = raw("events").selectExpr("user_id AS ad_id").distinct()
     return ids.selectExpr(
         "ad_id",
         "ad_id % 50 AS ad_set_id",
@@ -282,15 +281,15 @@ def insight_columns(counted: DataFrame) -> DataFrame:
     )
 
 
-def ad_insights(spark: SparkSession, folder: str) -> DataFrame:
-    return insight_columns(daily_counts(table(spark, folder, "events")))
+def ad_insights(raw: Raw) -> DataFrame:
+    return insight_columns(daily_counts(raw("events")))
 
 
-def ad_spend(spark: SparkSession, folder: str) -> DataFrame:
+def ad_spend(raw: Raw) -> DataFrame:
     """Spend by ad set and day; some ad sets have no budget (*)."""
     spend = F.when(F.col("event_type").isin("click", "view"), F.col("value").cast("decimal(18,2)"))
     spent = (
-        table(spark, folder, "events")
+        raw("events")
         .groupBy(F.expr(AD_SET).alias("ad_set_id"), F.to_date("ts").alias("date"))
         .agg(F.coalesce(F.sum(spend).cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)")).alias("amount_spent"))
     )
@@ -324,10 +323,17 @@ class StarTables(Mapping):
     """All ten inputs, by table name; each is only set up when it is asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.opened: dict[str, DataFrame] = {}
+
+    def raw(self, name: str) -> DataFrame:
+        """A table of the sample itself."""
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
     def __getitem__(self, name: str) -> DataFrame:
-        return BUILDERS[name](self.spark, self.folder)
+        return BUILDERS[name](self.raw)
 
     def __iter__(self):
         return iter(BUILDERS)
@@ -340,11 +346,11 @@ class StarTables(Mapping):
 DATED = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
 
 
-def date_bounds(spark: SparkSession, folder: str) -> DataFrame:
+def date_bounds(raw: Raw) -> DataFrame:
     """One row: first day of the data, the day after the last one, and the last day with an order."""
     found = None
     for name, column in DATED:
-        part = table(spark, folder, name).agg(
+        part = raw(name).agg(
             F.lit(name).alias("name"), F.min(column).alias("first"), F.max(column).alias("last")
         )
         found = part if found is None else found.union(part)
@@ -364,7 +370,7 @@ class RunDates:
     as_of: date
 
 
-def run_dates(spark: SparkSession, folder: str) -> RunDates:
+def run_dates(raw: Raw) -> RunDates:
     """Run dates read from the data: one row of three scalars."""
-    bounds = date_bounds(spark, folder).first()
+    bounds = date_bounds(raw).first()
     return RunDates(bounds["start_date"], bounds["end_date"], bounds["last_order"] + timedelta(days=1))

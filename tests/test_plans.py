@@ -6,8 +6,10 @@ from contextlib import contextmanager
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from martloom.operators.incremental import FactTable
 from martloom.operators.report_order import in_report_order
 from martloom.session import tune, work_folder
 from martloom.sources.schemas import TABLES, ddl
@@ -140,3 +142,9 @@ def test_work_folder_is_the_shared_one():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_folder(session(None, None, "yarn"), "x")
     assert "martloom-" in work_folder(session(None, None, "local[2]"), "x")
+
+
+def test_writes_are_rebalanced_by_month(spark, tmp_path):
+    table = FactTable(spark, str(tmp_path), "id", "day", F.lit(202401))
+    rows = spark.range(8).select(F.col("id").cast("string").alias("id"), F.current_date().alias("day"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(table.balanced(rows.withColumn("month", table.month)))
