@@ -13,7 +13,7 @@ from martloom.operators.report_order import in_report_order
 from martloom.operators.staging import STAGED
 from martloom.plans import oracle_parts as sql
 from martloom.plans.warehouse import DIMENSIONS, FACTS, MARTS, StarWarehouse, Warehouse
-from martloom.session import tune, work_folder
+from martloom.session import size_shuffles, stored_bytes, tune, work_folder
 from martloom.sources import star
 from martloom.streaming import ads as streams
 
@@ -26,7 +26,9 @@ SAMPLE_HIGH_VALUE, SAMPLE_MEDIUM_VALUE = (3000000, 0.25), (1500000, 0.15)
 
 def over_warehouse(build: Callable[[StarWarehouse], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(StarWarehouse(tune(spark), folder))
+        warehouse = StarWarehouse(tune(spark), folder)
+        size_shuffles(spark, stored_bytes(*[warehouse.inputs.raw(name) for name, _ in star.DATED]))
+        return build(warehouse)
 
     return run
 

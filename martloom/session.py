@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every query relies on. They are set only where the session has not chosen its own value.
 RUNTIME_SETTINGS = {
@@ -15,8 +15,6 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even if a later operator then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-
-
 TUNED = "spark.martloom.tuned"
 
 
@@ -31,6 +29,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BYTES_PER_PARTITION = 1 << 30
+MOST_PARTITIONS = 100_000
+
+
+def stored_bytes(*tables: DataFrame) -> int:
+    """Size of the files behind plain file scans, as Spark listed them."""
+    return sum(int(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for t in tables)
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with one partition per GB of input files, and never with fewer than the session asks for.
+
+    Queries read a few columns of their inputs, so what is shuffled is some fifth of them: 200 MB to a partition, which
+    sorts in memory. Adaptive execution merges partitions that turn out small.
+    """
+    wanted = min(MOST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    return partitions
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, empty folder every executor can reach.
 

@@ -16,6 +16,7 @@ from martloom.operators import facts
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.sources.star import SCHEMAS, event_counts, insight_columns
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,17 +45,21 @@ def read_events(spark: SparkSession, path: str, files_per_batch: int | None = No
 
 def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame], None]) -> None:
     """Process everything there is now, in update mode, one ``write`` per micro-batch."""
-    spark = stream.sparkSession
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE)
     # Read when the query starts; state that outgrows memory stays on disk.
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    query = (
-        stream.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: write(batch))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        query = (
+            stream.writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, _: write(batch))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 def insights_table(spark: SparkSession, folder: str) -> FactTable:

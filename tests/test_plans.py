@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from contextlib import contextmanager
 from types import SimpleNamespace
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from martloom.operators.incremental import FactTable
 from martloom.operators.report_order import in_report_order
-from martloom.session import tune, work_folder
+from martloom.session import INITIAL_PARTITIONS, size_shuffles, stored_bytes, tune, work_folder
 from martloom.sources.schemas import TABLES, ddl
 from tests.samples import DATES, bag, plan, shop
 
@@ -148,3 +149,22 @@ def test_writes_are_rebalanced_by_month(spark, tmp_path):
     table = FactTable(spark, str(tmp_path), "id", "day", F.lit(202401))
     rows = spark.range(8).select(F.col("id").cast("string").alias("id"), F.current_date().alias("day"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(table.balanced(rows.withColumn("month", table.month)))
+
+
+def test_shuffles_grow_with_the_input(spark):
+    with settings(spark, **{"spark.sql.shuffle.partitions": "8", INITIAL_PARTITIONS: "8"}):
+        assert size_shuffles(spark, 5 << 20) == 8
+        assert size_shuffles(spark, 3 << 40) == 3 << 10
+        assert spark.conf.get(INITIAL_PARTITIONS) == str(3 << 10)
+        assert size_shuffles(spark, 1 << 50) == 100_000
+        assert size_shuffles(spark, 0) == 8
+    path = f"{FOLDER}/orders.parquet"
+    assert stored_bytes(spark.read.parquet(path)) == os.path.getsize(path)
+
+
+def test_own_settings_are_kept(spark):
+    fresh = spark.newSession()
+    fresh.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    tune(fresh)
+    assert fresh.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
+    assert fresh.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
