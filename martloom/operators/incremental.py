@@ -1,9 +1,10 @@
 """Incremental fact tables: a high-water mark and a keyed upsert, on plain Parquet files.
 
-Files lie under ``data/version=N/kind=new|kept/month=YYYYMM``. A load adds the folder of its new rows and rewrites only
-the months that hold a row with one of the new keys; all other months stay where they are. What is valid is listed
-in ``log/version=N``, one small file that is written last: a load that dies before has changed nothing, a reader
-always sees a whole version, and no path is read and overwritten at once.
+Files lie under ``data/version=N/kind=new|kept/period=P``, where a period is a month (yyyymm) or a day (yyyymmdd). A
+load adds the folders of its new rows and rewrites only the periods that hold a row with one of the new keys; all
+other periods stay where they are. What is valid is listed in ``log/version=N``, one small file that is written last:
+a load that dies before has changed nothing, a reader always sees a whole version, and no path is read and
+overwritten at once.
 
 One load at a time may write to a table.
 """
@@ -16,7 +17,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "version int, month int, path string"
+LOG_SCHEMA = "version int, period int, path string"
 
 
 def latest_per_key(rows: DataFrame, key: str, time_column: str) -> DataFrame:
@@ -36,17 +37,17 @@ def month_of_key(date_key: str) -> Column:
 
 
 class FactTable:
-    """A stored fact with a unique key, the time column of its loads and the month (yyyymm) a row is stored under.
+    """A stored fact with a unique key, the time column of its loads and the period a row is stored under.
 
-    The month must grow with the time: the high-water mark is looked for in the last month only.
+    The period must grow with the time: the high-water mark is looked for in the last period only.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, unique_key: str, time_column: str, month: Column):
+    def __init__(self, spark: SparkSession, folder: str, unique_key: str, time_column: str, period: Column):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.unique_key = unique_key
         self.time_column = time_column
-        self.month = month
+        self.period = period
 
     # ---- reading ----
 
@@ -55,7 +56,7 @@ class FactTable:
         return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _live(self) -> tuple[int, list[tuple[int, str]]]:
-        """Latest version and its (month, folder) list: a few entries per month."""
+        """Latest version and its (period, folder) list: a few entries per period."""
         where, files = self._files(f"{self.folder}/log")
         if not files.exists(where):
             return 0, []
@@ -63,65 +64,67 @@ class FactTable:
         last = log.agg(F.max("version")).first()[0]
         if last is None:
             return 0, []
-        return last, [(row["month"], row["path"]) for row in log.where(F.col("version") == last).collect()]
+        return last, [(row["period"], row["path"]) for row in log.where(F.col("version") == last).collect()]
 
     def _read(self, paths: list[str]) -> DataFrame:
-        """Rows of some month folders, with their month."""
+        """Rows of some period folders, with their period."""
         found = self.spark.read.option("basePath", f"{self.folder}/data").parquet(*paths)
         return found.drop("version", "kind")
 
-    def _months(self, path: str) -> list[tuple[int, str]]:
+    def _periods(self, path: str) -> list[tuple[int, str]]:
         where, files = self._files(path)
         if not files.exists(where):
             return []
         names = [status.getPath().getName() for status in files.listStatus(where)]
-        return [(int(n.split("=")[1]), f"{path}/{n}") for n in names if n.startswith("month=")]
+        return [(int(n.split("=")[1]), f"{path}/{n}") for n in names if n.startswith("period=")]
 
-    def read(self, first_month: int | None = None) -> DataFrame | None:
-        """The table as of its last load, from ``first_month`` (yyyymm) on; None before the first load."""
+    def read(self, first_period: int | None = None) -> DataFrame | None:
+        """The table as of its last load, from ``first_period`` on; None before the first load."""
         _, live = self._live()
-        paths = [path for month, path in live if first_month is None or month >= first_month]
-        return self._read(paths).drop("month") if paths else None
+        paths = [path for period, path in live if first_period is None or period >= first_period]
+        return self._read(paths).drop("period") if paths else None
 
     def high_water(self):
-        """Largest time stored, read from the last month alone; None for a table without rows."""
+        """Largest time stored, read from the last period alone; None for a table without rows."""
         _, live = self._live()
         if not live:
             return None
-        last = max(month for month, _ in live)
-        return self._read([path for month, path in live if month == last]).agg(F.max(self.time_column)).first()[0]
+        last = max(period for period, _ in live)
+        return self._read([path for period, path in live if period == last]).agg(F.max(self.time_column)).first()[0]
 
     # ---- writing ----
 
     @staticmethod
     def balanced(rows: DataFrame) -> DataFrame:
-        """Rows shuffled for writing: a month goes into few files, and one too big for a task is split."""
-        return rows.hint("rebalance", F.col("month"))
+        """Rows shuffled for writing: a period goes into few files, and one too big for a task is split."""
+        return rows.hint("rebalance", F.col("period"))
 
     def _store(self, rows: DataFrame, path: str) -> list[tuple[int, str]]:
-        self.balanced(rows).write.mode("overwrite").partitionBy("month").parquet(path)
-        return self._months(path)
+        # Replaces the whole folder, also what a dead load may have left there.
+        writer = self.balanced(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("period").parquet(path)
+        return self._periods(path)
 
     def upsert(self, rows: DataFrame) -> None:
         """Replace the stored rows that share a key with ``rows``, and add ``rows``."""
         version, live = self._live()
         version += 1
         base = f"{self.folder}/data/version={version}"
-        new = self._store(rows.withColumn("month", self.month), f"{base}/kind=new")
+        new = self._store(rows.withColumn("period", self.period), f"{base}/kind=new")
         if not new:
             return
         kept: list[tuple[int, str]] = []
         if live:
             keys = self._read([path for _, path in new]).select(self.unique_key)
             stored = self._read([path for _, path in live])
-            # Reads the key column only; at most one row per month comes back.
-            hit = stored.select(self.unique_key, "month").join(keys, self.unique_key, "left_semi")
-            touched = {row["month"] for row in hit.select("month").distinct().collect()}
+            # Reads the key column only; at most one row per period comes back.
+            hit = stored.select(self.unique_key, "period").join(keys, self.unique_key, "left_semi")
+            touched = {row["period"] for row in hit.select("period").distinct().collect()}
             if touched:
-                old = self._read([path for month, path in live if month in touched])
+                old = self._read([path for period, path in live if period in touched])
                 kept = self._store(old.join(keys, self.unique_key, "left_anti"), f"{base}/kind=kept")
-                live = [(month, path) for month, path in live if month not in touched]
-        entries = [(version, month, path) for month, path in (*live, *kept, *new)]
+                live = [(period, path) for period, path in live if period not in touched]
+        entries = [(version, period, path) for period, path in (*live, *kept, *new)]
         log = self.spark.createDataFrame(entries, LOG_SCHEMA).drop("version").coalesce(1)
         log.write.mode("overwrite").parquet(f"{self.folder}/log/version={version}")
 

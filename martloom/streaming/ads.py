@@ -1,8 +1,9 @@
 """Ad insights from a stream of events, and the ad fact kept up to date from it.
 
 Counts by ad and day are kept as streaming state and given up once the watermark has passed the day, so the state is
-bounded by ads times open days. Changed days are written in update mode by the same keyed upsert the batch load uses;
-a micro-batch that is run again after a failure replaces its own rows.
+bounded by ads times open days. Changed rows are written in update mode by the same keyed upsert the batch load uses, into
+tables kept by day, so that only open days are rewritten; a micro-batch that is run again after a failure replaces its
+own rows.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.functions.calendar import date_key
 from martloom.operators import facts
-from martloom.operators.incremental import FactTable, month_of_key
+from martloom.operators.incremental import FactTable
 from martloom.sources.star import SCHEMAS, event_counts, insight_columns
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -63,8 +65,7 @@ def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame],
 
 
 def insights_table(spark: SparkSession, folder: str) -> FactTable:
-    month = (F.year("date") * 100 + F.month("date")).cast("int")
-    return FactTable(spark, folder, "performance_id", "date", month)
+    return FactTable(spark, folder, "performance_id", "date", date_key(F.col("date")))
 
 
 def stream_ad_daily(spark: SparkSession, events: str, folder: str, **reading) -> FactTable:
@@ -78,8 +79,8 @@ def stream_fact_upsert(
     spark: SparkSession, events: str, folder: str, ad: DataFrame, calendar: DataFrame, **reading
 ) -> FactTable:
     """The ad fact, stored and kept up to date from the event stream."""
-    key, time_column, date_key = facts.LOADS["fact_ad_performance"]
-    table = FactTable(spark, f"{folder}/fact_ad_performance", key, time_column, month_of_key(date_key))
+    key, time_column, day = facts.LOADS["fact_ad_performance"]
+    table = FactTable(spark, f"{folder}/fact_ad_performance", key, time_column, F.col(day))
 
     def write(batch: DataFrame) -> None:
         table.upsert(facts.fact_ad_performance(batch, ad, calendar))

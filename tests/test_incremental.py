@@ -48,7 +48,7 @@ def test_upsert_replaces_by_key(spark, stored):
         "a": ("2024-01-01", 1), "b": ("2024-03-01", 2), "c": ("2024-02-01", 1), "d": ("2024-02-05", 2)
     }
     assert stored.high_water() == date(2024, 3, 1)
-    assert {r["id"] for r in stored.read(first_month=202402).collect()} == {"b", "c", "d"}
+    assert {r["id"] for r in stored.read(first_period=202402).collect()} == {"b", "c", "d"}
     assert stored.read().dtypes == rows(spark, ("a", "2024-01-01", 1)).dtypes
 
 
@@ -72,18 +72,22 @@ def test_new_rows_rewrite_no_old_files(spark, stored):
 def test_only_touched_months_are_rewritten(spark, stored):
     stored.upsert(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 1), ("c", "2024-02-02", 1)))
     stored.upsert(rows(spark, ("b", "2024-03-02", 2)))
-    kept = {p.split("month=")[1][:6] for p in files(f"{stored.folder}/data") if "kind=kept" in p}
+    kept = {p.split("period=")[1][:6] for p in files(f"{stored.folder}/data") if "kind=kept" in p}
     assert kept == {"202401"}
 
 
 def test_unfinished_load_is_invisible(spark, stored):
     stored.upsert(rows(spark, ("a", "2024-01-01", 1)))
     # What a load leaves that dies before its log entry: data without a version.
-    rows(spark, ("z", "2024-05-01", 9)).selectExpr("*", "202405 AS month").write.partitionBy("month").parquet(
+    rows(spark, ("z", "2024-05-01", 9)).selectExpr("*", "202405 AS period").write.partitionBy("period").parquet(
         f"{stored.folder}/data/version=2/kind=new"
     )
     assert contents(stored) == {"a": ("2024-01-01", 1)}
-    stored.upsert(rows(spark, ("b", "2024-01-05", 2)))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        stored.upsert(rows(spark, ("b", "2024-01-05", 2)))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert contents(stored) == {"a": ("2024-01-01", 1), "b": ("2024-01-05", 2)}
 
 

@@ -145,10 +145,10 @@ def test_work_folder_is_the_shared_one():
     assert "martloom-" in work_folder(session(None, None, "local[2]"), "x")
 
 
-def test_writes_are_rebalanced_by_month(spark, tmp_path):
+def test_writes_are_rebalanced(spark, tmp_path):
     table = FactTable(spark, str(tmp_path), "id", "day", F.lit(202401))
     rows = spark.range(8).select(F.col("id").cast("string").alias("id"), F.current_date().alias("day"))
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(table.balanced(rows.withColumn("month", table.month)))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(table.balanced(rows.withColumn("period", table.period)))
 
 
 def test_shuffles_grow_with_the_input(spark):
