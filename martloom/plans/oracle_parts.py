@@ -211,7 +211,8 @@ FROM events GROUP BY user_id, CAST(ts AS DATE)"""
 
 PARTS["stg_ad_insights"] = f"""
 SELECT ad_id || '-' || date AS performance_id, ad_id, date, impressions, clicks,
-       {basis('CASE WHEN impressions > 0 THEN clicks * 1000000 // impressions ELSE 0 END')} AS ctr, {dec('spend')} AS spend,
+       {basis('CASE WHEN impressions > 0 THEN clicks * 1000000 // impressions ELSE 0 END')} AS ctr,
+       {dec('spend')} AS spend,
        conversions, {dec('conversion_value')} AS conversion_value,
        {cents('CASE WHEN conversions > 0 THEN CAST(spend * 100 AS BIGINT) // conversions ELSE 0 END')}
            AS cost_per_conversion,
@@ -253,7 +254,8 @@ SELECT o_orderdate AS t FROM orders UNION ALL SELECT l_shipdate FROM lineitem UN
 
 PARTS["dim_date"] = """
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date, CAST(dayofweek(d) AS INTEGER) AS day_of_week,
-       strftime(d, '%a') AS day_name, CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofyear(d) AS INTEGER) AS day_of_year,
+       strftime(d, '%a') AS day_name, CAST(day(d) AS INTEGER) AS day_of_month,
+       CAST(dayofyear(d) AS INTEGER) AS day_of_year,
        CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(month(d) AS INTEGER) AS month_number,
        strftime(d, '%b') AS month_name, CAST(quarter(d) AS INTEGER) AS quarter_number,
        CAST(year(d) AS INTEGER) AS year_number, isodow(d) > 5 AS is_weekend, FALSE AS is_holiday,
@@ -322,7 +324,8 @@ JOIN dim_date ON full_date = CAST(last_restocked AS DATE)"""
 PARTS["fact_ad_performance"] = f"""
 SELECT {key('performance_id')} AS ad_performance_key, performance_id, ad_key, adset_key, date_key, ad_id, date,
        impressions, clicks, ctr, spend, conversions, conversion_value, cost_per_conversion, reach, frequency,
-       unique_clicks, {over('clicks', 'impressions', 100)} AS calculated_ctr, {over('spend', 'clicks')} AS cost_per_click,
+       unique_clicks, {over('clicks', 'impressions', 100)} AS calculated_ctr,
+       {over('spend', 'clicks')} AS cost_per_click,
        {over('conversion_value', 'conversions')} AS avg_conversion_value,
        CASE WHEN conversion_value > 0 THEN {over('conversion_value', 'spend')} ELSE 0 END AS roas
 FROM stg_ad_insights
@@ -428,7 +431,8 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7"""
 
 PARTS["regional_previous_period"] = """
 SELECT country, state, city, year_number, quarter_number, month_number,
-       LAG(total_sales) OVER region_months AS prev_month_sales, LAG(total_sales, 12) OVER region_months AS prev_year_sales
+       LAG(total_sales) OVER region_months AS prev_month_sales,
+       LAG(total_sales, 12) OVER region_months AS prev_year_sales
 FROM regional_sales
 WINDOW region_months AS (PARTITION BY country, state, city ORDER BY year_number, month_number)"""
 
@@ -526,7 +530,8 @@ FROM campaign_metrics LEFT JOIN campaign_month_spend USING (campaign_key, year_n
 PARTS["budget_daily"] = f"""
 SELECT campaign_key, campaign_id, campaign_name, objective, budget_type, c.daily_budget, lifetime_budget, full_date,
        day_of_week, day_name, month_name, {money('amount_spent')} AS daily_amount_spent,
-       {money('f.daily_budget')} AS total_daily_budget, {avg_ratio('budget_utilization_percentage')} AS avg_budget_utilization
+       {money('f.daily_budget')} AS total_daily_budget,
+       {avg_ratio('budget_utilization_percentage')} AS avg_budget_utilization
 FROM (SELECT * EXCLUDE (campaign_id) FROM fact_campaign_spend) f
 JOIN dim_campaign c USING (campaign_key) JOIN dim_date USING (date_key) GROUP BY ALL"""
 
@@ -556,7 +561,8 @@ FROM ad_facts GROUP BY campaign_key"""
 USE, EARNED = per("daily_amount_spent", "total_daily_budget"), per("total_conversion_value", "daily_amount_spent")
 
 PARTS["budget_utilization"] = f"""
-SELECT d.*, w.* EXCLUDE (campaign_key, campaign_id, campaign_name), m.* EXCLUDE (campaign_key, campaign_id, campaign_name),
+SELECT d.*, w.* EXCLUDE (campaign_key, campaign_id, campaign_name),
+       m.* EXCLUDE (campaign_key, campaign_id, campaign_name),
        p.avg_daily_spend AS avg_spend_for_day_of_week, p.avg_utilization AS avg_utilization_for_day_of_week,
        total_conversions, total_conversion_value,
        {over('total_conversions', 'daily_amount_spent')} AS conversions_per_spend_dollar,

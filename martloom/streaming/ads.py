@@ -1,9 +1,9 @@
 """Ad insights from a stream of events, and the ad fact kept up to date from it.
 
 Counts by ad and day are kept as streaming state and given up once the watermark has passed the day, so the state is
-bounded by ads times open days. Changed rows are written in update mode by the same keyed upsert the batch load uses, into
-tables kept by day, so that only open days are rewritten; a micro-batch that is run again after a failure replaces its
-own rows.
+bounded by ads times open days. Changed rows are written in update mode by the same keyed upsert the batch load uses,
+into tables kept by day, so that only open days are rewritten; a micro-batch that is run again after a failure
+replaces its own rows.
 """
 
 from __future__ import annotations

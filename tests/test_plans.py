@@ -117,7 +117,9 @@ def test_hot_keys_are_split(spark, hot, name):
 
 def test_ties_do_not_make_one_range(spark):
     """Two thirds of the rows share one value of the leading sort column."""
-    rows = spark.range(30000).selectExpr("CASE WHEN id % 3 > 0 THEN 0.0 ELSE id END AS roas", "sha(CAST(id AS STRING)) AS ad_key")
+    rows = spark.range(30000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 0.0 ELSE id END AS roas", "sha(CAST(id AS STRING)) AS ad_key"
+    )
     with settings(spark, **{"spark.sql.adaptive.enabled": "false"}):
         sizes = in_report_order("ad_effectiveness", rows).rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
     assert max(sizes) < 10000
