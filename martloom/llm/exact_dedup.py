@@ -60,7 +60,7 @@ def directory(keys: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
         full = (F.col("held") > capacity) & F.lit(depth < fine)
         done = sizes.where(~full).select(F.lit(depth).alias("depth"), "bucket", F.col("held").alias("entries"))
         settled = done if settled is None else settled.unionByName(done)
-        overfull = at.join(sizes.where(full).select("bucket"), "bucket", "left_semi")
+        overfull = stored(at.join(sizes.where(full).select("bucket"), "bucket", "left_semi"), "hash-overfull")
         if overfull.isEmpty():
             break
     return settled

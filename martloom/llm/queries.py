@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import exact_dedup, ngram_join
+from martloom.llm import bpe, exact_dedup, ngram_join, quality_compression, token_ids, toxicity
 from martloom.llm.common import table
 
 
@@ -12,6 +13,20 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_compression.scores(documents(spark, folder), table(spark, folder, "labels"))
+
+
+def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return token_ids.round_trip(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(
+        documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, folder))
 
@@ -20,7 +35,16 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_exact_dedup)}
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(documents(spark, folder), table(spark, folder, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_token_ids, op3_byte_bpe, op4_ngram_jaccard_join, op5_exact_dedup, op10_toxicity,
+    )
+}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
