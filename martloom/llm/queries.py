@@ -5,7 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import bpe, exact_dedup, ngram_join, quality_compression, token_ids, toxicity
+from pyspark.sql import functions as F
+
+from martloom.llm import (
+    bpe, exact_dedup, license_scan, lm_scoring, ngram_join, quality_compression, quality_rules, source_mixing, token_ids,
+    toxicity,
+)
 from martloom.llm.common import table
 
 
@@ -35,6 +40,24 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Target: the documents that are labelled good."""
+    target = table(spark, folder, "labels").where(F.col("quality") == 1)
+    return lm_scoring.cross_entropy_difference(documents(spark, folder), target)
+
+
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mixing.sampled(documents(spark, folder))
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(documents(spark, folder))
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.verdicts(documents(spark, folder))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scores(documents(spark, folder), table(spark, folder, "labels"))
 
@@ -42,7 +65,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op2_token_ids, op3_byte_bpe, op4_ngram_jaccard_join, op5_exact_dedup, op10_toxicity,
+        op1_quality_classifier, op2_token_ids, op3_byte_bpe, op4_ngram_jaccard_join, op5_exact_dedup,
+        op6_lm_scoring, op7_source_mixing, op8_license_scan, op9_quality_rules, op10_toxicity,
     )
 }
 
