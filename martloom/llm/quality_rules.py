@@ -33,11 +33,11 @@ LEAST_WORDS, MOST_REPEATED = 10, 20
 DIMENSIONS = 5
 # Least standard deviations of the transformed statistics: smaller differences are not worth a rejection, and a statistic
 # that is the same in most documents of a group must not make its covariance singular.
-FLOORS = (0.5, 0.2, 0.15, 0.35, 0.2)
+FLOORS = (0.7, 0.25, 0.15, 0.4, 0.3)
 SUBSET, STEPS, BINS = 0.75, 4, 256
 LEAST_GROUP = 50
-# Quantiles of the chi-squared distribution with five degrees of freedom: 0.99999 and the median.
-CUTOFF, MEDIAN = 30.86, 4.351
+# Quantiles of the chi-squared distribution with five degrees of freedom: one in 16 million beyond, and the median.
+CUTOFF, MEDIAN = 41.9, 4.351
 
 
 def text_counts(texts: pa.Array) -> list[pa.Array]:
