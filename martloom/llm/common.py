@@ -1,6 +1,6 @@
 """What the text operators share: stored intermediate tables and Arrow maps over a text column.
 
-Python work goes through ``mapInArrow`` in slices of a few megabytes of text, so memory does not depend on how many rows
+Python work goes through ``mapInArrow`` in slices of a megabyte of text, so memory does not depend on how many rows
 Spark puts into a batch; only a single text longer than a slice is held whole.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from martloom.session import work_folder
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -47,7 +47,7 @@ def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
 def powers_for(length: int) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << max(16, (length - 1).bit_length())
     # Tables beyond one slice serve a single long text and are not kept.
-    up, down = powers(size) if size <= 1 << 23 else powers.__wrapped__(size)
+    up, down = powers(size) if size <= 1 << 21 else powers.__wrapped__(size)
     return up[:length], down[:length]
 
 
