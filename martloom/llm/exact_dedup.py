@@ -69,7 +69,7 @@ def directory(keys: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
 def placed(keys: DataFrame, buckets: DataFrame) -> DataFrame:
     """Each key with its bucket: for every depth that the directory uses, the leading bits are looked up."""
     depths = [r["depth"] for r in buckets.select("depth").distinct().collect()]  # at most MOST_BITS + 1
-    at = F.array(*[F.struct(F.lit(d).alias("depth"), prefix(F.col("key"), d).alias("bucket")) for d in sorted(depths)])
+    at = F.array(*[F.struct(F.lit(d).alias("depth"), prefix(F.col("key"), d).alias("bucket")) for d in sorted(depths) or [0]])
     wide = keys.withColumn("at", F.explode(at)).select("*", "at.*").drop("at")
     return wide.join(buckets.select("depth", "bucket"), ["depth", "bucket"], "left_semi")
 
