@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 # A double is averaged in whole units of this size: a sum of whole numbers is the same whatever order its parts
-# arrive in, and rounding to a unit is the same in every engine with IEEE doubles.
-UNITS_PER_ONE = 1e8
-UNITS = "decimal(18,0)"
+# arrive in. Averages from 1e-12 up to 1e12 keep their digits over as many rows.
+UNITS_PER_ONE = 1e12
+UNITS = "decimal(38,0)"
 
 
 def _col(c: str | Column) -> Column:
@@ -36,7 +36,7 @@ def mean(c: str | Column) -> Column:
 
 
 def ratio_units(c: str | Column) -> Column:
-    return F.floor(_col(c) * F.lit(UNITS_PER_ONE) + F.lit(0.5)).cast(UNITS)
+    return (_col(c).cast("double") * F.lit(UNITS_PER_ONE)).cast(UNITS)
 
 
 def mean_of_units(total: Column, rows: Column) -> Column:

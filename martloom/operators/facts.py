@@ -29,22 +29,15 @@ def newer(df: DataFrame, column: str, after) -> DataFrame:
     return df.where(F.col(column) > (moment(after) if isinstance(after, datetime) else F.lit(after)))
 
 
-# Order ids are 8 bytes each: this many are some 16 MB on every executor.
-BROADCAST_IDS = 2_000_000
-
-
 def lines_of(order_items: DataFrame, orders: DataFrame, after) -> DataFrame:
     """Lines that an incremental load may need.
 
-    Lines carry no time, so a load would shuffle all of them to find those of a few new orders. The new order ids are
-    counted first, up to the limit: few are broadcast to thin out the lines as they are read, many are left to the join.
+    Lines carry no time: those of the new orders are found by id. Spark broadcasts the ids if they turn out few.
     """
     if after is None:
         return order_items
     ids = newer(orders, "order_date", after).select(F.col("order_id").cast("bigint"))
-    if ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS:
-        return order_items
-    return order_items.join(F.broadcast(ids), "order_id", "left_semi")
+    return order_items.join(ids, "order_id", "left_semi")
 
 
 def dated(df: DataFrame, day, calendar: DataFrame, key: str) -> DataFrame:

@@ -60,11 +60,14 @@ class FactTable:
         where, files = self._files(f"{self.folder}/log")
         if not files.exists(where):
             return 0, []
-        log = self.spark.read.schema(LOG_SCHEMA).parquet(str(where))
-        last = log.agg(F.max("version")).first()[0]
-        if last is None:
-            return 0, []
-        return last, [(row["period"], row["path"]) for row in log.where(F.col("version") == last).collect()]
+        # Only the newest complete version is opened, however many there are.
+        versions = sorted((int(s.getPath().getName().split("=")[1]) for s in files.listStatus(where)), reverse=True)
+        for last in versions:
+            path = f"{self.folder}/log/version={last}"
+            if files.exists(self._files(f"{path}/_SUCCESS")[0]):
+                log = self.spark.read.schema(LOG_SCHEMA).option("basePath", f"{self.folder}/log").parquet(path)
+                return last, [(row["period"], row["path"]) for row in log.collect()]
+        return 0, []
 
     def _read(self, paths: list[str]) -> DataFrame:
         """Rows of some period folders, with their period."""
@@ -106,7 +109,8 @@ class FactTable:
         return self._periods(path)
 
     def upsert(self, rows: DataFrame) -> None:
-        """Replace the stored rows that share a key with ``rows``, and add ``rows``."""
+        """Replace the stored rows that share a key with ``rows``, and add ``rows``: of a key that comes twice, the latest."""
+        rows = latest_per_key(rows, self.unique_key, self.time_column)
         version, live = self._live()
         version += 1
         base = f"{self.folder}/data/version={version}"

@@ -34,6 +34,9 @@ def _sold(sales: DataFrame, calendar: DataFrame) -> DataFrame:
             F.sum("line_item_total").cast("decimal(28,2)").alias("total_revenue"),
             F.count_distinct("order_id").alias("order_count"),
             mean("unit_price").alias("avg_selling_price"),
+            # Profit is by line: a line without a quantity or a total has none.
+            F.sum(F.when(F.col("quantity").isNotNull(), F.col("line_item_total"))).alias("profit_revenue"),
+            F.sum(F.when(F.col("line_item_total").isNotNull(), F.col("quantity"))).alias("profit_units"),
         )
     )
 
@@ -46,7 +49,7 @@ def _held(stock: DataFrame) -> DataFrame:
 
 def _product_columns() -> list:
     """Sold products with their dimension row. Cost is one number per product: profit follows from the two sums."""
-    profit = F.col("total_revenue") - F.col("cost") * F.col("total_units_sold").cast("decimal(18,0)")
+    profit = F.col("profit_revenue") - F.col("cost") * F.col("profit_units").cast("decimal(18,0)")
     return [
         *"product_id product_name category vendor total_units_sold total_revenue".split(),
         profit.cast("decimal(28,2)").alias("total_profit"),

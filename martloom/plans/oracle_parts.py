@@ -46,8 +46,8 @@ def avg(value: str) -> str:
 
 
 def avg_ratio(value: str) -> str:
-    units = f"CAST(CAST(floor({value} * 1e8 + 0.5) AS BIGINT) AS DECIMAL(18,0))"
-    return f"(CAST(SUM({units}) AS DOUBLE) / (CAST(COUNT({value}) AS DOUBLE) * 1e8))"
+    units = f"CAST({value} * 1e12 AS DECIMAL(38,0))"
+    return f"(CAST(SUM({units}) AS DOUBLE) / (CAST(COUNT({value}) AS DOUBLE) * 1e12))"
 
 
 def cents(value: str) -> str:
@@ -638,11 +638,11 @@ GROUP BY p.event_id, p.value"""
 
 
 def credit(touch: str) -> str:
-    share = f"CAST(floor({dbl(touch)} / {dbl('click + view')} * 1e8 + 0.5) AS BIGINT)"
+    share = f"CAST({dbl(touch)} / {dbl('click + view')} * 1e12 AS DECIMAL(38,0))"
     return f"""
 SELECT '{touch}' AS touch, COUNT(*) FILTER (first_touch = '{touch}') AS first_touch_purchases,
        COUNT(*) FILTER (last_touch = '{touch}') AS last_touch_purchases,
-       CAST(SUM({share}) AS DOUBLE) / 1e8 AS linear_purchases,
+       CAST(SUM({share}) AS DOUBLE) / 1e12 AS linear_purchases,
        CAST(SUM(value) FILTER (first_touch = '{touch}') AS DECIMAL(28,2)) AS first_touch_value,
        CAST(SUM(value) FILTER (last_touch = '{touch}') AS DECIMAL(28,2)) AS last_touch_value
 FROM purchase_touches"""

@@ -7,7 +7,7 @@ warehouse whose marts read the stored tables.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime, time
+from datetime import UTC, datetime, time
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martloom.operators import ad_marts, dimensions, facts, sales_marts
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.staging import STAGED, stage
+from martloom.session import tune
 from martloom.sources import star
 from martloom.sources.files import save_table
 from martloom.sources.star import RunDates
@@ -36,8 +37,13 @@ STORED_MARTS = ("budget_utilization",)
 class Warehouse:
     """Models over the ten input tables (by table name), for given run dates. ``warehouse[name]`` is a model."""
 
-    def __init__(self, spark: SparkSession, inputs: Mapping[str, DataFrame], dates: RunDates | None = None):
-        self.spark = spark
+    def __init__(
+        self, spark: SparkSession, inputs: Mapping[str, DataFrame], dates: RunDates | None = None,
+        run_ts: datetime | None = None,
+    ):
+        """run_ts: the time of the run for audit columns; without it models have none."""
+        self.spark = tune(spark)
+        self.run_ts = run_ts
         self.inputs = inputs
         self._dates = dates
         self.tables: dict[str, DataFrame] = {}
@@ -62,27 +68,27 @@ class Warehouse:
     def dimension(self, name: str) -> DataFrame:
         match name:
             case "dim_customer":
-                return dimensions.dim_customer(self["stg_customers"])
+                return dimensions.dim_customer(self["stg_customers"], run_ts=self.run_ts)
             case "dim_product":
-                return dimensions.dim_product(self["stg_products"])
+                return dimensions.dim_product(self["stg_products"], run_ts=self.run_ts)
             case "dim_campaign":
-                return dimensions.dim_campaign(self["stg_campaigns"])
+                return dimensions.dim_campaign(self["stg_campaigns"], run_ts=self.run_ts)
             case "dim_adset":
                 # The run counts as loaded at midnight of the report day.
                 loaded_at = datetime.combine(self.dates.as_of, time())
-                return dimensions.dim_adset(self["stg_adsets"], self["dim_campaign"], loaded_at)
+                return dimensions.dim_adset(self["stg_adsets"], self["dim_campaign"], loaded_at, run_ts=self.run_ts)
             case "dim_ad":
-                return dimensions.dim_ad(self["stg_ads"], self["dim_adset"])
+                return dimensions.dim_ad(self["stg_ads"], self["dim_adset"], run_ts=self.run_ts)
             case "dim_date":
                 return dimensions.dim_date(self.spark, self.dates.start, self.dates.end)
             case "dim_order_status":
-                return dimensions.dim_order_status(self["stg_orders"])
+                return dimensions.dim_order_status(self["stg_orders"], run_ts=self.run_ts)
             case "dim_payment_method":
-                return dimensions.dim_payment_method(self["stg_orders"])
+                return dimensions.dim_payment_method(self["stg_orders"], run_ts=self.run_ts)
             case "dim_warehouse":
-                return dimensions.dim_warehouse(self["stg_inventory"])
+                return dimensions.dim_warehouse(self["stg_inventory"], run_ts=self.run_ts)
             case "dim_status":
-                return dimensions.dim_status(self["stg_campaigns"], self["stg_adsets"], self["stg_ads"])
+                return dimensions.dim_status(self["stg_campaigns"], self["stg_adsets"], self["stg_ads"], run_ts=self.run_ts)
         raise KeyError(name)
 
     def fact(self, name: str, after=None) -> DataFrame:
@@ -92,23 +98,23 @@ class Warehouse:
             case "fact_sales":
                 return facts.fact_sales(
                     self["stg_order_items"], self["stg_orders"], self["dim_customer"], self["dim_product"], days,
-                    after=after,
+                    after=after, run_ts=self.run_ts,
                 )
             case "fact_order_summary":
                 return facts.fact_order_summary(
-                    self["stg_orders"], self["stg_order_items"], self["dim_customer"], days, after=after
+                    self["stg_orders"], self["stg_order_items"], self["dim_customer"], days, after=after, run_ts=self.run_ts
                 )
             case "fact_inventory":
-                return facts.fact_inventory(self["stg_inventory"], self["dim_product"], days, after=after)
+                return facts.fact_inventory(self["stg_inventory"], self["dim_product"], days, after=after, run_ts=self.run_ts)
             case "fact_ad_performance":
-                return facts.fact_ad_performance(self["stg_ad_insights"], self["dim_ad"], days, after=after)
+                return facts.fact_ad_performance(self["stg_ad_insights"], self["dim_ad"], days, after=after, run_ts=self.run_ts)
             case "fact_adset_performance":
                 return facts.fact_adset_performance(
-                    self["stg_ad_insights"], self["stg_ads"], self["dim_adset"], days, after=after
+                    self["stg_ad_insights"], self["stg_ads"], self["dim_adset"], days, after=after, run_ts=self.run_ts
                 )
             case "fact_campaign_spend":
                 return facts.fact_campaign_spend(
-                    self["stg_ad_spend"], self["dim_campaign"], self["dim_adset"], days, after=after
+                    self["stg_ad_spend"], self["dim_campaign"], self["dim_adset"], days, after=after, run_ts=self.run_ts
                 )
         raise KeyError(name)
 
@@ -119,6 +125,7 @@ class Warehouse:
     def mart(self, name: str, **limits) -> DataFrame:
         """The query of a mart, if wanted with other limits than the standard ones."""
         days = self["dim_date"]
+        limits["run_ts"] = self.run_ts
         match name:
             case "product_performance":
                 return sales_marts.product_performance(
@@ -130,34 +137,35 @@ class Warehouse:
                     self.dates.as_of, **limits,
                 )
             case "sales_by_region":
-                return sales_marts.sales_by_region(self["fact_sales"], self["dim_customer"], days)
+                return sales_marts.sales_by_region(self["fact_sales"], self["dim_customer"], days, **limits)
             case "inventory_analysis":
                 return sales_marts.inventory_analysis(
                     self["fact_inventory"], self["fact_sales"], self["dim_product"], self["dim_warehouse"], days,
-                    self.dates.as_of,
+                    self.dates.as_of, **limits,
                 )
             case "campaign_performance":
                 return ad_marts.campaign_performance(
-                    self["fact_ad_performance"], self["fact_campaign_spend"], *self.hierarchy, days
+                    self["fact_ad_performance"], self["fact_campaign_spend"], *self.hierarchy, days, **limits
                 )
             case "ad_effectiveness":
-                return ad_marts.ad_effectiveness(self["fact_ad_performance"], *self.hierarchy)
+                return ad_marts.ad_effectiveness(self["fact_ad_performance"], *self.hierarchy, **limits)
             case "targeting_analysis":
-                return ad_marts.targeting_analysis(self["fact_ad_performance"], *self.hierarchy)
+                return ad_marts.targeting_analysis(self["fact_ad_performance"], *self.hierarchy, **limits)
             case "budget_utilization":
                 return ad_marts.budget_utilization(
-                    self["fact_campaign_spend"], self["fact_ad_performance"], *self.hierarchy, days
+                    self["fact_campaign_spend"], self["fact_ad_performance"], *self.hierarchy, days, **limits
                 )
         raise KeyError(name)
 
-    def run(self, folder: str, look_back_days: int = 0) -> Warehouse:
+    def run(self, folder: str, look_back_days: int = 0, run_ts: datetime | None = None) -> Warehouse:
         """A whole run into stored tables, and the warehouse that reads them.
 
         Dimensions are rebuilt in full. Facts are loaded above their high-water mark, or in full the first time. Marts
-        stay queries over the stored tables, except the budget mart, which is stored too.
+        stay queries over the stored tables, except the budget mart, which is stored too. Audit columns get ``run_ts``, the
+        time of the run (the present one in UTC if none is given).
         """
         folder = folder.rstrip("/")
-        kept = Warehouse(self.spark, self.inputs, self.dates)
+        kept = Warehouse(self.spark, self.inputs, self.dates, run_ts or datetime.now(UTC).replace(tzinfo=None))
         for name in DIMENSIONS:
             kept.tables[name] = save_table(kept[name], f"{folder}/{name}")
         for name, (key, time_column, date_key) in facts.LOADS.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,7 +32,6 @@ def tune(spark: SparkSession) -> SparkSession:
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_PARTITION = 1 << 30
-MOST_PARTITIONS = 100_000
 
 
 def stored_bytes(*tables: DataFrame) -> int:
@@ -45,7 +45,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     Queries read a few columns of their inputs, so what is shuffled is some fifth of them: 200 MB to a partition, which
     sorts in memory. Adaptive execution merges partitions that turn out small.
     """
-    wanted = min(MOST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION))
+    wanted = -(-input_bytes // BYTES_PER_PARTITION)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set(INITIAL_PARTITIONS, str(partitions))
     return partitions
@@ -59,7 +59,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="martloom-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

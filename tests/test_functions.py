@@ -45,6 +45,12 @@ def test_mean_does_not_depend_on_order(spark):
     assert means == {0.12}
 
 
+@pytest.mark.parametrize("values, wanted", [((1e12, 3e12), 2e12), ((1e-10, 3e-10), 2e-10), ((1e10,), 1e10), ((-1.5, 0.5), -0.5)])
+def test_mean_of_ratio_is_a_plain_average(spark, values, wanted):
+    found = only(spark.createDataFrame([(v,) for v in values], "x double").agg(mean_of_ratio("x").alias("m")))["m"]
+    assert found == pytest.approx(wanted, rel=1e-9)
+
+
 @pytest.mark.parametrize("low, high, label", [
     (17, 24, "Under 25"), (17, 25, "25-34"), (18, 24, "25-34"), (25, 35, "35-44"), (30, 44, "35-44"),
     (40, 54, "45-54"), (55, 60, "55+"), (30, 60, "All Ages"), (None, None, "All Ages"), (20, None, "All Ages"),

@@ -37,6 +37,15 @@ def test_product_performance(spark):
     assert tiers[1]["revenue_tier"] == "High"
 
 
+def test_profit_is_by_line(spark):
+    """A line without a quantity or a total has no profit, and a product without a cost has none at all."""
+    lines = [line(1, 1, 1, 1, 10), line(2, 1, 1, None, 20), {**line(3, 1, 1, 5), "line_item_total": None}, line(4, 1, 2)]
+    products = [{"product_id": 1, "price": money(10), "cost": money(4)}, {"product_id": 2, "price": money(1), "cost": None}]
+    found = by(shop(spark, [order(1)], lines, products=products)["product_performance"], "product_id")
+    assert (found[1]["total_profit"], found[1]["total_revenue"]) == (Decimal("6.00"), Decimal("30.00"))
+    assert found[2]["total_profit"] is None
+
+
 def test_customer_segmentation(spark):
     customers = [{"customer_id": i, "city": "C", "state": "S", "country": "L"} for i in (1, 2, 3)]
     products = [{"product_id": i, "category": c, "price": money(1)} for i, c in ((1, "b"), (2, "a"), (3, None))]

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from martloom.plans.registry import oracle_sql, queries
 from tests.check_results import checker, differences
 from tests.samples import plan
 

@@ -158,7 +158,7 @@ def test_shuffles_grow_with_the_input(spark):
         assert size_shuffles(spark, 5 << 20) == 8
         assert size_shuffles(spark, 3 << 40) == 3 << 10
         assert spark.conf.get(INITIAL_PARTITIONS) == str(3 << 10)
-        assert size_shuffles(spark, 1 << 50) == 100_000
+        assert size_shuffles(spark, 1 << 50) == 1 << 20
         assert size_shuffles(spark, 0) == 8
     path = f"{FOLDER}/orders.parquet"
     assert stored_bytes(spark.read.parquet(path)) == os.path.getsize(path)
