@@ -41,6 +41,7 @@ SPLIT = re.compile(
 OTHER = re.compile("[^\t\n\r -~¡-ɏ]")
 WORD = re.compile(f" [{LETTERS}]+")
 LINE_WORDS = 600
+ENCODED_BYTES = 4 << 20  # text whose words are looked up together
 
 
 def encode_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,14 +76,14 @@ def decode_values(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarr
 
 def pack(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
     """One block. ids: those of all its documents, one after the other."""
-    distinct, places, often = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((distinct, -often))
-    rank = np.empty(len(order), dtype=np.uint32)
+    often = np.bincount(ids)
+    order = np.argsort(-often, kind="stable")[: np.count_nonzero(often)]
+    rank = np.empty(len(often), dtype=np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    control, data = encode_values(rank[places])
+    control, data = encode_values(rank[ids])
     head = np.array([MAGIC, VERSION, 0], "<u4").tobytes() + np.array([len(counts), len(ids), len(order)], "<u8").tobytes()
     docs = np.array([x or 0 for x in doc_ids], "<i8").tobytes() + np.array([x is not None for x in doc_ids], "<u1").tobytes()
-    table = distinct[order].astype("<u4").tobytes()
+    table = order.astype("<u4").tobytes()
     return b"".join([head, docs, np.array(counts, "<u8").tobytes(), table, control.tobytes(), data.tobytes()])
 
 
@@ -125,8 +126,9 @@ class LibraryEncoder:
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Words with a space before them are encoded many in a line, and cut apart by their numbers of bytes."""
-        words = [p for p in pieces if WORD.fullmatch(p)]
-        others = [p for p in pieces if not WORD.fullmatch(p)]
+        words, others = [], []
+        for piece in pieces:
+            (words if WORD.fullmatch(piece) else others).append(piece)
         known = dict(zip(others, self.batch(others), strict=True))
         lines = [words[k : k + LINE_WORDS] for k in range(0, len(words), LINE_WORDS)]
         for line, coded in zip(lines, self.batch(["".join(line) for line in lines]), strict=True):
@@ -184,7 +186,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays(columns, names=["shard", "block", "n_ids", "payload"])
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODED_BYTES):
                 names += part.column("doc_id").to_pylist()
                 coded += [x + end for x in known.encode(part.column("text").fill_null("").to_pylist())]
                 held += sum(len(x) for x in coded[-part.num_rows :]) // 4
