@@ -1,31 +1,45 @@
 """Cross-entropy difference (Moore and Lewis, 2010): how much likelier a target model finds a document than a background one.
 
-Both bigram models share one vocabulary: the commonest words of all documents, and classes of all other words by their
-hash, so every token has a place. Both are smoothed alike, and the background counts are brought to the target's total, so
-that the models are matched but for what they have read. All documents are counted for the background, and all target
-documents for the target. The vocabulary bounds the model: SIZE x SIZE numbers, whatever the size of the corpus.
+Both are bigram models over one vocabulary, all words of all documents, and both are smoothed alike. All documents are
+counted for the background, and all target documents for the target; background counts are brought to the target's total,
+so that the models are matched but for what they have read. No word or pair is left out, so the counts grow with the corpus
+and are never in one place:
+
+1. Documents are dealt into chunks of some megabytes as they are read, and stored with the number of their chunk.
+2. Each chunk gives one row for each of its distinct pairs, words and contexts (words as the first of a pair), with their
+   counts in target texts and in all texts. These are hashed keys whose last two bits tell the kind.
+3. A window by key sums the rows over all chunks. A key has at most one row for each chunk, so the commonest word of all is
+   no load on a task. Every chunk thereby learns the counts of just the keys it holds.
+4. A chunk's texts and counts meet in one task, which looks up every token.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import itertools
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from martloom.llm import tokens
-from martloom.llm.common import arrow_map, slices, with_text_columns
+from martloom.llm.common import arrow_map, ship, slices, stored
 
-# Words, classes of other words, and the begin of a text.
-WORDS, CLASSES = 1536, 511
-SIZE = WORDS + CLASSES + 1
-BEGIN = SIZE - 1
+# Bytes of text in a chunk; a longer text is a chunk of its own.
+CHUNK_BYTES = 8 << 20
 # Strength of the unigram model behind each bigram, in tokens.
 PRIOR = 50.0
+# The last two bits of a key, and the word before the first one of a text.
+PAIR, WORD, CONTEXT, KINDS = (np.uint64(k) for k in range(4))
+BEGIN = tokens.nth(1000)
+RESULT = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+RESULT_SCHEMA = pa.schema([
+    ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+    *[(name, pa.float64()) for name in ("target_loss", "background_loss", "score")],
+])
 
 
 def text_words(texts: pa.Array) -> tokens.Words:
@@ -33,81 +47,74 @@ def text_words(texts: pa.Array) -> tokens.Words:
     return tokens.find_words(pc.utf8_lower(texts.fill_null("")), tokens.IS_NAME)
 
 
-def token_classes(words: tokens.Words, vocabulary: np.ndarray) -> np.ndarray:
-    """Number of each token: place among the sorted hashes of the vocabulary, or a class beyond them."""
-    hashes = words.hashes()
-    if not len(vocabulary):
-        return WORDS + (hashes % np.uint64(CLASSES)).astype(np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at, WORDS + (hashes % np.uint64(CLASSES)).astype(np.int64))
-
-
-def pair_codes(words: tokens.Words, vocabulary: np.ndarray) -> np.ndarray:
-    """For each token, the number of the pair of the token before it (or the begin of the text) and itself."""
-    now = token_classes(words, vocabulary)
+def gram_keys(words: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token, the keys of the pair that it ends, of itself, and of the context before it."""
+    now = words.hashes()
     before = np.full(len(now), BEGIN)
     before[1:] = np.where(words.doc[1:] == words.doc[:-1], now[:-1], BEGIN)
-    return before * SIZE + now
+    pair, context = tokens.mixed(tokens.mixed(before + tokens.nth(1)) + now), tokens.mixed(before + tokens.nth(2))
+    return tuple(((k & ~KINDS) | kind).view(np.int64) for k, kind in ((pair, PAIR), (now, WORD), (context, CONTEXT)))
 
 
-def vocabulary_of(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the WORDS commonest words of all texts; ties go by hash."""
+def chunked(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, target) with a chunk each, stored: the numbers are drawn anew if it is computed again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held = 0, CHUNK_BYTES
         for batch in batches:
             for part in slices(batch, "text"):
-                found, times = np.unique(text_words(part.column("text")).hashes(), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["word", "times"])
+                more = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+                if held + more > CHUNK_BYTES:
+                    chunk, held = uuid.uuid4().int >> 65, 0
+                held += more
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([chunk] * part.num_rows, pa.int64())], names=[*part.schema.names, "chunk"])
+
+    return stored(arrow_map(docs, run, "doc_id long, text string, target boolean, chunk long"), "text-chunks")
+
 
-    counted = arrow_map(docs.select("text"), run, "word long, times long").groupBy("word").agg(F.sum("times").alias("times"))
-    rows = counted.orderBy(F.desc("times"), "word").limit(WORDS).collect()
-    return np.sort(np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64))
+def parts_of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of rows that are of one chunk."""
+    for batch in batches:
+        chunk = np.asarray(batch.column("chunk"))
+        cuts = [0, *(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), len(chunk)]
+        for a, b in itertools.pairwise(cuts):
+            if b > a:
+                for part in slices(batch.slice(a, b - a), "text"):
+                    yield int(chunk[a]), part
 
 
-def pair_counts(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """(pair, target, background): how often each pair of tokens stands in target texts, and in all texts."""
+def summed(keys: np.ndarray, target: np.ndarray, background: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with their sums; without weights (None) each row counts once."""
+    found, at = np.unique(keys, return_inverse=True)
+    return found, *(np.bincount(at, weights=w, minlength=len(found)).astype(np.int64) for w in (target, background))
+
+
+def gram_counts(chunks: DataFrame) -> DataFrame:
+    """(chunk, key, target, background): how often a key is in target texts and in all texts of a chunk.
+
+    A chunk that two tasks read parts of has two rows for a key; their sums are right all the same.
+    """
+
+    def counted(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words = text_words(part.column("text"))
+        chosen = np.asarray(part.column("target").fill_null(False))[words.doc].astype(np.float64)
+        keys = gram_keys(words)
+        return summed(np.concatenate(keys), np.tile(chosen, len(keys)), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, SIZE * SIZE), dtype=np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words = text_words(part.column("text"))
-                codes = pair_codes(words, vocabulary)
-                chosen = np.asarray(part.column("target").fill_null(False))[words.doc].astype(bool)
-                for row, which in ((0, codes[chosen]), (1, codes)):
-                    found, times = np.unique(which, return_counts=True)
-                    sums[row, found] += times
-        seen = np.flatnonzero(sums[1])
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[0, seen]), pa.array(sums[1, seen])], names=["pair", "target", "background"])
-
-    counted = arrow_map(docs.select("text", "target"), run, "pair long, target long, background long")
-    return counted.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def losses(counts: np.ndarray, scale: float) -> np.ndarray:
-    """-ln P(token | token before) for all pairs, from counts times a scale: unigrams with one added, bigrams over them."""
-    counts = counts.reshape(SIZE, SIZE) * scale
-    single = counts.sum(axis=0) + 1
-    single /= single.sum()
-    totals = counts.sum(axis=1, keepdims=True)
-    counts += PRIOR * single
-    counts /= totals + PRIOR
-    return -np.log(counts).astype(np.float32)
-
-
-def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Vocabulary, and the losses of the target and background model, from docs (text, target)."""
-    vocabulary = vocabulary_of(docs)
-    # At most SIZE * SIZE rows, whatever the corpus.
-    found = pair_counts(docs, vocabulary).toArrow()
-    pairs = np.asarray(found.column("pair"))
-    both = []
-    for name in ("target", "background"):
-        counts = np.zeros(SIZE * SIZE)
-        counts[pairs] = np.asarray(found.column(name))
-        both.append(counts)
-    of_target, of_all = both[0].sum(), both[1].sum()
-    return vocabulary, losses(both[0], 1.0), losses(both[1], of_target / of_all if of_all else 1.0)
+        for chunk, parts in itertools.groupby(parts_of_chunks(batches), key=lambda found: found[0]):
+            found = summed(*map(np.concatenate, zip(*[counted(part) for _, part in parts], strict=True)))
+            number = pa.array(np.full(len(found[0]), chunk))
+            yield pa.RecordBatch.from_arrays([number, *map(pa.array, found)], names=["chunk", "key", "target", "background"])
+
+    asked = chunks.select("text", "target", "chunk")
+    return stored(arrow_map(asked, run, "chunk long, key long, target long, background long"), "gram-counts")
+
+
+def losses(pair: np.ndarray, word: np.ndarray, context: np.ndarray, scale: float, total: float) -> np.ndarray:
+    """-ln P(token | token before) from counts times a scale: unigrams with one added, bigrams over them."""
+    single = (word * scale + 1) / total
+    return -np.log((pair * scale + PRIOR * single) / (context * scale + PRIOR))
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,30 +122,42 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
 
     The losses are means over the tokens of the whole text, in nats; score is target_loss - background_loss, so low scores
     are close to the target. A text without tokens (NULL, empty) has 0 in all of them. target_ids has a column doc_id and
-    may name ids more than once, or ids without a document; with no target at all both models are flat alike.
+    may name ids more than once, or ids without a document; with no target at all both models are flat alike. Rows that
+    repeat an id are documents of their own. An empty table gives an empty result; other columns of docs are not read.
     """
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("target_id")).distinct()
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     marked = plain.join(chosen, plain["doc_id"] == chosen["target_id"], "left").select(
-        "text", F.col("target_id").isNotNull().alias("target")
+        "doc_id", "text", F.col("target_id").isNotNull().alias("target")
     )
-    vocabulary, of_target, of_background = fit(marked)
-    model = docs.sparkSession.sparkContext.broadcast((vocabulary, of_target, of_background))  # 34 MB at most
-
-    def make() -> Callable[[pa.Array], list]:
-        known, target, background = model.value
-        target, background = target.reshape(-1), background.reshape(-1)
-
-        def work(texts: pa.Array) -> list:
-            words = text_words(texts)
-            codes, counts = pair_codes(words, known), words.counts()
-            means = [
-                np.bincount(words.doc, weights=m[codes].astype(np.float64), minlength=len(texts)) / np.maximum(counts, 1)
-                for m in (target, background)
-            ]
-            return [pa.array(counts.astype(np.int64)), *[pa.array(m) for m in means], pa.array(means[0] - means[1])]
-
-        return work
-
-    added = [StructField("n_tokens", LongType()), *[StructField(n, DoubleType()) for n in ("target_loss", "background_loss", "score")]]
-    return with_text_columns(plain, "text", StructType(added), make).drop("text")
+    chunks = chunked(marked)
+    counts = gram_counts(chunks)
+    words = counts.where(F.col("key").bitwiseAND(int(KINDS)) == int(WORD)).groupBy("key")
+    sums = words.agg(F.sum("target").alias("t"), F.sum("background").alias("b")).agg(F.sum("t"), F.sum("b"), F.count("*"))
+    of_target, of_all, vocabulary = (x or 0 for x in sums.first())
+    scale, total = (of_target / of_all if of_all else 1.0), float(of_target + vocabulary)
+    everywhere = Window.partitionBy("key")
+    known = counts.select("chunk", "key", *[F.sum(c).over(everywhere).alias(c) for c in ("target", "background")])
+
+    def score(texts: pa.Table, asked: pa.Table) -> pa.Table:
+        keys = np.asarray(asked.column("key"))
+        order = np.argsort(keys)
+        keys, both = keys[order], [np.asarray(asked.column(c))[order].astype(np.float64) for c in ("target", "background")]
+        found = []
+        for batch in texts.combine_chunks().to_batches():
+            for part in slices(batch, "text"):
+                held = text_words(part.column("text"))
+                places = [np.searchsorted(keys, k) for k in gram_keys(held)]
+                n = held.counts()
+                means = [
+                    np.bincount(held.doc, weights=losses(*[counted[at] for at in places], by, total), minlength=len(n)) / np.maximum(n, 1)
+                    for counted, by in zip(both, (1.0, scale), strict=True)
+                ]
+                found.append(pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(n.astype(np.int64)), *map(pa.array, means), pa.array(means[0] - means[1])],
+                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
+                ))
+        return pa.Table.from_batches(found, RESULT_SCHEMA)
+
+    ship(docs.sparkSession)
+    return chunks.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, RESULT)

@@ -282,7 +282,7 @@ def test_cross_entropy_difference_matches_a_plain_model(spark):
         for (a, b), n in pairs.items():
             single[b] += n * scale
             before[a] += n * scale
-        total = sum(single.values()) + lm_scoring.SIZE
+        total = sum(single.values()) + len({w for words in lists.values() for w in words})
         return lambda a, b: -math.log(
             (pairs[a, b] * scale + lm_scoring.PRIOR * (single[b] + 1) / total) / (before[a] + lm_scoring.PRIOR)
         )
