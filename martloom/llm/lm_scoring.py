@@ -6,11 +6,11 @@ so that the models are matched but for what they have read. No word or pair is l
 and are never in one place:
 
 1. Documents are dealt into chunks of some megabytes as they are read, and stored with the number of their chunk.
-2. Each chunk gives one row for each of its distinct pairs, words and contexts (words as the first of a pair), with their
-   counts in target texts and in all texts. These are hashed keys whose last two bits tell the kind.
-3. A window by key sums the rows over all chunks. A key has at most one row for each chunk, so the commonest word of all is
-   no load on a task. Every chunk thereby learns the counts of just the keys it holds.
-4. A chunk's texts and counts meet in one task, which looks up every token.
+2. A chunk counts its distinct pairs, words and contexts (words as the first of a pair), in target texts and in all texts.
+   These are hashed keys whose last two bits tell the kind. They go to the buckets of their leading bits, packed.
+3. A bucket sums its keys over all chunks. A key has at most one entry for each chunk, so the commonest word of all is no
+   load on a task. A key that only one chunk has is known there; of the others each chunk that asked gets the sums.
+4. A chunk's texts meet these sums in one task, which works out the losses of every token.
 """
 
 from __future__ import annotations
@@ -22,14 +22,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import tokens
 from martloom.llm.common import arrow_map, ship, slices, stored
 
-# Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+# Bytes of text in a chunk, and of all text for each bucket of keys; a longer text is a chunk of its own.
+CHUNK_BYTES = BUCKET_BYTES = 4 << 20
 # Strength of the unigram model behind each bigram, in tokens.
 PRIOR = 50.0
 # The last two bits of a key, and the word before the first one of a text.
@@ -47,13 +47,13 @@ def text_words(texts: pa.Array) -> tokens.Words:
     return tokens.find_words(pc.utf8_lower(texts.fill_null("")), tokens.IS_NAME)
 
 
-def gram_keys(words: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each token, the keys of the pair that it ends, of itself, and of the context before it."""
+def gram_keys(words: tokens.Words) -> np.ndarray:
+    """For each token, a column with the keys of the pair that it ends, of itself, and of the context before it."""
     now = words.hashes()
     before = np.full(len(now), BEGIN)
     before[1:] = np.where(words.doc[1:] == words.doc[:-1], now[:-1], BEGIN)
     pair, context = tokens.mixed(tokens.mixed(before + tokens.nth(1)) + now), tokens.mixed(before + tokens.nth(2))
-    return tuple(((k & ~KINDS) | kind).view(np.int64) for k, kind in ((pair, PAIR), (now, WORD), (context, CONTEXT)))
+    return np.stack([(k & ~KINDS) | kind for k, kind in ((pair, PAIR), (now, WORD), (context, CONTEXT))])
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -83,32 +83,73 @@ def parts_of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa
                     yield int(chunk[a]), part
 
 
-def summed(keys: np.ndarray, target: np.ndarray, background: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their sums; without weights (None) each row counts once."""
-    found, at = np.unique(keys, return_inverse=True)
-    return found, *(np.bincount(at, weights=w, minlength=len(found)).astype(np.int64) for w in (target, background))
+def counted(parts: list[pa.RecordBatch]) -> tuple[list[tokens.Words], np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each part of a chunk; its distinct keys; how often each is in target and in all texts; places of tokens' keys."""
+    held = [text_words(part.column("text")) for part in parts]
+    chosen = [np.asarray(part.column("target").fill_null(False))[words.doc] for part, words in zip(parts, held, strict=True)]
+    keys, places = np.unique(np.concatenate([gram_keys(words) for words in held], axis=1), return_inverse=True)
+    places = places.reshape(3, -1)
+    counts = np.stack([
+        np.bincount(places.ravel(), weights=np.tile(np.concatenate(chosen), 3), minlength=len(keys)).astype(np.int64),
+        np.bincount(places.ravel(), minlength=len(keys)),
+    ])
+    return held, keys, counts, places
 
 
-def gram_counts(chunks: DataFrame) -> DataFrame:
-    """(chunk, key, target, background): how often a key is in target texts and in all texts of a chunk.
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned 64-bit values by byte plane: leading bytes, alike in sorted keys and small counts, shrink in a shuffle."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    A chunk that two tasks read parts of has two rows for a key; their sums are right all the same.
-    """
 
-    def counted(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        words = text_words(part.column("text"))
-        chosen = np.asarray(part.column("target").fill_null(False))[words.doc].astype(np.float64)
-        keys = gram_keys(words)
-        return summed(np.concatenate(keys), np.tile(chosen, len(keys)), None)
+def unpacked(blobs: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel() for b in blobs.to_pylist()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, parts in itertools.groupby(parts_of_chunks(batches), key=lambda found: found[0]):
-            found = summed(*map(np.concatenate, zip(*[counted(part) for _, part in parts], strict=True)))
-            number = pa.array(np.full(len(found[0]), chunk))
-            yield pa.RecordBatch.from_arrays([number, *map(pa.array, found)], names=["chunk", "key", "target", "background"])
 
-    asked = chunks.select("text", "target", "chunk")
-    return stored(arrow_map(asked, run, "chunk long, key long, target long, background long"), "gram-counts")
+def sums_of_buckets(chunks: DataFrame, buckets: int) -> DataFrame:
+    """(chunk, keys, target, background): sums over the corpus of the keys of a chunk that are not in it alone.
+
+    Rows without a chunk have the tokens of target texts and of all texts, and the distinct words, of a bucket.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, parts in itertools.groupby(parts_of_chunks(batches), key=lambda found: found[0]):
+            _, keys, counts, _ = counted([part for _, part in parts])
+            bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            present, starts = np.unique(bucket, return_index=True)
+            cuts = [*itertools.pairwise([*starts.tolist(), len(keys)])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(present.astype(np.int64)), pa.array(np.full(len(present), chunk)),
+                 *[pa.array([packed(x[a:b]) for a, b in cuts], pa.binary()) for x in (keys, *counts)]],
+                names=["bucket", "chunk", "keys", "target", "background"],
+            )
+
+    def total(rows: pa.Table) -> pa.Table:
+        each = unpacked(rows.column("keys"))
+        keys = np.concatenate(each)
+        counts = np.stack([np.concatenate(unpacked(rows.column(c))) for c in ("target", "background")])
+        chunk = np.repeat(np.asarray(rows.column("chunk")), [len(k) for k in each])
+        order = np.argsort(keys)
+        keys, chunk = keys[order], chunk[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sums, times = np.add.reduceat(counts[:, order], starts, axis=1), np.diff(np.append(starts, len(keys)))
+        word = keys[starts] & KINDS == WORD
+        own = [int(sums[0, word].sum()), int(sums[1, word].sum()), int(word.sum())]
+        # Back to the chunks that share a key with others, keys in order.
+        group = np.repeat(np.arange(len(starts)), times)
+        shared = np.flatnonzero(times[group] > 1)
+        shared = shared[np.argsort(chunk[shared], kind="stable")]
+        present, begins = np.unique(chunk[shared], return_index=True)
+        found = [shared[a:b] for a, b in itertools.pairwise([*begins.tolist(), len(shared)])]
+        columns = [[packed(keys[k]) for k in found], *[[packed(row[group[k]]) for k in found] for row in sums]]
+        return pa.table(
+            [pa.array([*present.tolist(), None], pa.int64()), *[pa.array([*c, None], pa.binary()) for c in columns],
+             *[pa.array([None] * len(found) + [n], pa.int64()) for n in own]],
+            names=["chunk", "keys", "target", "background", "target_tokens", "tokens", "words"],
+        )
+
+    dealt = arrow_map(chunks.select("text", "target", "chunk"), deal, "bucket long, chunk long, keys binary, target binary, background binary")
+    schema = "chunk long, keys binary, target binary, background binary, target_tokens long, tokens long, words long"
+    return stored(dealt.groupBy("bucket").applyInArrow(total, schema), "gram-sums")
 
 
 def losses(pair: np.ndarray, word: np.ndarray, context: np.ndarray, scale: float, total: float) -> np.ndarray:
@@ -131,33 +172,30 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
         "doc_id", "text", F.col("target_id").isNotNull().alias("target")
     )
     chunks = chunked(marked)
-    counts = gram_counts(chunks)
-    words = counts.where(F.col("key").bitwiseAND(int(KINDS)) == int(WORD)).groupBy("key")
-    sums = words.agg(F.sum("target").alias("t"), F.sum("background").alias("b")).agg(F.sum("t"), F.sum("b"), F.count("*"))
-    of_target, of_all, vocabulary = (x or 0 for x in sums.first())
+    size = chunks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    sums = sums_of_buckets(chunks, max(1, -(-size // BUCKET_BYTES)))
+    of_target, of_all, vocabulary = (x or 0 for x in sums.agg(F.sum("target_tokens"), F.sum("tokens"), F.sum("words")).first())
     scale, total = (of_target / of_all if of_all else 1.0), float(of_target + vocabulary)
-    everywhere = Window.partitionBy("key")
-    known = counts.select("chunk", "key", *[F.sum(c).over(everywhere).alias(c) for c in ("target", "background")])
 
-    def score(texts: pa.Table, asked: pa.Table) -> pa.Table:
-        keys = np.asarray(asked.column("key"))
-        order = np.argsort(keys)
-        keys, both = keys[order], [np.asarray(asked.column(c))[order].astype(np.float64) for c in ("target", "background")]
-        found = []
-        for batch in texts.combine_chunks().to_batches():
-            for part in slices(batch, "text"):
-                held = text_words(part.column("text"))
-                places = [np.searchsorted(keys, k) for k in gram_keys(held)]
-                n = held.counts()
-                means = [
-                    np.bincount(held.doc, weights=losses(*[counted[at] for at in places], by, total), minlength=len(n)) / np.maximum(n, 1)
-                    for counted, by in zip(both, (1.0, scale), strict=True)
-                ]
-                found.append(pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n.astype(np.int64)), *map(pa.array, means), pa.array(means[0] - means[1])],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                ))
+    def score(texts: pa.Table, known: pa.Table) -> pa.Table:
+        parts = [part for batch in texts.combine_chunks().to_batches() for part in slices(batch, "text")]
+        held, keys, counts, places = counted(parts)
+        if known.num_rows:
+            at = np.searchsorted(keys, np.concatenate(unpacked(known.column("keys"))))
+            for row, name in zip(counts, ("target", "background"), strict=True):
+                row[at] = np.concatenate(unpacked(known.column(name)))
+        both = [losses(*row[places].astype(np.float64), by, total) for row, by in zip(counts, (1.0, scale), strict=True)]
+        found, first = [], 0
+        for part, words in zip(parts, held, strict=True):
+            n, last = words.counts(), first + len(words.doc)
+            means = [np.bincount(words.doc, weights=x[first:last], minlength=len(n)) / np.maximum(n, 1) for x in both]
+            found.append(pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(n.astype(np.int64)), *map(pa.array, means), pa.array(means[0] - means[1])],
+                schema=RESULT_SCHEMA,
+            ))
+            first = last
         return pa.Table.from_batches(found, RESULT_SCHEMA)
 
     ship(docs.sparkSession)
-    return chunks.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, RESULT)
+    known = sums.where("chunk IS NOT NULL").select("chunk", "keys", "target", "background").groupBy("chunk")
+    return chunks.groupBy("chunk").cogroup(known).applyInArrow(score, RESULT)

@@ -295,6 +295,21 @@ def test_cross_entropy_difference_matches_a_plain_model(spark):
     assert found[1]["score"] < 0 < found[3]["score"] and found[4]["score"] == found[5]["score"] == 0
 
 
+def test_cross_entropy_difference_does_not_depend_on_chunks(spark, documents, monkeypatch):
+    """One chunk and one bucket, or many of both that share keys."""
+    target = documents.where("doc_id % 3 = 0")
+
+    def found():
+        return {r["doc_id"]: tuple(r)[1:] for r in lm_scoring.cross_entropy_difference(documents, target).collect()}
+
+    one = found()
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 5_000)
+    monkeypatch.setattr(lm_scoring, "BUCKET_BYTES", 20_000)
+    many = found()
+    assert many.keys() == one.keys() and len({values[3] for values in one.values()}) > len(one) // 2
+    assert all(many[k] == pytest.approx(one[k], abs=1e-9) for k in one)
+
+
 def test_raked_weights_meet_all_margins(spark):
     rows = [(s, l, t, 10 * s + 7 * l + 3 * t + 1) for s in range(3) for l in range(2) for t in range(3)]
     cells = spark.createDataFrame([(str(a), str(b), c, n) for a, b, c, n in rows], "source string, lang string, topic long, tokens long")
