@@ -88,6 +88,54 @@ def test_velocity_and_status(spark):
     ]
 
 
+def labels_of(spark, values, expression):
+    """The label of each value, in the order of the values."""
+    df = spark.createDataFrame(list(enumerate(values)), "id int, x double")
+    found = by(df.select("id", expression(F.col("x")).alias("label")), "id")
+    return [found[i]["label"] for i in range(len(values))]
+
+
+@pytest.mark.parametrize("steps, otherwise, values, wanted", [
+    (rules.REVENUE_TIERS, rules.REVENUE_TIER_ELSE, [100000.01, 100000.0, 50000.01, 50000.0, None], "High Medium Medium Low Low"),
+    (rules.PROFIT_TIERS, rules.PROFIT_TIER_ELSE, [0.31, 0.3, 0.16, 0.15, None],
+     "High_Margin Medium_Margin Medium_Margin Low_Margin Low_Margin"),
+    (rules.EFFECTIVENESS_TIERS, rules.EFFECTIVENESS_TIER_ELSE, [50.1, 50.0, 25.1, 25.0, None],
+     "High_Performing Average Average Underperforming Underperforming"),
+])
+def test_tiers_at_their_limits(spark, steps, otherwise, values, wanted):
+    """A value equal to a limit is not above it."""
+    found = labels_of(spark, values, lambda x: rules.above(x, steps, otherwise))
+    assert found == [label.replace("_", " ") for label in wanted.split()]
+
+
+def test_recency_and_budget_rating_at_their_limits(spark):
+    assert labels_of(spark, [30.0, 31.0, 90.0, 91.0, 180.0, 181.0, None], rules.recency_segment) == [
+        "Active", "At Risk", "At Risk", "Lapsed", "Lapsed", "Inactive", "Inactive"
+    ]
+    rated = labels_of(spark, [0.951, 0.95, 0.851, 0.85, 0.701, 0.7], lambda x: rules.budget_rating(x, F.lit(1)))
+    assert rated == ["Optimal", "Good", "Good", "Average", "Average", "Underutilized"]
+    assert labels_of(spark, [0.99], lambda x: rules.budget_rating(x, F.lit(0))) == ["No Budget"]
+
+
+@pytest.mark.parametrize("spend, frequency, label", [
+    (1000.01, 0.51, "High Value"), (1000.0, 0.51, "Medium Value"), (1000.01, 0.5, "Medium Value"),
+    (500.01, 0.0, "Medium Value"), (500.0, 0.3, "Low Value"), (0.0, 0.31, "Medium Value"), (None, None, "Low Value"),
+])
+def test_value_segment_at_its_limits(spark, spend, frequency, label):
+    df = spark.createDataFrame([(spend, frequency)], "s double, f double")
+    assert only(df.select(rules.value_segment(F.col("s"), F.col("f")).alias("x")))["x"] == label
+
+
+def test_fixed_labels_and_weights():
+    """What results must carry, once more as plain values."""
+    assert rules.STATUS_DESCRIPTIONS == {
+        "ACTIVE": "Currently running", "PAUSED": "Temporarily paused", "COMPLETED": "Campaign has ended",
+        "ARCHIVED": "Archived and not running", "DELETED": "Deleted from the system",
+    }
+    assert (rules.STATUS_ELSE, rules.EFFECTIVENESS_NO_SPEND, rules.SOURCE_SYSTEM) == ("Other status", "No Data", "RAW_DATA")
+    assert (rules.EFFECTIVENESS_WEIGHTS, rules.TARGETING_WEIGHTS) == ((0.2, 0.3, 0.5), (30, 30, 40))
+
+
 def test_standard_calendar(spark):
     days = dim_date(spark)
     assert days.count() == 4017

@@ -3,6 +3,9 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
+import pytest
+
+from __spark_entry__ import queries
 from martloom.operators import ad_marts, sales_marts
 from martloom.operators.report_order import in_report_order
 from tests.samples import at, bag, by, insight, line, media, money, only, order, shop, spent
@@ -197,3 +200,31 @@ def test_report_order(spark):
              [{"customer_id": 1, "city": "C", "state": "S", "country": None},
               {"customer_id": 2, "city": "C", "state": "S", "country": "Z"}])
     assert [r["country"] for r in in_report_order("sales_by_region", w["sales_by_region"]).collect()] == ["Z", None]
+
+
+# Mart -> columns of its order; a minus means from high to low.
+REPORT_ORDERS = {
+    "product_performance": "-total_revenue product_id",
+    "customer_segmentation": "-total_spend customer_key",
+    "sales_by_region": "country state city year_number month_number",
+    "inventory_analysis": "urgency category product_name product_key warehouse_location",
+    "campaign_performance": "year_number month_number -spend campaign_key",
+    "ad_effectiveness": "-roas ad_key",
+    "targeting_analysis": "-roas adset_key",
+    "budget_utilization": "campaign_name full_date campaign_key",
+}
+
+
+@pytest.mark.parametrize("name", REPORT_ORDERS)
+def test_all_report_orders(spark, name):
+    """Sorted rows against a sort in Python, one column after the other from the last; NULLs are the highest values."""
+    rows = [r.asDict() for r in queries()[f"{name}_in_order"](spark, "/root/testdata/sf0.001").collect()]
+    for r in rows:
+        r["urgency"] = {"Reorder": 1, "Low Stock": 2}.get(r.get("inventory_status"), 3)
+    wanted = list(rows)
+    for column in reversed(REPORT_ORDERS[name].split()):
+        c = column.lstrip("-")
+        held, empty = [r for r in wanted if r[c] is not None], [r for r in wanted if r[c] is None]
+        held.sort(key=lambda r: r[c], reverse=column.startswith("-"))
+        wanted = empty + held if column.startswith("-") else held + empty
+    assert len(rows) > 1 and rows == wanted
