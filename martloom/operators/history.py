@@ -1,8 +1,9 @@
 """Histories: validity periods of a changing attribute, and credit of a purchase to the touches before it.
 
 Both need rows of one key in time order. A key that holds a third of all rows must not end up in one task, so rows are
-first brought down to one per key and day (or hour); only those short sequences, no longer than the calendar, are
-windowed per key. Within a day or hour the windows are per key and bucket.
+first brought down to one per key and day, or one per key and hour and one per key and second; only those short
+sequences, no longer than the calendar or an hour, are windowed. What is left to a window over events is one second of
+one user.
 """
 
 from __future__ import annotations
@@ -35,16 +36,39 @@ def validity_periods(observed: DataFrame, key: str, day: str, *tracked: str) ->
     )
 
 
-def daily_price(order_items: DataFrame, orders: DataFrame) -> DataFrame:
-    """The highest price each product was sold at on each day, one row per product and day."""
+def daily_prices(order_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The prices each product was sold at on each day, one row per product, day and price."""
     sold = order_items.select("order_id", "product_id", "unit_price").join(
         orders.select("order_id", F.to_date("order_date").alias("day")), "order_id"
     )
-    return sold.groupBy("product_id", "day").agg(F.max("unit_price").alias("price"))
+    return sold.select("product_id", "day", F.col("unit_price").alias("price")).distinct()
+
+
+def price_periods(prices: DataFrame) -> DataFrame:
+    """Periods between changes of a product's price, from rows (product_id, day, price).
+
+    Prices of one day count as if they came in ascending order, so all but the last of them end on the day they start.
+    A day that begins with the price the day before ended with goes on with its period. NULL prices are no prices.
+    """
+    known = prices.where("price IS NOT NULL").distinct()
+    days = known.groupBy("product_id", "day").agg(F.min("price").alias("low"), F.max("price").alias("high"))
+    history = Window.partitionBy("product_id").orderBy("day")
+    goes_on = F.coalesce(F.col("before") == F.col("low"), F.lit(False))
+    changes = (
+        days.withColumn("before", F.lag("high").over(history))
+        .where(~(goes_on & (F.col("low") == F.col("high"))))
+        .withColumn("next_day", F.lead("day").over(history))
+    )
+    started = known.join(changes, ["product_id", "day"]).where(~(goes_on & (F.col("price") == F.col("low"))))
+    ends = F.when(F.col("price") < F.col("high"), F.col("day")).otherwise(F.col("next_day"))
+    return started.select(
+        "product_id", "price", F.col("day").alias("effective_date"), ends.alias("expiration_date"),
+        ends.isNull().alias("is_current"),
+    )
 
 
 def product_price_history(order_items: DataFrame, orders: DataFrame) -> DataFrame:
-    return validity_periods(daily_price(order_items, orders), "product_id", "day", "price")
+    return price_periods(daily_prices(order_items, orders))
 
 
 TOUCHES = ("click", "view")
@@ -55,46 +79,55 @@ def touch_attribution(events: DataFrame) -> DataFrame:
 
     ``events`` has user_id, ts, event_id, event_type and value. Touches count if they come before the purchase in
     (ts, event_id) order; a purchase without any touch before it is credited to none. What a purchase needs from
-    before is a running count per kind and the first and last kind: taken within the user's hour, and carried over
-    from the hours before, of which a user has one row each.
+    before is a running count per kind and the first and last kind: taken within the user's second, and carried over
+    from the seconds of the hour and the hours before it, of which a user has one row each.
     """
     kind = F.when(F.col("event_type").isin(*TOUCHES), F.col("event_type"))
     timed = events.where(F.col("event_type").isin(*TOUCHES, "purchase")).select(
-        "user_id", F.date_trunc("hour", "ts").alias("hour"), F.struct("ts", "event_id").alias("at"),
-        kind.alias("touch"), F.col("value").cast("decimal(18,2)").alias("value"),
+        "user_id", F.date_trunc("hour", "ts").alias("hour"), F.date_trunc("second", "ts").alias("second"),
+        F.struct("ts", "event_id").alias("at"), kind.alias("touch"), F.col("value").cast("decimal(18,2)").alias("value"),
     )
 
-    def count_of(name: str):
-        return F.count(F.when(F.col("touch") == name, 1))
-
-    # One row per user and hour, also for hours with purchases only; then what all hours before add up to.
-    touched = F.when(F.col("touch").isNotNull(), F.struct("at", "touch"))
-    hours = timed.groupBy("user_id", "hour").agg(
-        F.min(touched)["touch"].alias("first_touch"),
-        F.max(touched)["touch"].alias("last_touch"),
-        *[count_of(name).alias(name) for name in TOUCHES],
+    # One row per user and second, also for seconds with purchases only, and from these one per user and hour.
+    found = F.when(F.col("touch").isNotNull(), F.struct("at", "touch"))
+    seconds = timed.groupBy("user_id", "hour", "second").agg(
+        F.min(found).alias("first"),
+        F.max(found).alias("last"),
+        *[F.count(F.when(F.col("touch") == name, 1)).alias(name) for name in TOUCHES],
     )
-    earlier = Window.partitionBy("user_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    carried = hours.select(
-        "user_id",
-        "hour",
-        F.first("first_touch", ignorenulls=True).over(earlier).alias("carried_first"),
-        F.last("last_touch", ignorenulls=True).over(earlier).alias("carried_last"),
-        *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"carried_{name}") for name in TOUCHES],
+    hours = seconds.groupBy("user_id", "hour").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), *[F.sum(name).alias(name) for name in TOUCHES]
     )
-    within = Window.partitionBy("user_id", "hour").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(rows: DataFrame, keys: list[str], step: str, level: str) -> DataFrame:
+        """What all earlier steps of the same keys add up to."""
+        earlier = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select(
+            *keys,
+            step,
+            F.min("first").over(earlier)["touch"].alias(f"{level}_first"),
+            F.max("last").over(earlier)["touch"].alias(f"{level}_last"),
+            *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{level}_{name}") for name in TOUCHES],
+        )
+
+    within = Window.partitionBy("user_id", "hour", "second").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     running = timed.select(
         "*",
-        F.first("touch", ignorenulls=True).over(within).alias("hour_first"),
-        F.last("touch", ignorenulls=True).over(within).alias("hour_last"),
-        *[count_of(name).over(within).alias(f"hour_{name}") for name in TOUCHES],
+        F.first("touch", ignorenulls=True).over(within).alias("own_first"),
+        F.last("touch", ignorenulls=True).over(within).alias("own_last"),
+        *[F.count(F.when(F.col("touch") == name, 1)).over(within).alias(f"own_{name}") for name in TOUCHES],
     ).where("touch IS NULL")
-    bought = running.join(carried, ["user_id", "hour"]).select(
-        "value",
-        F.coalesce("carried_first", "hour_first").alias("first_touch"),
-        F.coalesce("hour_last", "carried_last").alias("last_touch"),
-        *[(F.col(f"carried_{name}") + F.col(f"hour_{name}")).alias(name) for name in TOUCHES],
-    ).where("first_touch IS NOT NULL")
+    bought = (
+        running.join(before(seconds, ["user_id", "hour"], "second", "second"), ["user_id", "hour", "second"])
+        .join(before(hours, ["user_id"], "hour", "hour"), ["user_id", "hour"])
+        .select(
+            "value",
+            F.coalesce("hour_first", "second_first", "own_first").alias("first_touch"),
+            F.coalesce("own_last", "second_last", "hour_last").alias("last_touch"),
+            *[(F.col(f"hour_{n}") + F.col(f"second_{n}") + F.col(f"own_{n}")).alias(n) for n in TOUCHES],
+        )
+        .where("first_touch IS NOT NULL")
+    )
 
     everything = F.col(TOUCHES[0]) + F.col(TOUCHES[1])
     credited = bought.select(

@@ -618,15 +618,12 @@ FROM (SELECT month_start, CAST(SUM(s) AS DECIMAL(28,2)) AS total_spend, CAST(SUM
       GROUP BY month_start)"""
 
 PARTS["scd2"] = """
-SELECT product_id, price, MIN(day) AS effective_date, LEAD(MIN(day)) OVER later AS expiration_date,
-       LEAD(MIN(day)) OVER later IS NULL AS is_current
-FROM (SELECT *, SUM(changed) OVER (PARTITION BY product_id ORDER BY day) AS period
-      FROM (SELECT *, CASE WHEN price = LAG(price) OVER (PARTITION BY product_id ORDER BY day) THEN 0 ELSE 1 END
-                          AS changed
-            FROM (SELECT product_id, CAST(order_date AS DATE) AS day, MAX(unit_price) AS price
-                  FROM stg_order_items JOIN stg_orders USING (order_id) GROUP BY ALL)))
-GROUP BY product_id, price, period
-WINDOW later AS (PARTITION BY product_id ORDER BY MIN(day))"""
+SELECT product_id, price, day AS effective_date, LEAD(day) OVER later AS expiration_date,
+       LEAD(day) OVER later IS NULL AS is_current
+FROM (SELECT DISTINCT product_id, CAST(order_date AS DATE) AS day, unit_price AS price
+      FROM stg_order_items JOIN stg_orders USING (order_id) WHERE unit_price IS NOT NULL
+      QUALIFY price IS DISTINCT FROM LAG(price) OVER (PARTITION BY product_id ORDER BY day, price))
+WINDOW later AS (PARTITION BY product_id ORDER BY day, price)"""
 
 PARTS["purchase_touches"] = f"""
 SELECT {dec('p.value')} AS value, COUNT(*) FILTER (t.event_type = 'click') AS click,

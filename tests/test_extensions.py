@@ -20,6 +20,18 @@ def test_validity_periods(spark):
                    (2, 3, None, 1, True)]
 
 
+def test_price_periods_keep_every_price_of_a_day(spark):
+    seen = [(1, 1, 5), (1, 1, 7), (1, 1, 6), (1, 2, 7), (1, 4, 7), (1, 4, 8), (1, 5, 2), (1, 6, None), (2, 3, 1), (2, 4, 1)]
+    df = spark.createDataFrame([(k, date(2024, 1, d), p) for k, d, p in seen * 2], "product_id int, day date, price int")
+    got = sorted(
+        (r["product_id"], r["effective_date"].day, r["price"], r["expiration_date"] and r["expiration_date"].day, r["is_current"])
+        for r in history.price_periods(df).collect()
+    )
+    assert got == [(1, 1, 5, 1, False), (1, 1, 6, 1, False), (1, 1, 7, 4, False), (1, 4, 8, 5, False), (1, 5, 2, None, True),
+                   (2, 3, 1, None, True)]
+    assert history.price_periods(df.where("false")).collect() == []
+
+
 def touches(spark, *rows):
     start = datetime(2024, 1, 1)
     data = [(i, start + timedelta(minutes=m), u, k, v, "") for i, (m, u, k, v) in enumerate(rows)]
@@ -68,3 +80,13 @@ def test_ad_days_and_acquisition_cost(spark):
     assert {k.month: (r["total_spend"], r["new_customers"], r["cac"]) for k, r in cost.items()} == {
         2: (money(60), 2, 30.0), 3: (money(5), 0, None)
     }
+
+
+def test_attribution_within_one_second_and_between_seconds(spark):
+    got = touches(
+        spark,
+        (0, 1, "view", 0.0), (0, 1, "purchase", 1.0), (0, 1, "click", 0.0), (0, 1, "purchase", 2.0),
+        (0.5, 1, "purchase", 4.0),                             # another second of the same hour
+    )
+    assert got["view"] == (3, 1, 2.0, Decimal("7.00"), Decimal("1.00"))
+    assert got["click"] == (0, 2, 1.0, None, Decimal("6.00"))
