@@ -68,16 +68,19 @@ def rake(cells: DataFrame, temperatures: dict[str, float], rounds: int = ROUNDS,
     A round adjusts one margin after the other; the rounds end when none moved a weight by more than the tolerance. One
     number a round comes to the driver. Cells without tokens are not there.
     """
-    wanted = {name: stored(margin_targets(cells, name, temperatures[name]), "margins") for name in MARGINS}
-    now = cells.withColumn("weight", F.lit(1.0))
+    wanted = [f"wanted_{name}" for name in MARGINS]
+    for name, column in zip(MARGINS, wanted, strict=True):
+        cells = cells.join(margin_targets(cells, name, temperatures[name]).withColumnRenamed("wanted", column), name)
+    # Each cell carries its margins' targets, so that a round joins nothing but its own sums.
+    now = stored(cells.withColumn("weight", F.lit(1.0)), "cells")
     for _ in range(rounds):
         moved = F.lit(0.0)
-        for name in MARGINS:
-            sums = now.groupBy(name).agg(F.sum(F.col("tokens") * F.col("weight")).alias("has"))
-            factors = sums.join(wanted[name], name).select(name, (F.col("wanted") / F.col("has")).alias(f"by_{name}"))
+        for name, column in zip(MARGINS, wanted, strict=True):
+            sums = now.groupBy(name).agg(F.sum(F.col("tokens") * F.col("weight")).alias("has"), F.max(column).alias("w"))
+            factors = sums.select(name, (F.col("w") / F.col("has")).alias(f"by_{name}"))
             now = now.join(factors, name).withColumn("weight", F.col("weight") * F.col(f"by_{name}"))
             moved = F.greatest(moved, F.abs(F.col(f"by_{name}") - 1))
-        now = stored(now.select(*MARGINS, "tokens", "weight", moved.alias("moved")), "cells")
+        now = stored(now.select(*MARGINS, *wanted, "tokens", "weight", moved.alias("moved")), "cells")
         if (now.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
             break
         now = now.drop("moved")
