@@ -68,16 +68,20 @@ def basis(features: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(features)), difference, ratio, difference * np.abs(difference), ratio * ratio, difference * ratio], axis=1)
 
 
-def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Coefficients of a logistic regression by Newton's method; without both kinds of label, of a constant."""
+def calibrate(features: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, ridge: float = 1e-3) -> np.ndarray:
+    """Coefficients of a logistic regression by Newton's method; without both kinds of label, of a constant.
+
+    Weights count relative to each other: their mean is taken as 1.
+    """
     x = basis(features) if len(features) else np.empty((0, 6))
     beta = np.zeros(6)
     if not len(labels) or labels.min() == labels.max():
         beta[0] = 0.0 if not len(labels) else (4.0 if labels[0] else -4.0)
         return beta
+    w = np.ones(len(labels)) if weights is None else weights / weights.mean()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -35, 35)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(6), x.T @ (labels - p) - ridge * beta)
+        step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + ridge * np.eye(6), x.T @ (w * (labels - p)) - ridge * beta)
         beta += step
         if np.abs(step).max() < 1e-9:
             break
@@ -85,18 +89,23 @@ def calibrate(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-3) ->
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, most_rows: int) -> DataFrame:
-    """draw, label, use (train or calibrate) and text of a bounded number of labelled rows outside the held-out fold."""
+    """draw, label, weight, use (train or calibrate) and text of a bounded number of labelled rows outside the held-out fold.
+
+    A row's weight is the number of usable labels of its kind over those that were drawn: 1 where the bound cuts nothing.
+    """
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), FOLDS) != HELD_OUT))
     one = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     one = one.withColumn("draw", F.xxhash64(F.lit("quality"), "doc_id"))
+    counts = {r["label"]: r["count"] for r in one.where("label IN (0, 1)").groupBy("label").count().collect()}
     drawn = None
     for kind in (0, 1):
         part = one.where(F.col("label") == kind).orderBy("draw", "doc_id").limit(most_rows)
+        part = part.withColumn("weight", F.lit(max(1.0, counts.get(kind, 0) / most_rows)))
         drawn = part if drawn is None else drawn.unionByName(part)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    # At most two times most_rows rows of three numbers.
+    # At most two times most_rows rows of four numbers.
     return texts.join(F.broadcast(drawn), "doc_id").select(
-        "draw", "label", (F.pmod("draw", F.lit(2)) == 0).alias("trains"), "text"
+        "draw", "label", "weight", (F.pmod("draw", F.lit(2)) == 0).alias("trains"), "text"
     )
 
 
@@ -126,8 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
         trained.append(train_dictionary([bytes(r["block"]) for r in rows]))
     rest = with_features(sample.where("NOT trains"), "text", trained[0], trained[1]).drop("text").collect()
     rest.sort(key=lambda r: r["draw"])
-    kinds = np.array([r["label"] for r in rest], dtype=float)
-    return trained[0], trained[1], calibrate(np.array([[r["difference"], r["ratio"]] for r in rest]).reshape(-1, 2), kinds)
+    kinds, weights = (np.array([r[name] for r in rest], dtype=float) for name in ("label", "weight"))
+    features = np.array([[r["difference"], r["ratio"]] for r in rest]).reshape(-1, 2)
+    return trained[0], trained[1], calibrate(features, kinds, weights)
 
 
 def with_features(docs: DataFrame, text: str, good: bytes, bad: bytes, names: tuple[str, str] = ("difference", "ratio")) -> DataFrame:

@@ -122,6 +122,30 @@ def test_held_out_accuracy(spark, query, label, parts, held, least):
     assert sum(a == b for a, b in scored) / len(scored) >= least
 
 
+def test_quality_curve_keeps_the_share_of_labels_beyond_the_bound(spark):
+    """Where text says nothing of the label, the mean score is the label's share, also if the bound cuts the commoner one."""
+    rng = np.random.default_rng(9)
+    rows = [(k, " ".join(rng.choice(WORDS, 60)), int(k % 7 > 0)) for k in range(1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+
+    def mean_score(most_rows):
+        good, bad, beta = quality_compression.fit(docs, docs, "doc_id", "text", "quality", most_rows)
+        found = quality_compression.with_features(docs, "text", good, bad).select("difference", "ratio").toPandas()
+        return (1 / (1 + np.exp(-(quality_compression.basis(found.to_numpy()) @ beta)))).mean()
+
+    assert mean_score(1400) == pytest.approx(6 / 7, abs=0.05)
+    assert mean_score(120) == pytest.approx(mean_score(1400), abs=0.08)
+
+
+def test_calibration_weights_stand_for_repeated_rows():
+    rng = np.random.default_rng(5)
+    features = np.stack([rng.normal(0, 0.05, 400), rng.uniform(0.3, 0.6, 400)], axis=1)
+    kinds = (rng.random(400) < 1 / (1 + np.exp(-30 * features[:, 0]))).astype(float)
+    times = np.where(kinds == 1, 6, 1)
+    again = quality_compression.calibrate(features.repeat(times, axis=0), kinds.repeat(times), ridge=1e-9)
+    assert quality_compression.calibrate(features, kinds, times.astype(float), ridge=1e-9) == pytest.approx(again, rel=1e-4)
+
+
 def test_training_does_not_see_held_out_labels(spark, documents):
     table = spark.read.parquet(f"{FOLDER}/labels.parquet")
     changed = table.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
