@@ -74,8 +74,16 @@ def set_keys(docs: np.ndarray, grams: np.ndarray, starts: np.ndarray) -> np.ndar
     return np.stack(parts, axis=1).view(np.int64)
 
 
+def identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text and text_hash: an id may stand on several texts, so a row is known by its id and its text's hash."""
+    return docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash")
+    )
+
+
 def signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, the key of the n-gram set, its size, and a hash for each band; texts without a word are left out."""
+    """doc_id, a hash of the text, the key of the n-gram set, its size, and a hash for each band; texts without a word are
+    left out."""
     salts = np.random.default_rng(7).integers(1, 1 << 63, (2, bands * rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,30 +104,30 @@ def signatures(docs: DataFrame, doc_id: str, text: str, words: int, bands: int,
                 flat = pa.array(np.ascontiguousarray(folded.T).reshape(-1).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(present) + 1, dtype=np.int32) * bands), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(present)), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()),
-                     pa.array(sizes.astype(np.int64)), lists],
-                    names=["doc_id", "key_1", "key_2", "n_grams", "bands"],
+                    [*[part.column(c).take(pa.array(present)) for c in ("doc_id", "text_hash")],
+                     pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array(sizes.astype(np.int64)), lists],
+                    names=["doc_id", "text_hash", "key_1", "key_2", "n_grams", "bands"],
                 )
 
     return arrow_map(
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
+        identified(docs, doc_id, text),
         run,
-        "doc_id long, key_1 long, key_2 long, n_grams long, bands array<long>",
+        "doc_id long, text_hash long, key_1 long, key_2 long, n_grams long, bands array<long>",
     )
 
 
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """(node, label): the classes that share a band with another one, in connected groups."""
-    banded = classes.select("rep", F.posexplode("bands").alias("band", "hash"))
-    least = banded.groupBy("band", "hash").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
+    banded = classes.select("node", F.posexplode("bands").alias("band", "hash"))
+    least = banded.groupBy("band", "hash").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     shared = least.where("first < last").select("band", "hash", "first")
-    edges = banded.join(shared, ["band", "hash"]).where("rep > first")
-    return components(stored(edges.select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct(), "band-links"))
+    edges = banded.join(shared, ["band", "hash"]).where("node > first")
+    return components(stored(edges.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "band-links"))
 
 
 def dealt(groups: DataFrame, classes: DataFrame) -> DataFrame:
     """The cells in which each candidate takes part: (label, i, j) with i <= j, and its own block."""
-    sized = groups.join(classes.select(F.col("rep").alias("node"), "key_1", "key_2", "n_grams", "copies"), "node")
+    sized = groups.join(classes.select("node", "rep", "text_hash", "key_1", "key_2", "n_grams", "copies"), "node")
     blocks = sized.groupBy("label").agg(
         F.greatest(
             F.ceil(F.count("*") / CELL_MEMBERS), F.ceil(F.sum("n_grams") / F.lit(CELL_GRAMS))
@@ -128,7 +136,7 @@ def dealt(groups: DataFrame, classes: DataFrame) -> DataFrame:
     members = sized.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     return members.select("*", other).select(
-        "node", "label", "key_1", "key_2", "copies", "block",
+        "node", "rep", "text_hash", "label", "key_1", "key_2", "copies", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
 
@@ -179,8 +187,8 @@ def linked(node: np.ndarray, copies: np.ndarray, block: np.ndarray, same: bool,
 
 def verified(cells: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, similarity: float) -> DataFrame:
     """(node, links, least) for every member of every cell."""
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
-    rows = cells.join(texts, "node").repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
+    texts = identified(docs, doc_id, text).withColumnRenamed("doc_id", "rep")
+    rows = cells.join(texts, ["rep", "text_hash"]).repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
 
     def work(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         cell = pa.Table.from_batches(held).combine_chunks()
@@ -190,9 +198,11 @@ def verified(cells: DataFrame, docs: DataFrame, doc_id: str, text: str, words: i
         present, starts = np.unique(at, return_index=True)
         mine = np.zeros(len(node), dtype=bool)
         mine[present] = (set_keys(at, grams, starts) == keys[present]).all(axis=1)
-        # An id that is there twice keeps the row whose set was announced, once.
-        mine[1:] &= ~((node[1:] == node[:-1]) & mine[:-1])
+        # A node whose id and text are there twice is taken once, from a row with the set that was announced.
         pick = np.flatnonzero(mine)
+        pick = pick[np.unique(node[pick], return_index=True)[1]]
+        mine[:] = False
+        mine[pick] = True
         place = np.full(len(node), -1)
         place[pick] = np.arange(len(pick))
         keep = mine[at]
@@ -220,53 +230,72 @@ def verified(cells: DataFrame, docs: DataFrame, doc_id: str, text: str, words: i
     return arrow_map(rows.select(*columns), run, "node long, links long, least long")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    words: int = WORDS,
-    similarity: float = SIMILARITY,
-    recall: float = RECALL,
-) -> DataFrame:
-    """One row per document: doc_id, class_id (least id of its class), n_links (other documents at the threshold or above).
-
-    A text without a word is like no other: it is its own class, with no link; so is a row without an id, unless its
-    n-gram set is that of others. Rows that share an id count as one document for classes. An empty table gives an
-    empty result. Other columns of docs are not read.
-    """
+def classified(docs: DataFrame, doc_id: str, text: str, words: int, similarity: float, recall: float) -> DataFrame:
+    """doc_id, text_hash, class_id, n_links and stays (its id and set are the least of its class) for every row."""
     bands, rows = band_plan(similarity, recall)
     signed = stored(signatures(docs, doc_id, text, words, bands, rows), "signatures")
+    # Classes are numbered before they are stored: ids may repeat on different texts, so they cannot tell classes apart.
     classes = stored(
         signed.groupBy("key_1", "key_2").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"),
-            F.first("bands").alias("bands"),
-        ),
+            F.min("doc_id").alias("rep"), F.min_by("text_hash", "doc_id").alias("text_hash"), F.count("*").alias("copies"),
+            F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"),
+        ).withColumn("node", F.monotonically_increasing_id()),
         "gram-classes",
     )
     groups = stored(candidate_groups(classes.where("rep IS NOT NULL")), "band-groups")
     found = stored(verified(dealt(groups, classes), docs, doc_id, text, words, similarity), "cells")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(found.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    labels = stored(labels.join(classes.select("node", "rep", "key_1", "key_2"), "node"), "gram-labels")
+    firsts = labels.groupBy("label").agg(F.min(F.struct("rep", "key_1", "key_2")).alias("first"))
     verdict = (
-        classes.select("key_1", "key_2", "rep", "copies")
-        .join(links.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("node", "key_1", "key_2", "rep", "copies")
+        .join(links, "node", "left")
+        .join(labels.join(firsts, "label").select("node", "first"), "node", "left")
         .select(
-            "key_1", "key_2", F.coalesce("label", "rep").alias("class_id"),
+            "key_1", "key_2", F.coalesce("first.rep", "rep").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce((F.col("first.key_1") == F.col("key_1")) & (F.col("first.key_2") == F.col("key_2")), F.lit(True)).alias("leads"),
         )
     )
-    with_words = signed.select("doc_id", "key_1", "key_2").join(verdict, ["key_1", "key_2"]).select("doc_id", "class_id", "n_links")
+    with_words = signed.select("doc_id", "text_hash", "key_1", "key_2").join(verdict, ["key_1", "key_2"]).select(
+        "doc_id", "text_hash", "class_id", "n_links", (F.col("leads") & (F.col("doc_id") == F.col("class_id"))).alias("stays")
+    )
     # What has no signature has no word: counted by rows, since ids may repeat.
-    blank = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(
+    blank = identified(docs, doc_id, text).where(
         F.col("text").isNull() | ~F.col("text").rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")
     )
-    return with_words.unionByName(blank.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+    return with_words.unionByName(
+        blank.select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("stays"))
+    )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+) -> DataFrame:
+    """One row per document: doc_id, class_id (least id of its class), n_links (other documents at the threshold or above).
+
+    A text without a word is like no other: it is its own class, with no link; so is a row without an id, unless its
+    n-gram set is that of others. Rows that share an id are documents of their own: each has the class of its own text,
+    though two classes may then have the same least id. An empty table gives an empty result. Other columns of docs are
+    not read.
+    """
+    return classified(docs, doc_id, text, words, similarity, recall).select("doc_id", "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose id is the least of its class of near duplicates, and rows without an id."""
-    stay = near_duplicates(docs, doc_id, text).where("doc_id = class_id").select(F.col("doc_id").alias("_stay")).distinct()
-    rows = docs.withColumn("_key", F.col(doc_id).cast("long"))
-    kept = rows.join(stay, rows["_key"] == stay["_stay"], "left_semi").select(*docs.columns)
+    """The rows of docs that are the least of their class of near duplicates, and rows without an id.
+
+    The least is by id, then by n-gram set; rows that agree in both all stay.
+    """
+    verdicts = classified(docs, doc_id, text, WORDS, SIMILARITY, RECALL).where("stays")
+    stay = verdicts.select(F.col("doc_id").alias("_stay"), F.col("text_hash").alias("_stay_hash")).distinct()
+    rows = docs.withColumn("_key", F.col(doc_id).cast("long")).withColumn("_hash", F.xxhash64(F.col(text)))
+    same = (rows["_key"] == stay["_stay"]) & (rows["_hash"] == stay["_stay_hash"])
+    kept = rows.join(stay, same, "left_semi").select(*docs.columns)
     return kept.unionByName(docs.where(F.col(doc_id).isNull()))

@@ -261,6 +261,23 @@ def test_large_group_of_near_copies_in_several_cells(spark, monkeypatch):
     assert found[3] == (0, 59)
 
 
+def test_an_id_on_several_texts_is_a_document_each(spark):
+    """Classes go by text: a repeated id links no unrelated texts, loses no links and takes no clean text along."""
+    def near(name, k):
+        return " ".join([*(f"{name}{j}" for j in range(k)), f"new{k}", *(f"{name}{j}" for j in range(k + 1, 200))])
+
+    rows = [(3, near("a", 5)), (7, near("a", 60)), (7, "alone among all of these words"), (7, near("b", 9))]
+    rows += [(8, near("b", 120)), (9, near("c", 4)), (9, near("c", 90)), (9, near("d", 3)), (9, near("c", 150))]
+    rows += [(3, ""), (10, near("d", 80)), (10, near("d", 130))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = plain_links(dict(enumerate(t for _, t in rows)))
+    wanted = Counter((rows[k][0], min(rows[j][0] for j in plain if plain[j][0] == c), n) for k, (c, n) in plain.items())
+    assert Counter(tuple(r) for r in ngram_join.near_duplicates(docs).collect()) == wanted
+    kept = Counter(tuple(r) for r in ngram_join.one_of_each(docs).collect())
+    assert not kept - Counter(rows) and len({c for c, _ in plain.values()}) == kept.total() == 6
+    assert kept.keys() >= {rows[0], rows[2], rows[3], rows[7], rows[9]} and sum(r in kept for r in (rows[5], rows[6], rows[8])) == 1
+
+
 def test_band_plan_reaches_the_recall():
     for similarity, recall in ((0.8, 0.99), (0.5, 0.9), (0.9, 0.999)):
         bands, rows = ngram_join.band_plan(similarity, recall)
