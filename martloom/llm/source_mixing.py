@@ -4,6 +4,9 @@ Iterative proportional fitting gives every cell (source, language, topic) a weig
 wanted share of each source, each language and each topic. A document's chance to stay is its cell's weight times one
 number, at most 1, and that number is solved for the wanted number of tokens. The draw is a hash of the document's id: a
 repeated task draws the same.
+
+Only the number of tokens is met after that cut at 1, not the margins: cells beyond it are kept whole and give less than
+their weight asks for, the others make up for it. The README has figures.
 """
 
 from __future__ import annotations

@@ -378,6 +378,16 @@ def test_sample_has_the_wanted_size(spark):
     assert sum(r["n_tokens"] for r in rows if r["kept"]) == pytest.approx(0.8 * total, rel=0.05)
 
 
+def test_margins_after_the_cut_are_as_near_as_documented(spark):
+    rows = source_mixing.sampled(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("n_tokens > 0").toPandas()
+    rows["expected"] = rows["n_tokens"] * rows["probability"]
+    for name, most in (("source", 0.0034), ("lang", 0.0368), ("topic", 0.0132)):
+        sums = rows.groupby(name, dropna=False)[["n_tokens", "expected"]].sum()
+        wanted = sums["n_tokens"] ** source_mixing.TEMPERATURES[name]
+        off = (sums["expected"] / sums["expected"].sum() - wanted / wanted.sum()).abs().max()
+        assert off <= most and (name != "lang" or off > 0.03), name
+
+
 def test_license_phrases_match_a_plain_search(spark, texts):
     for row in queries.op8_license_scan(spark, FOLDER).collect():
         text = re.sub("[A-Z]", lambda m: m[0].lower(), texts[row["doc_id"]])
