@@ -5,6 +5,11 @@ for any a to b words. It is compiled once into an automaton over word hashes: a
 moves by a word, by any word, or by none past an optional region. A text is accepted where some run of its words leads
 from the first state to the last, so all mandatory words must be there, in order and without others between them.
 
+Not all templates are whole licenses. MIT's first one is. ISC's ends with its conditions and both of BSD end with the first
+words of the disclaimer: they are excerpts, and what follows them is not looked at, so an altered or missing disclaimer is
+accepted too. Those of Apache, GPL and CC-BY, and MIT's other two, are notices that name a license; the whole text of such a
+license has their label only where a notice stands in it.
+
 Places where a template can begin are found for all texts of a batch at once; the automaton runs from those places only.
 """
 
