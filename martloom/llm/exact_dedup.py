@@ -1,10 +1,14 @@
-"""Exact duplicates through an extendible-hash index on shared files, with DataFrame functions only.
+"""Exact duplicates by grouping on hash and text, and an extendible-hash directory over the result, with DataFrame
+functions only.
 
-The index is built in the way of extendible hashing (Fagin et al., 1979). A directory maps the leading bits of a 64-bit
+A plain groupBy over hash and bytes finds the copies, and a join on hash and SHA-256 brings the verdicts to the documents.
+The directory is made from the distinct texts after that; it decides no result, no owner and no lookup.
+
+The directory is built in the way of extendible hashing (Fagin et al., 1979). A directory maps the leading bits of a 64-bit
 hash to buckets. It starts with one bucket; each round doubles the directory and splits the buckets that hold more
 distinct hashes than fit, while the others keep their fewer bits. Copies share one hash and never overfill a bucket.
-A bucket is a range of hashes and belongs to one owner task. Texts with equal hashes are chained: they are grouped by
-their bytes, so a collision makes a second entry in the chain and never a false copy.
+A bucket is a range of hashes; the owners of the stored entries are ranges that Spark's range shuffle picks by itself. Texts
+with equal hashes are grouped by their bytes, so a collision makes a second entry and never a false copy.
 
 Copies are combined in each task before anything is shuffled, so a text that makes up a third of all rows costs one row
 for each task. The index files in the shared folder hold one entry for each distinct text, ordered by hash within the
