@@ -55,7 +55,7 @@ STAGES = [
     ("byte_bpe", tokenise),
 ]
 
-# A trained classifier and a sampling by fitted weights are among the stages; tests hold run() against a plain version.
+# A trained classifier and a sampling by fitted weights are among the stages; tests hold run() against a plain version on sf0.001.
 ORACLE_SQL = None
 
 

@@ -308,6 +308,67 @@ def test_directory_splits_only_overfull_buckets(spark):
     assert len(depths) > 1 and max(r["entries"] for r in rows if r["depth"] < max(depths)) <= 64
 
 
+def plain_mix(rows, draws):
+    """Ids that stay: raking of cells in numpy, one factor for the wanted size, the operator's own draw."""
+    ids = sorted(rows)
+    counts, topics = (c.to_numpy() for c in source_mixing.token_topics(pa.array([rows[k]["text"] for k in ids], pa.string())))
+    cells = Counter()
+    for k, n, topic in zip(ids, counts, topics, strict=True):
+        if n:
+            cells[rows[k]["source"], rows[k]["lang"], int(topic)] += int(n)
+    held, weight = np.array(list(cells.values()), float), np.ones(len(cells))
+    for _ in range(300):
+        for axis, name in enumerate(source_mixing.MARGINS):
+            values = {v: j for j, v in enumerate(dict.fromkeys(c[axis] for c in cells))}
+            at = np.array([values[c[axis]] for c in cells])
+            wanted = np.bincount(at, held) ** source_mixing.TEMPERATURES[name]
+            weight *= (wanted / wanted.sum() * held.sum() / np.bincount(at, held * weight))[at]
+    low, high = 0.0, 1 / weight.min()
+    for _ in range(200):
+        f = (low + high) / 2
+        low, high = (f, high) if (held * np.minimum(1, f * weight)).sum() < source_mixing.KEEP_TOKENS * held.sum() else (low, f)
+    chance = dict(zip(cells, np.minimum(1, high * weight), strict=True))
+    return {
+        k for k, n, topic in zip(ids, counts, topics, strict=True)
+        if not n or draws[k] < chance[rows[k]["source"], rows[k]["lang"], int(topic)]
+    }
+
+
+def test_pipeline_matches_a_plain_run(spark, documents):
+    """Stage after stage in plain Python, with the fitted weights of the first; ids and token ids agree exactly."""
+    import tiktoken
+
+    import corpus_pipeline
+    from martloom.llm.common import unit_hash
+
+    rows = {r["doc_id"]: r for r in documents.collect()}
+    weights, intercept = toxicity.fit(documents, spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id", "text", "toxic")
+
+    def logit(text):
+        return intercept + sum(weights.get(b, 0.0) for b in set(toxicity.features(pa.array([text], pa.string()))[1].tolist()))
+
+    calm = {k: r for k, r in rows.items() if logit(r["text"]) < 0}
+    best = {}
+    for k in sorted(calm):
+        text = calm[k]["text"] or ""
+        norm = re.sub(r"[\x20\x09-\x0D]+", "", text)
+        if norm not in best or len(text) > len(rows[best[norm]]["text"] or ""):
+            best[norm] = k
+    single = {k: calm[k] for k in best.values()}
+    least = {k: single[k] for k, (c, _) in plain_links({k: r["text"] or "" for k, r in single.items()}).items() if k == c}
+    draws = dict(tuple(r) for r in documents.select("doc_id", unit_hash(documents["doc_id"], seed=source_mixing.SEED)).collect())
+    stay = plain_mix(least, draws)
+    assert len(rows) > len(calm) > len(single) > len(least) > len(stay) > 0
+
+    vocab = bpe.vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocab.ranks, special_tokens={})
+    found = corpus_pipeline.run(spark, FOLDER).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(stay) and all(r["decodes"] for r in found)
+    for r in found:
+        ids = library.encode_ordinary(rows[r["doc_id"]]["text"] or "")
+        assert (np.frombuffer(r["token_ids"], "<u4").tolist(), r["n_tokens"]) == (ids, len(ids))
+
+
 # ---- 6 to 9 ---------------------------------------------------------------------------------------------------------
 
 
