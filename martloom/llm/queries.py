@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
-    bpe, exact_dedup, license_scan, lm_scoring, ngram_join, quality_compression, quality_rules, source_mixing, token_ids,
-    toxicity,
+    bpe, centroid_clusters, exact_dedup, license_scan, lm_scoring, ngram_join, periodic_runs, quality_compression,
+    quality_rules, source_mixing, token_counts, token_ids, toxicity,
 )
 from martloom.llm.common import table
 
@@ -62,11 +62,24 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scores(documents(spark, folder), table(spark, folder, "labels"))
 
 
+def op11_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.clustered(table(spark, folder, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.run_digests(documents(spark, folder))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.document_counts(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_token_ids, op3_byte_bpe, op4_ngram_jaccard_join, op5_exact_dedup,
-        op6_lm_scoring, op7_source_mixing, op8_license_scan, op9_quality_rules, op10_toxicity,
+        op6_lm_scoring, op7_source_mixing, op8_license_scan, op9_quality_rules, op10_toxicity, op11_centroid_clusters,
+        op12_periodic_runs, op13_token_counts,
     )
 }
 
