@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.measures import ratio_or_null
 from martloom.operators.ad_marts import ad_parents, money_sum, ratios
+from martloom.operators.attribution import CREDITS, attributed_daily
 from martloom.operators.facts import totals
+from martloom.operators.shares import shared_out
 
 
 def customer_ltv(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -49,11 +51,16 @@ def ads_daily(performance: DataFrame, ad: DataFrame, adset: DataFrame, campaign:
 
 
 def sales_ads_daily(
-    performance: DataFrame, summaries: DataFrame, ad: DataFrame, adset: DataFrame, campaign: DataFrame
-) -> DataFrame:
-    """Ad spend, conversions and their value per day and ad set, next to the shop's revenue of the day.
-
-    Nothing links an order to an ad: the revenue attributed to an ad set is its own conversion value.
+    performance: DataFrame, summaries: DataFrame, ad: DataFrame, adset: DataFrame, campaign: DataFrame,
+    credits: DataFrame | None = None,
+) -> DataFrame:
+    """Ad spend, conversions and their value per day and ad set, with its part of the shop's revenue of the day.
+
+    The shop's revenue is shared out to the ad sets of the day by their conversions; on a day without any, by their spend;
+    without spend, equally. Parts are whole cents and add up to the revenue, so they can be summed over ad sets, unlike
+    ``store_revenue`` itself, which each row of a day repeats. ``credits`` (one row per purchase and ad, as
+    ``attribution_credits`` makes them) adds what purchases of the day credit to the ad set; an ad set that only gets
+    credit on a day has a row then, too.
     """
     by_ad_set = (
         _ad_days(performance, ad, adset, campaign)
@@ -63,17 +70,31 @@ def sales_ads_daily(
             F.sum("conversions").alias("total_conversions"),
             money_sum("conversion_value").alias("total_attributed_revenue"),
         )
+        .join(adset.select("adset_key", "ad_set_id"), "adset_key")
+        .join(campaign.select("campaign_key", "campaign_id"), "campaign_key")
+        .drop("adset_key", "campaign_key")
     )
     # One row per day.
     shop = summaries.groupBy(F.to_date("order_date").alias("date")).agg(money_sum("grand_total").alias("store_revenue"))
-    return (
-        by_ad_set.join(adset.select("adset_key", "ad_set_id"), "adset_key")
-        .join(campaign.select("campaign_key", "campaign_id"), "campaign_key")
-        .join(F.broadcast(shop), "date", "left")
-        .select(
-            *"date campaign_id ad_set_id total_spend total_conversions total_attributed_revenue store_revenue".split()
-        )
+    day = Window.partitionBy("date")
+    weight = (
+        F.when(F.sum("total_conversions").over(day) > 0, F.col("total_conversions"))
+        .when(F.sum("total_spend").over(day) > 0, F.col("total_spend") * 100)
+        .otherwise(1)
     )
+    dated = by_ad_set.join(F.broadcast(shop), "date", "left").withColumn("_weight", weight)
+    found = shared_out(dated, "store_revenue", {"revenue_share": F.col("_weight")}, ["date"], ["ad_set_id"]).drop("_weight")
+    columns = "date campaign_id ad_set_id total_spend total_conversions total_attributed_revenue store_revenue".split()
+    names = [*columns, "revenue_share"]
+    if credits is not None:
+        credited = attributed_daily(credits, ad, adset, campaign)
+        found = found.drop("store_revenue").join(credited, ["date", "campaign_id", "ad_set_id"], "full")
+        found = found.join(F.broadcast(shop), "date", "left")
+        names += CREDITS
+    amounts = {"total_spend", "total_attributed_revenue", *CREDITS}
+    zero = {n: F.lit(0).cast("decimal(28,2)") for n in amounts} | {"total_conversions": F.lit(0).cast("bigint")}
+    filled = [F.coalesce(n, zero[n]).alias(n) if n in zero else F.col(n).alias(n) for n in names]
+    return found.select(*filled).withColumn("direct_roas", ratio_or_null("revenue_share", "total_spend"))
 
 
 def acquisition_cost(spend: DataFrame, orders: DataFrame) -> DataFrame:

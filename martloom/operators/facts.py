@@ -11,15 +11,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.keys import surrogate_key
 from martloom.functions.measures import ratio_or_zero
 from martloom.functions.rules import SOURCE_SYSTEM
+from martloom.operators.as_of import with_version
 from martloom.operators.common import current, days_table, moment, stamped, with_member_key
 
 AUDIT = ("dw_insert_date", "dw_update_date")
+BEGINNING = "0001-01-01"  # the day a first version is taken to begin on
 
 
 def newer(df: DataFrame, column: str, after) -> DataFrame:
@@ -230,3 +232,31 @@ LOADS = {
     "fact_adset_performance": ("adset_performance_key", "date", "date_key"),
     "fact_campaign_spend": ("campaign_spend_key", "date", "date_key"),
 }
+
+
+def fact_sales_as_of(order_items: DataFrame, orders: DataFrame, product_history: DataFrame) -> DataFrame:
+    """One row per order line with the version of its product that was valid on the day of the order.
+
+    Before its first version a product is taken as its first version has it: nothing earlier is known. Lines of products
+    without a history are left out, as are lines without an order.
+    """
+    first = F.row_number().over(Window.partitionBy("product_id").orderBy("effective_date")) == 1
+    begins = F.when(first, F.lit(BEGINNING).cast("date")).otherwise(F.col("effective_date"))
+    versions = product_history.select(
+        "product_id", begins.alias("begins"), F.col("version_key").alias("product_version_key"),
+        F.col("price").alias("list_price"), "cost", F.col("effective_date").alias("version_since"),
+    )
+    days = orders.select("order_id", F.to_date("order_date").alias("order_day"))
+    lines = order_items.select(
+        *"order_id order_item_id product_id quantity unit_price line_item_total".split()
+    ).join(days, "order_id")
+    found = with_version(
+        lines, versions, "product_id", "order_day", "begins", ["product_version_key", "list_price", "cost", "version_since"]
+    )
+    profit = F.col("line_item_total") - F.col("cost") * F.col("quantity").cast("decimal(10,0)")
+    return found.select(
+        surrogate_key("order_id", "order_item_id").alias("sales_key"),
+        *"order_id order_item_id product_id product_version_key order_day quantity unit_price line_item_total".split(),
+        *"list_price cost version_since".split(),
+        profit.cast("decimal(28,2)").alias("line_profit"),
+    )

@@ -6,18 +6,26 @@ other periods stay where they are. What is valid is listed in ``log/version=N``,
 a load that dies before has changed nothing, a reader always sees a whole version, and no path is read and
 overwritten at once.
 
+Which period a key is stored under is kept in an index, ``keys/version=N/bucket=B``, where a bucket holds the keys whose
+hash begins with its bits. A load reads and rewrites the buckets of its own keys only. When buckets hold more than
+``BUCKET_KEYS`` keys on average, the index is dealt again with more bits, so a bucket stays of one size however large the
+table grows.
+
 One load at a time may write to a table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "version int, period int, path string"
+# Rows of data have a period, rows of the index a bucket, the number of its keys and the bits of all bucket numbers.
+LOG_SCHEMA = "version int, period int, path string, bucket int, keys bigint, bits int"
+BUCKET_KEYS = 1 << 20
 
 
 def latest_per_key(rows: DataFrame, key: str, time_column: str) -> DataFrame:
@@ -36,18 +44,39 @@ def month_of_key(date_key: str) -> Column:
     return F.floor(F.col(date_key) / 100).cast("int")
 
 
+@dataclass
+class Live:
+    """What a version of a table consists of."""
+
+    version: int = 0
+    data: list[tuple[int, str]] = field(default_factory=list)  # period, folder
+    index: dict[int, tuple[str, int]] = field(default_factory=dict)  # bucket -> folder, number of keys
+    bits: int = 0
+
+
+def bucket_of(key: str, bits: int) -> Column:
+    """The first bits of the key's hash, as a number."""
+    if not bits:
+        return F.lit(0)
+    return F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string")), 64 - bits).cast("int")
+
+
 class FactTable:
     """A stored fact with a unique key, the time column of its loads and the period a row is stored under.
 
     The period must grow with the time: the high-water mark is looked for in the last period only.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, unique_key: str, time_column: str, period: Column):
+    def __init__(
+        self, spark: SparkSession, folder: str, unique_key: str, time_column: str, period: Column,
+        bucket_keys: int = BUCKET_KEYS,
+    ):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.unique_key = unique_key
         self.time_column = time_column
         self.period = period
+        self.bucket_keys = bucket_keys
 
     # ---- reading ----
 
@@ -55,46 +84,77 @@ class FactTable:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _live(self) -> tuple[int, list[tuple[int, str]]]:
-        """Latest version and its (period, folder) list: a few entries per period."""
+    def live(self) -> Live:
+        """The latest version: a few entries per period, and one per bucket of the index."""
         where, files = self._files(f"{self.folder}/log")
         if not files.exists(where):
-            return 0, []
+            return Live()
         # Only the newest complete version is opened, however many there are.
         versions = sorted((int(s.getPath().getName().split("=")[1]) for s in files.listStatus(where)), reverse=True)
         for last in versions:
             path = f"{self.folder}/log/version={last}"
             if files.exists(self._files(f"{path}/_SUCCESS")[0]):
-                log = self.spark.read.schema(LOG_SCHEMA).option("basePath", f"{self.folder}/log").parquet(path)
-                return last, [(row["period"], row["path"]) for row in log.collect()]
-        return 0, []
+                log = self.spark.read.schema(LOG_SCHEMA).option("basePath", f"{self.folder}/log").parquet(path).collect()
+                return Live(
+                    last,
+                    [(row["period"], row["path"]) for row in log if row["period"] is not None],
+                    {row["bucket"]: (row["path"], row["keys"]) for row in log if row["bucket"] is not None},
+                    max((row["bits"] or 0 for row in log), default=0),
+                )
+        return Live()
 
     def _read(self, paths: list[str]) -> DataFrame:
         """Rows of some period folders, with their period."""
         found = self.spark.read.option("basePath", f"{self.folder}/data").parquet(*paths)
         return found.drop("version", "kind")
 
-    def _periods(self, path: str) -> list[tuple[int, str]]:
+    def _numbered(self, path: str, name: str) -> list[tuple[int, str]]:
         where, files = self._files(path)
         if not files.exists(where):
             return []
         names = [status.getPath().getName() for status in files.listStatus(where)]
-        return [(int(n.split("=")[1]), f"{path}/{n}") for n in names if n.startswith("period=")]
-
-    def read(self, first_period: int | None = None) -> DataFrame | None:
-        """The table as of its last load, from ``first_period`` on; None before the first load."""
-        _, live = self._live()
-        paths = [path for period, path in live if first_period is None or period >= first_period]
+        return [(int(n.split("=")[1]), f"{path}/{n}") for n in names if n.startswith(f"{name}=")]
+
+    def read(self, first_period: int | None = None, periods: Callable[[int], bool] | None = None) -> DataFrame | None:
+        """The table as of its last load, from ``first_period`` on or of the periods wanted; None if nothing is there."""
+        paths = [
+            path for period, path in self.live().data
+            if (first_period is None or period >= first_period) and (periods is None or periods(period))
+        ]
         return self._read(paths).drop("period") if paths else None
 
     def high_water(self):
         """Largest time stored, read from the last period alone; None for a table without rows."""
-        _, live = self._live()
+        live = self.live().data
         if not live:
             return None
         last = max(period for period, _ in live)
         return self._read([path for period, path in live if period == last]).agg(F.max(self.time_column)).first()[0]
 
+    # ---- the index ----
+
+    def known_keys(self, live: Live, buckets: set[int]) -> DataFrame:
+        """Key and period of the stored rows in some buckets; only their files are opened."""
+        schema = f"`{self.unique_key}` string, period int"
+        paths = [live.index[b][0] for b in sorted(buckets) if b in live.index]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _buckets_of(self, keys: DataFrame, bits: int) -> set[int]:
+        """The buckets some keys are in: at most one number per bucket, not per key."""
+        return {row["b"] for row in keys.select(bucket_of(self.unique_key, bits).alias("b")).distinct().collect()}
+
+    def _store_index(self, keys: DataFrame, bits: int, path: str) -> dict[int, tuple[str, int]]:
+        """Write (key, period) rows by bucket; folder and number of keys of each bucket."""
+        dealt = keys.withColumn("bucket", bucket_of(self.unique_key, bits)).hint("rebalance", F.col("bucket"))
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(path)
+        folders = dict(self._numbered(path, "bucket"))
+        if not folders:
+            return {}
+        counts = self.spark.read.parquet(path).groupBy("bucket").count().collect()
+        return {row["bucket"]: (folders[row["bucket"]], row["count"]) for row in counts}
+
     # ---- writing ----
 
     @staticmethod
@@ -106,31 +166,65 @@ class FactTable:
         # Replaces the whole folder, also what a dead load may have left there.
         writer = self.balanced(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy("period").parquet(path)
-        return self._periods(path)
+        return self._numbered(path, "period")
 
-    def upsert(self, rows: DataFrame) -> None:
-        """Replace the stored rows that share a key with ``rows``, and add ``rows``: of a key that comes twice, the latest."""
+    def upsert(self, rows: DataFrame, gone: DataFrame | None = None) -> None:
+        """Replace the stored rows that share a key with ``rows``, and add ``rows``: of a key that comes twice, the latest.
+
+        Stored rows whose key is in ``gone`` are removed, unless ``rows`` has them. A key must not be NULL.
+        """
         rows = latest_per_key(rows, self.unique_key, self.time_column)
-        version, live = self._live()
-        version += 1
+        live = self.live()
+        version = live.version + 1
         base = f"{self.folder}/data/version={version}"
         new = self._store(rows.withColumn("period", self.period), f"{base}/kind=new")
-        if not new:
+        key = F.col(self.unique_key).cast("string").alias(self.unique_key)
+        added = self._read([path for _, path in new]).select(key, "period") if new else None
+        leaving = None
+        if gone is not None:
+            # Worked out once; it is read several times below.
+            path = f"{self.folder}/keys/version={version}-gone"
+            gone.select(key).write.mode("overwrite").parquet(path)
+            leaving = self.spark.read.schema(f"`{self.unique_key}` string").parquet(path)
+        if added is not None:
+            leaving = added.select(self.unique_key) if leaving is None else leaving.unionByName(added.select(self.unique_key))
+        if leaving is None:
             return
-        kept: list[tuple[int, str]] = []
-        if live:
-            keys = self._read([path for _, path in new]).select(self.unique_key)
-            stored = self._read([path for _, path in live])
-            # Reads the key column only; at most one row per period comes back.
-            hit = stored.select(self.unique_key, "period").join(keys, self.unique_key, "left_semi")
-            touched = {row["period"] for row in hit.select("period").distinct().collect()}
-            if touched:
-                old = self._read([path for period, path in live if period in touched])
-                kept = self._store(old.join(keys, self.unique_key, "left_anti"), f"{base}/kind=kept")
-                live = [(period, path) for period, path in live if period not in touched]
-        entries = [(version, period, path) for period, path in (*live, *kept, *new)]
-        log = self.spark.createDataFrame(entries, LOG_SCHEMA).drop("version").coalesce(1)
-        log.write.mode("overwrite").parquet(f"{self.folder}/log/version={version}")
+        leaving = leaving.distinct()
+
+        bits, index, buckets = live.bits, dict(live.index), None
+        if live.data and not index:
+            # A table that was stored without an index: its keys are read once.
+            known = self._read([path for _, path in live.data]).select(key, "period")
+        else:
+            buckets = self._buckets_of(leaving, bits)
+            known = self.known_keys(live, buckets)
+        touched = {r["period"] for r in known.join(leaving, self.unique_key, "left_semi").select("period").distinct().collect()}
+        data, kept = live.data, []
+        if touched:
+            old = self._read([path for period, path in data if period in touched])
+            column = F.col(self.unique_key).cast("string")
+            left = old.withColumn("_key", column).join(leaving.withColumnRenamed(self.unique_key, "_key"), "_key", "left_anti")
+            kept = self._store(left.drop("_key"), f"{base}/kind=kept")
+            data = [(period, path) for period, path in data if period not in touched]
+
+        entries = known.join(leaving, self.unique_key, "left_anti")
+        if added is not None:
+            entries = entries.unionByName(added)
+        path = f"{self.folder}/keys/version={version}"
+        stored = self._store_index(entries, bits, path)
+        index = stored if buckets is None else {**{b: x for b, x in index.items() if b not in buckets}, **stored}
+        total = sum(count for _, count in index.values())
+        if total > self.bucket_keys << bits:
+            while total > self.bucket_keys << bits:
+                bits += 1
+            whole = self.known_keys(Live(index=index), set(index))
+            index = self._store_index(whole, bits, f"{path}-{bits}")
+        if new or touched:
+            log = [(version, period, path, None, None, bits) for period, path in (*data, *kept, *new)]
+            log += [(version, None, path, bucket, count, bits) for bucket, (path, count) in index.items()]
+            small = self.spark.createDataFrame(log or [(version, None, None, None, None, bits)], LOG_SCHEMA)
+            small.drop("version").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/log/version={version}")
 
     def load(self, build: Callable[[object], DataFrame], look_back_days: int = 0) -> None:
         """Build the rows above the high-water mark and upsert them; a table without rows is loaded in full.

@@ -11,6 +11,7 @@ import re
 from martloom.functions import rules
 from martloom.functions.keys import NULL_PART, SEPARATOR
 from martloom.operators import quality
+from martloom.sources import star
 
 
 def key(*columns: str) -> str:
@@ -600,14 +601,33 @@ FROM (SELECT date, a.ad_id, campaign_id, {money('spend')} AS spend, {total('impr
       FROM fact_ad_performance f JOIN dim_ad a USING (ad_key) JOIN dim_adset s ON s.adset_key = a.adset_key
       JOIN (SELECT campaign_key FROM dim_campaign) c ON c.campaign_key = s.campaign_key GROUP BY ALL)"""
 
-PARTS["sales_ads_daily"] = f"""
+PARTS["ad_set_days"] = f"""
 SELECT date, campaign_id, ad_set_id, {money('spend')} AS total_spend, {total('conversions')} AS total_conversions,
-       {money('conversion_value')} AS total_attributed_revenue, store_revenue
-FROM (SELECT f.date, s.campaign_id, s.ad_set_id, f.spend, f.conversions, f.conversion_value, store_revenue
-      FROM fact_ad_performance f JOIN dim_ad a USING (ad_key) JOIN dim_adset s ON s.adset_key = a.adset_key
-      LEFT JOIN (SELECT CAST(order_date AS DATE) AS day, {money('grand_total')} AS store_revenue
-                 FROM fact_order_summary GROUP BY 1) ON day = f.date)
-GROUP BY date, campaign_id, ad_set_id, store_revenue"""
+       {money('conversion_value')} AS total_attributed_revenue
+FROM (SELECT f.date, s.campaign_id, s.ad_set_id, f.spend, f.conversions, f.conversion_value
+      FROM fact_ad_performance f JOIN dim_ad a USING (ad_key) JOIN dim_adset s ON s.adset_key = a.adset_key)
+GROUP BY date, campaign_id, ad_set_id"""
+
+PARTS["shop_days"] = f"""
+SELECT CAST(order_date AS DATE) AS date, {money('grand_total')} AS store_revenue FROM fact_order_summary GROUP BY 1"""
+
+PARTS["revenue_shares"] = """
+SELECT date, campaign_id, ad_set_id,
+       CAST((base + CASE WHEN ROW_NUMBER() OVER (PARTITION BY date ORDER BY rest DESC, ad_set_id)
+                              <= cents - SUM(base) OVER (PARTITION BY date) THEN 1 ELSE 0 END) / 100 AS DECIMAL(28,2)) AS revenue_share
+FROM (SELECT *, cents * w // SUM(w) OVER (PARTITION BY date) AS base, cents * w % SUM(w) OVER (PARTITION BY date) AS rest
+      FROM (SELECT date, campaign_id, ad_set_id, CAST(store_revenue * 100 AS HUGEINT) AS cents,
+                   CAST(CASE WHEN SUM(total_conversions) OVER d > 0 THEN total_conversions
+                             WHEN SUM(total_spend) OVER d > 0 THEN total_spend * 100 ELSE 1 END AS HUGEINT) AS w
+            FROM ad_set_days JOIN shop_days USING (date) WINDOW d AS (PARTITION BY date)))"""
+
+PARTS["sales_ads_daily"] = f"""
+SELECT date, campaign_id, ad_set_id, COALESCE(total_spend, 0) AS total_spend,
+       COALESCE(total_conversions, 0) AS total_conversions, COALESCE(total_attributed_revenue, 0) AS total_attributed_revenue,
+       store_revenue, revenue_share, {per('revenue_share', 'total_spend')} AS direct_roas,
+       {", ".join(f"COALESCE({m}_credit, 0) AS {m}_credit" for m in ("first", "last", "linear", "position", "decay"))}
+FROM ad_set_days FULL JOIN attributed_daily USING (date, campaign_id, ad_set_id)
+LEFT JOIN shop_days USING (date) LEFT JOIN revenue_shares USING (date, campaign_id, ad_set_id)"""
 
 PARTS["cac"] = f"""
 SELECT month_start, total_spend, new_customers, {per('total_spend', 'new_customers')} AS cac
@@ -625,6 +645,67 @@ FROM (SELECT DISTINCT product_id, CAST(order_date AS DATE) AS day, unit_price AS
       QUALIFY price IS DISTINCT FROM LAG(price) OVER (PARTITION BY product_id ORDER BY day, price))
 WINDOW later AS (PARTITION BY product_id ORDER BY day, price)"""
 
+def version_parts(name: str, by: str, days, snapshots: list[str], columns: list[str], tracked: list[str]) -> None:
+    """Versions from all snapshots at once: the state of every key on every day, and where it differs from the day before."""
+    listed = ", ".join(columns)
+    PARTS[f"{name}_states"] = "\nUNION ALL\n".join(
+        f"SELECT DATE '{day}' AS day, {by}, {listed}, {key(*tracked)} AS state FROM ({snapshot})"
+        for day, snapshot in zip(days, snapshots, strict=True)
+    )
+    later = " UNION ALL ".join(f"SELECT DATE '{day}' AS day" for day in days)
+    PARTS[f"{name}_changes"] = f"""
+SELECT g.{by}, g.day, s.* EXCLUDE (day, {by}), LAG(state) OVER (PARTITION BY g.{by} ORDER BY g.day) AS before
+FROM (SELECT DISTINCT {by}, d.day FROM {name}_states, ({later}) d) g
+LEFT JOIN {name}_states s ON s.{by} = g.{by} AND s.day = g.day"""
+    PARTS[name] = f"""
+SELECT {key(by, 'day')} AS version_key, {by}, {listed}, state, day AS effective_date, until AS expiration_date,
+       until IS NULL AS is_current
+FROM (SELECT *, LEAD(day) OVER (PARTITION BY {by} ORDER BY day) AS until FROM {name}_changes
+      WHERE state IS DISTINCT FROM before)
+WHERE state IS NOT NULL"""
+
+
+def product_snapshot(there: str, factor: str) -> str:
+    return (
+        f"SELECT product_id, product_name, category, {dec(f'price * CAST({factor} AS DECIMAL(4,2))')} AS price, cost"
+        f" FROM stg_products WHERE {there}"
+    )
+
+
+version_parts(
+    "scd2_product", "product_id", star.PRODUCT_DAYS,
+    [product_snapshot("product_id % 10 <> 3", "1"),
+     product_snapshot("TRUE", "CASE product_id % 4 WHEN 1 THEN 1.10 ELSE 1 END"),
+     product_snapshot("product_id % 10 <> 7", "CASE product_id % 4 WHEN 2 THEN 0.95 ELSE 1 END")],
+    ["product_name", "category", "price", "cost"], ["price"],
+)
+
+
+def campaign_snapshot(more: str) -> str:
+    budgets = ", ".join(
+        f"{dec(f'{b} * CAST(CASE WHEN {more} THEN 1.20 ELSE 1 END AS DECIMAL(4,2))')} AS {b}"
+        for b in ("daily_budget", "lifetime_budget")
+    )
+    return f"SELECT campaign_id, campaign_name, budget_type, {budgets} FROM stg_campaigns"
+
+
+version_parts(
+    "scd2_campaign_budget", "campaign_id", star.CAMPAIGN_DAYS,
+    [campaign_snapshot(more) for more in ("FALSE", "campaign_id % 3 = 0", "campaign_id % 5 = 4")],
+    ["campaign_name", "budget_type", "daily_budget", "lifetime_budget"], ["daily_budget", "lifetime_budget"],
+)
+
+PARTS["fact_sales_as_of"] = f"""
+SELECT {key('order_id', 'order_item_id')} AS sales_key, order_id, order_item_id, i.product_id,
+       version_key AS product_version_key, CAST(order_date AS DATE) AS order_day, quantity, unit_price, line_item_total,
+       price AS list_price, cost, effective_date AS version_since,
+       CAST(line_item_total - cost * quantity AS DECIMAL(28,2)) AS line_profit
+FROM stg_order_items i JOIN stg_orders USING (order_id)
+JOIN (SELECT *, MIN(effective_date) OVER (PARTITION BY product_id) AS earliest,
+             LEAD(effective_date) OVER (PARTITION BY product_id ORDER BY effective_date) AS next_one FROM scd2_product) v
+  ON v.product_id = i.product_id AND (effective_date <= CAST(order_date AS DATE) OR effective_date = earliest)
+ AND (next_one > CAST(order_date AS DATE) OR next_one IS NULL)"""
+
 PARTS["purchase_touches"] = f"""
 SELECT {dec('p.value')} AS value, COUNT(*) FILTER (t.event_type = 'click') AS click,
        COUNT(*) FILTER (t.event_type = 'view') AS view, arg_min(t.event_type, (t.ts, t.event_id)) AS first_touch,
@@ -645,6 +726,39 @@ SELECT '{touch}' AS touch, COUNT(*) FILTER (first_touch = '{touch}') AS first_to
 FROM purchase_touches"""
 
 
+# Weights of a touch at place p of n, a day or more old by "age", out of the sum of all weights of its purchase.
+MODELS = {
+    "first": "CASE WHEN p = 1 THEN 1 ELSE 0 END",
+    "last": "CASE WHEN p = n THEN 1 ELSE 0 END",
+    "linear": "1",
+    "position": "CASE WHEN n <= 2 THEN 1 WHEN p IN (1, n) THEN 2 * (n - 2) ELSE 1 END",
+    "decay": "1 << ((7 - age) // 2)",
+}
+PARTS["touch_days"] = """
+SELECT user_id // 3 AS person, user_id AS ad_id, MIN((ts, event_id)) AS touch
+FROM events WHERE event_type IN ('click', 'view') GROUP BY person, ad_id, CAST(ts AS DATE)"""
+PARTS["touch_weights"] = f"""
+SELECT id, ad_id, day, cents, touch, {", ".join(f"CAST({w} AS HUGEINT) AS {m}" for m, w in MODELS.items())}
+FROM (SELECT e.event_id AS id, ad_id, CAST(ts AS DATE) AS day, CAST({dec('value')} * 100 AS HUGEINT) AS cents, touch,
+             ROW_NUMBER() OVER (PARTITION BY e.event_id ORDER BY touch) AS p, COUNT(*) OVER (PARTITION BY e.event_id) AS n,
+             (epoch_us(ts) - epoch_us(touch[1])) // 86400000000 AS age
+      FROM events e JOIN touch_days t ON t.person = e.user_id // 3 AND touch[1] < e.ts AND touch[1] >= e.ts - INTERVAL 7 DAY
+      WHERE event_type = 'purchase' AND value IS NOT NULL)"""
+PARTS["touch_shares"] = f"""
+SELECT id, ad_id, day, cents, touch, {", ".join(
+    f"cents * {m} // SUM({m}) OVER w AS {m}_base, cents * {m} % SUM({m}) OVER w AS {m}_rest" for m in MODELS)}
+FROM touch_weights WINDOW w AS (PARTITION BY id)"""
+PARTS["attribution_credits"] = f"""
+SELECT id AS purchase_id, ad_id, day, touch[1] AS touched_at, {", ".join(
+    f"CAST(({m}_base + CASE WHEN ROW_NUMBER() OVER (PARTITION BY id ORDER BY {m}_rest DESC, touch)"
+    f" <= cents - SUM({m}_base) OVER (PARTITION BY id) THEN 1 ELSE 0 END) / 100 AS DECIMAL(18,2)) AS {m}_credit"
+    for m in MODELS)}
+FROM touch_shares"""
+CREDITS = [f"{m}_credit" for m in MODELS]
+PARTS["attributed_daily"] = f"""
+SELECT day AS date, s.campaign_id, s.ad_set_id, {", ".join(f"{money(c)} AS {c}" for c in CREDITS)}
+FROM attribution_credits JOIN dim_ad a USING (ad_id) JOIN dim_adset s ON s.adset_key = a.adset_key GROUP BY ALL"""
+
 PARTS["attribution"] = credit("click") + "\nUNION ALL" + credit("view")
 
 # ---- data-quality checks -----------------------------------------------------------------------------------------
@@ -691,7 +805,7 @@ def with_parts(body: str, extra: dict[str, str] | None = None) -> str:
     needed: dict[str, str] = {}
 
     def add(text: str) -> None:
-        for name in sorted(set(re.findall(r"(?:FROM|JOIN)\s+([a-z_]+)", text))):
+        for name in sorted(set(re.findall(r"(?:FROM|JOIN)\s+([a-z0-9_]+)", text))):
             if name in parts and name not in needed:
                 add(parts[name])
                 needed[name] = parts[name]

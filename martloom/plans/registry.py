@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.operators import ad_marts, dimensions, extensions, facts, history, quality, sales_marts
+from martloom.operators import (
+    ad_marts, attribution, dimensions, extensions, facts, history, quality, sales_marts, versions,
+)
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.report_order import in_report_order
 from martloom.operators.staging import STAGED
@@ -117,6 +119,33 @@ def load_twice(w: StarWarehouse, name: str) -> DataFrame:
     return table.read()
 
 
+# The sample's orders lie years before its ads: an order is moved to a day of the ads, three days have none.
+SAMPLE_ORDER_DAY = "date_add(DATE'2024-01-01', CAST(order_id % 27 AS INT))"
+
+
+def ad_credits(w: StarWarehouse) -> DataFrame:
+    return attribution.attribution_credits(star.touches(w.inputs.raw), star.purchases(w.inputs.raw))
+
+
+# Snapshots arrive out of order: the middle one last.
+ARRIVAL = (0, 2, 1)
+
+
+def product_history(w: StarWarehouse) -> DataFrame:
+    table = versions.HistoryTable(w.spark, work_folder(w.spark, "product-history"), "product_id", ("price",))
+    for nth in ARRIVAL:
+        table.load(star.product_snapshot(w.inputs.raw, nth), star.PRODUCT_DAYS[nth])
+    return table.read()
+
+
+def campaign_history(w: StarWarehouse) -> DataFrame:
+    folder = work_folder(w.spark, "campaign-history")
+    table = versions.HistoryTable(w.spark, folder, "campaign_id", ("daily_budget", "lifetime_budget"))
+    for nth in ARRIVAL:
+        table.load(star.campaign_snapshot(w.inputs.raw, nth), star.CAMPAIGN_DAYS[nth])
+    return table.read()
+
+
 def quality_report(w: StarWarehouse) -> DataFrame:
     """All checks after a run: dimensions and facts are built once, and their checks read what is stored."""
     return quality.report(w.run(work_folder(w.spark, "tables")).__getitem__)
@@ -149,9 +178,18 @@ STEPS.update({
         w["stg_orders"], w["stg_order_items"], w["stg_products"]
     ),
     "ads_daily": lambda w: extensions.ads_daily(w["fact_ad_performance"], *w.hierarchy),
+    "attribution_credits": ad_credits,
+    "attributed_daily": lambda w: attribution.attributed_daily(ad_credits(w), *w.hierarchy),
     "sales_ads_daily": lambda w: extensions.sales_ads_daily(
-        w["fact_ad_performance"], w["fact_order_summary"], *w.hierarchy
+        w["fact_ad_performance"], w["fact_order_summary"], *w.hierarchy, ad_credits(w)
+    ),
+    "sales_ads_daily_sample_days": lambda w: extensions.sales_ads_daily(
+        w["fact_ad_performance"], w["fact_order_summary"].withColumn("order_date", F.expr(SAMPLE_ORDER_DAY)), *w.hierarchy,
+        ad_credits(w),
     ),
+    "scd2_product": product_history,
+    "scd2_campaign_budget": campaign_history,
+    "fact_sales_as_of": lambda w: facts.fact_sales_as_of(w["stg_order_items"], w["stg_orders"], product_history(w)),
     "scd2": lambda w: history.product_price_history(w["stg_order_items"], w["stg_orders"]),
     "attribution": lambda w: history.touch_attribution(w.inputs.raw("events")),
     "cac": lambda w: extensions.acquisition_cost(w["stg_ad_spend"], w["stg_orders"]),
@@ -182,6 +220,8 @@ def oracle_sql() -> dict[str, str]:
     known["customer_segmentation_sample_limits"] = sql.with_parts(
         sql.customer_report(SAMPLE_HIGH_VALUE, SAMPLE_MEDIUM_VALUE)
     )
+    moved = {"shop_days": sql.PARTS["shop_days"].replace("CAST(order_date AS DATE)", "DATE '2024-01-01' + CAST(order_id % 27 AS INTEGER)")}
+    known["sales_ads_daily_sample_days"] = sql.with_parts(sql.PARTS["sales_ads_daily"], moved)
     for name in FACTS:
         known[f"incr_{name}"] = known[name]
     for name in MARTS:

@@ -342,6 +342,46 @@ class StarTables(Mapping):
         return len(BUILDERS)
 
 
+# How products and campaigns stood on three days (*): prices and budgets that change, some that change back, rows that
+# are new and rows that are gone.
+PRODUCT_DAYS = (date(1996, 1, 1), date(1998, 1, 1), date(2000, 1, 1))
+CAMPAIGN_DAYS = (date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21))
+
+
+def product_snapshot(raw: Raw, nth: int) -> DataFrame:
+    """Products of the nth day: a quarter costs a tenth more on the second day and what it did again on the third, another
+    quarter is cheaper from the third on. A tenth is not there before the second day, another not after it."""
+    factors = ("CAST(1 AS DECIMAL(4,2))", "CAST(CASE product_id % 4 WHEN 1 THEN 1.10 ELSE 1 END AS DECIMAL(4,2))",
+               "CAST(CASE product_id % 4 WHEN 2 THEN 0.95 ELSE 1 END AS DECIMAL(4,2))")
+    there = ("product_id % 10 <> 3", "true", "product_id % 10 <> 7")
+    return products(raw).where(there[nth]).selectExpr(
+        "product_id", "product_name", "category", f"CAST(price * {factors[nth]} AS DECIMAL(18,2)) AS price", "cost"
+    )
+
+
+def campaign_snapshot(raw: Raw, nth: int) -> DataFrame:
+    """Campaigns of the nth day: a third has a fifth more budget on the second day only, a fifth has it from the third on."""
+    more = ("false", "campaign_id % 3 = 0", "campaign_id % 5 = 4")
+    factor = f"CAST(CASE WHEN {more[nth]} THEN 1.20 ELSE 1 END AS DECIMAL(4,2))"
+    return campaigns(raw).selectExpr(
+        "campaign_id", "campaign_name", "budget_type",
+        *[f"CAST({b} * {factor} AS DECIMAL(18,2)) AS {b}" for b in ("daily_budget", "lifetime_budget")],
+    )
+
+
+def touches(raw: Raw) -> DataFrame:
+    """Clicks and views of ads. Three neighbouring ads are seen by one person (*)."""
+    return raw("events").where("event_type IN ('click', 'view')").selectExpr(
+        "user_id DIV 3 AS person_id", "user_id AS ad_id", "ts AS touched_at", "event_id AS touch_id"
+    )
+
+
+def purchases(raw: Raw) -> DataFrame:
+    return raw("events").where("event_type = 'purchase'").selectExpr(
+        "event_id AS purchase_id", "user_id DIV 3 AS person_id", "ts AS bought_at", "CAST(value AS DECIMAL(18,2)) AS value"
+    )
+
+
 # The time columns that facts join to the calendar.
 DATED = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
 

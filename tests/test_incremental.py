@@ -189,3 +189,69 @@ def test_run_without_rows(spark, tmp_path):
     ads = media(spark)
     kept = shop(spark, [], [], **ads.inputs).run(str(tmp_path))
     assert kept["fact_sales"].count() == 0 and kept["product_performance"].count() == 0
+
+
+# ---- the key index --------------------------------------------------------------------------------------------------
+
+
+def many_rows(spark, first: int, last: int, day: str = "2024-01-01", value: int = 1):
+    ids = spark.range(first, last).selectExpr("concat('k', id) AS id", f"DATE '{day}' AS day")
+    return ids.selectExpr("*", "year(day) * 10000 + month(day) * 100 + day(day) AS date_key", f"{value} AS value")
+
+
+def test_index_knows_the_period_of_every_key(spark, tmp_path):
+    table = FactTable(spark, str(tmp_path), "id", "day", month_of_key("date_key"), bucket_keys=40)
+    table.upsert(many_rows(spark, 0, 300))
+    table.upsert(many_rows(spark, 250, 400, "2024-03-05", 2))
+    live = table.live()
+    assert live.bits >= 3 and sum(n for _, n in live.index.values()) == 400
+    known = {(r["id"], r["period"]) for r in table.known_keys(live, set(live.index)).collect()}
+    assert known == {(f"k{k}", 202403 if k >= 250 else 202401) for k in range(400)}
+    stored = {(r["id"], r["value"]) for r in table.read().collect()}
+    assert stored == {(f"k{k}", 2 if k >= 250 else 1) for k in range(400)} and table.read().count() == 400
+
+
+@pytest.mark.parametrize("size", [400, 6400])
+def test_a_load_reads_the_buckets_of_its_keys_only(spark, tmp_path, size):
+    """Keys and bytes of the index that a small load reads do not grow with the stored table."""
+    table = FactTable(spark, str(tmp_path), "id", "day", month_of_key("date_key"), bucket_keys=50)
+    table.upsert(many_rows(spark, 0, size))
+    live = table.live()
+    load = many_rows(spark, 7, 9, "2024-05-05")
+    buckets = table._buckets_of(load.select("id"), live.bits)
+    opened = table.known_keys(live, buckets)
+    assert len(buckets) <= 2 and opened.count() <= 2 * 4 * 50
+    read = sum(Path(f.removeprefix("file://")).stat().st_size for f in opened.inputFiles())
+    assert 0 < read < 12_000
+    before = files(f"{tmp_path}/keys")
+    table.upsert(load)
+    written = {p.split("bucket=")[1].split("/")[0] for p in files(f"{tmp_path}/keys") - before}
+    assert {int(b) for b in written} <= buckets
+
+
+def test_rows_may_be_removed_by_key(spark, stored):
+    stored.upsert(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 1), ("c", "2024-02-01", 1)))
+    gone = spark.createDataFrame([("a",), ("c",), ("zz",)], "id string")
+    stored.upsert(rows(spark, ("c", "2024-02-01", 5)), gone=gone)
+    assert contents(stored) == {"b": ("2024-01-02", 1), "c": ("2024-02-01", 5)}
+    stored.upsert(rows(spark, ("x", "2024-01-01", 1)).where("false"), gone=spark.createDataFrame([("b",)], "id string"))
+    assert contents(stored) == {"c": ("2024-02-01", 5)}
+
+
+def test_a_table_from_before_the_index_gets_one(spark, stored):
+    stored.upsert(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-02-02", 1)))
+    live = stored.live()
+    entries = [(live.version, period, path) for period, path in live.data]
+    old = spark.createDataFrame(entries, "version int, period int, path string").drop("version").coalesce(1)
+    old.write.mode("overwrite").parquet(f"{stored.folder}/log/version={live.version}")
+    assert stored.live().index == {} and set(contents(stored)) == {"a", "b"}
+    stored.upsert(rows(spark, ("a", "2024-03-01", 2)))
+    assert contents(stored) == {"a": ("2024-03-01", 2), "b": ("2024-02-02", 1)}
+    assert sum(n for _, n in stored.live().index.values()) == 2
+
+
+def test_a_dead_load_leaves_the_index_as_it_was(spark, stored):
+    stored.upsert(rows(spark, ("a", "2024-01-01", 1)))
+    spark.createDataFrame([("a", 202405)], "id string, period int").write.parquet(f"{stored.folder}/keys/version=2/bucket=0")
+    stored.upsert(rows(spark, ("a", "2024-02-01", 2)))
+    assert contents(stored) == {"a": ("2024-02-01", 2)}
