@@ -92,7 +92,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 
 
 def with_text_columns(
-    df: DataFrame, text: str, added: StructType, make: Callable[[], Callable[[pa.Array], list]]
+    df: DataFrame, text: str, added: StructType, make: Callable[[], Callable[[pa.Array], list]], most: int = SLICE_BYTES
 ) -> DataFrame:
     """All columns of df, and those that make()(texts) returns for the text column.
 
@@ -103,7 +103,7 @@ def with_text_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 found = [x if isinstance(x, pa.Array) else pa.array(x) for x in work(part.column(text))]
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], names=names)
 

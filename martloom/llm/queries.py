@@ -83,7 +83,55 @@ QUERIES = {
     )
 }
 
+
+
+def clusters_sql(many: int = 16, rounds: int = 3) -> str:
+    """Centroid clusters by plain distances in SQL: one step to assign and one to move for each round."""
+    parts = [
+        """kept AS (
+            SELECT vec_id, row_number() OVER () AS row, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64
+        )""",
+        f"""centre_0 AS (
+            SELECT place - 1 AS c, v
+            FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) AS place FROM kept)
+            WHERE place <= {many}
+        )""",
+    ]
+    for k in range(rounds + 1):
+        parts.append(f"""near_{k} AS (
+            SELECT row, vec_id, any_value(v) AS v, arg_min(c, (d, c)) AS c, min(d) AS d
+            FROM (
+                SELECT row, vec_id, kept.v AS v, c,
+                    CAST(list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(kept.v, o.v)]) AS BIGINT) AS d
+                FROM kept CROSS JOIN centre_{k} o
+            )
+            GROUP BY row, vec_id
+        )""")
+        if k < rounds:
+            parts.append(f"""centre_{k + 1} AS (
+                SELECT o.c, coalesce(m.v, o.v) AS v
+                FROM centre_{k} o LEFT JOIN (
+                    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+                    FROM (
+                        SELECT c, i, sum(x) AS s, count(*) AS n
+                        FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near_{k}) GROUP BY c, i
+                    )
+                    GROUP BY c
+                ) m ON m.c = o.c
+            )""")
+    return f"""
+        WITH {", ".join(parts)}
+        SELECT vec_id, CAST(n.c AS INTEGER) AS cluster, d AS distance,
+            CAST(sum(d) OVER (PARTITION BY n.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(o.v, ',')) AS centroid_sha256
+        FROM near_{rounds} n JOIN centre_{rounds} o ON o.c = n.c
+    """
+
+
 ORACLE_SQL = {
+    "op11_centroid_clusters": clusters_sql(),
     "op5_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm,

@@ -19,8 +19,10 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Callable
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from martloom.llm.common import with_text_columns
+from martloom.llm.common import fresh, with_text_columns
 
 END_MARK = "</w>"
 LIMIT = 2048
 # What a task remembers of pieces it has met, in bytes.
-MOST_REMEMBERED = 32 << 20
+MOST_REMEMBERED = 48 << 20
+SLICE_BYTES = 2 << 20  # text whose pieces are looked up together
 # Pairs of neighbours a worker remembers, some 150 bytes each.
 MOST_PAIRS = 300_000
 # Characters whose kind and lower case are known here: one code point each, unchanged by normalisation. Texts with any
@@ -81,9 +84,14 @@ class Merges:
         for k, (a, b) in enumerate(pairs):
             if self.parts.setdefault(vocab[a + b], (vocab[a], vocab[b], k))[2] != k:
                 raise ValueError("a token that two merges make has no single history")
-        self.open = {t: n for t, n in vocab.items() if not t.endswith(END_MARK)}
-        self.closed = {t.removesuffix(END_MARK): n for t, n in vocab.items() if t.endswith(END_MARK)}
-        self.begins = {t[:k] for side in (self.open, self.closed) for t in side for k in range(1, len(t) + 1)}
+        # What a string is: the token without the mark, the token with it (-1: none). All beginnings of tokens are there.
+        self.tokens: dict[str, tuple[int, int]] = {}
+        for token in vocab:
+            whole = token.removesuffix(END_MARK)
+            for k in range(1, len(whole) + 1):
+                part = whole[:k]
+                if part not in self.tokens:
+                    self.tokens[part] = (vocab.get(part, -1), vocab.get(part + END_MARK, -1))
         self.letters = {ord(chr(b)): c for b, c in byte_letters().items()}
         self.right_edges: dict[int, list[tuple[int, float]]] = {}
         self.left_edges: dict[int, list[tuple[int, float]]] = {}
@@ -119,43 +127,58 @@ class Merges:
         self.known[left, right] = found
         return found
 
-    def prefix_counts(self, piece: str) -> list[int]:
-        """Tokens of the prefixes of 1, 2, ... characters of a piece, each as a piece of its own."""
-        if piece[0] == "'" and piece[1:] in CONTRACTIONS and len(piece) == 3:
-            # What comes before the last letter is no contraction yet.
-            begun = self.counts_of("'") + [self.counts_of("'")[-1] + self.counts_of(piece[1])[-1]]
-            return begun + [self.counts_of(piece)[-1]]
-        return self.counts_of(piece)
-
-    def counts_of(self, piece: str) -> list[int]:
-        word = piece
-        if not piece.isascii() or not piece.isalnum():
-            word = piece.encode().decode("latin-1").translate(self.letters)
-        size = len(word)
-        last, count, closed = [-1] * (size + 1), [0] * (size + 1), [0] * (size + 1)
-        begins, opened, ended, known, apart = self.begins, self.open, self.closed, self.known, self.apart
-        for at in range(size):
-            before, many = last[at], count[at] + 1
-            if at and before < 0:
-                raise ValueError("a byte without a token")
-            for end in range(at + 1, size + 1):
-                part = word[at:end]
-                if part not in begins:
+    def prefix_counts(self, pieces: list[str]) -> list[list[int]]:
+        """For each piece the tokens of its prefixes of 1, 2, ... characters, each as a piece of its own."""
+        found = self.counts_of(pieces)
+        for k, piece in enumerate(pieces):
+            if len(piece) == 3 and piece[0] == "'" and piece[1:] in CONTRACTIONS:
+                # What comes before the last letter is no contraction yet.
+                mark, letter = self.counts_of(["'", piece[1]])
+                found[k] = [mark[0], mark[0] + letter[0], found[k][-1]]
+        return found
+
+    def counts_of(self, pieces: list[str]) -> list[list[int]]:
+        """In alphabetical order, so that what a piece has in common with the one before is not worked out again."""
+        words = [
+            p if p.isascii() and p.isalnum() else p.encode().decode("latin-1").translate(self.letters) for p in pieces
+        ]
+        result: list[list[int]] = [[]] * len(words)
+        tokens, known, apart = self.tokens, self.known, self.apart
+        before, last, count, closed = "", [-1], [0], [0]
+        for k in sorted(range(len(words)), key=words.__getitem__):
+            word = words[k]
+            size, same = len(word), 0
+            for x, y in zip(word, before, strict=False):
+                if x != y:
                     break
-                token = opened.get(part)
-                if token is not None and last[end] < 0:
-                    fits = not at or known.get((before, token))
-                    if fits or (fits is None and apart(before, token)):
-                        last[end], count[end] = token, many
-                token = ended.get(part)
-                if token is not None and not closed[end]:
-                    fits = not at or known.get((before, token))
-                    if fits or (fits is None and apart(before, token)):
-                        closed[end] = many
-        if len(word) == len(piece):
-            return closed[1:]
-        ends = np.cumsum([len(c.encode()) for c in piece])
-        return [closed[e] for e in ends]
+                same += 1
+            more = size - same
+            last = last[: same + 1] + [-1] * more
+            count = count[: same + 1] + [0] * more
+            closed = closed[: same + 1] + [0] * more
+            for at in range(size):
+                left, many = last[at], count[at] + 1
+                if at and left < 0:
+                    raise ValueError("a byte without a token")
+                for end in range((at if at > same else same) + 1, size + 1):
+                    pair = tokens.get(word[at:end])
+                    if pair is None:
+                        break
+                    token, marked = pair
+                    if token >= 0 and last[end] < 0:
+                        fits = not at or known.get((left, token))
+                        if fits or (fits is None and apart(left, token)):
+                            last[end], count[end] = token, many
+                    if marked >= 0 and not closed[end]:
+                        fits = not at or known.get((left, marked))
+                        if fits or (fits is None and apart(left, marked)):
+                            closed[end] = many
+            before = word
+            if size == len(pieces[k]):
+                result[k] = closed[1:]
+            else:
+                result[k] = [closed[e] for e in accumulate(len(c.encode()) for c in pieces[k])]
+        return result
 
 
 @cache
@@ -204,17 +227,21 @@ class PrefixCounter:
         self.path, self.merges = path, merges(path)
         self.special = [t.content for t in library(path).get_added_tokens_decoder().values() if not t.normalized]
         self.special_text = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, bytes] = {}
         self.held = 0
 
-    def of_piece(self, piece: str) -> list[int]:
-        found = self.seen.get(piece)
-        if found is None:
+    def of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Counts of the prefixes of each of some distinct pieces, as 32-bit numbers."""
+        found = list(map(self.seen.get, pieces))
+        new = [p for p, known in zip(pieces, found, strict=True) if known is None]
+        if new:
+            made = [array("i", counts).tobytes() for counts in self.merges.prefix_counts(new)]
             if self.held > MOST_REMEMBERED:
                 self.seen, self.held = {}, 0
-            found = self.merges.prefix_counts(piece)
-            self.seen[piece] = found
-            self.held += 200 + 8 * len(piece)
+            self.seen.update(zip(new, made, strict=True))
+            self.held += sum(220 + 5 * len(p) for p in new)
+            rest = iter(made)
+            found = [next(rest) if known is None else known for known in found]
         return found
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
@@ -235,14 +262,13 @@ class PrefixCounter:
         kinds = np.asarray(KINDS[np.minimum(lower[cuts[:-1]], PLAIN_END - 1)])
         blank = np.zeros(len(coded.dictionary), dtype=bool)
         blank[which[kinds == SPACE]] = True
-        tables = [
-            [0] * len(piece) if space else self.of_piece(piece)
-            for piece, space in zip(coded.dictionary.to_pylist(), blank.tolist(), strict=True)
-        ]
-        starts = np.concatenate([[0], np.cumsum([len(t) for t in tables])])
-        flat = np.fromiter((x for t in tables for x in t), np.int64, int(starts[-1]))
+        pieces = coded.dictionary.to_pylist()
+        counted = iter(self.of_pieces([p for p, space in zip(pieces, blank.tolist(), strict=True) if not space]))
+        tables = [bytes(4 * len(p)) if space else next(counted) for p, space in zip(pieces, blank.tolist(), strict=True)]
+        starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+        flat = np.frombuffer(b"".join(tables), np.int32)
         lengths = np.diff(cuts)
-        whole = flat[starts[which + 1] - 1]
+        whole = flat[starts[which + 1] - 1].astype(np.int64)
         before = np.cumsum(whole) - whole
         inside = np.arange(len(lower)) - np.repeat(cuts[:-1], lengths)
         counts = np.repeat(before, lengths) + flat[np.repeat(starts[which], lengths) + inside]
@@ -268,11 +294,14 @@ class PrefixCounter:
         joined = "".join(normal)
         counts = np.zeros(length + 1, dtype=np.int64)
         total, at = 0, 0
-        for _, (a, b) in tool.pre_tokenizer.pre_tokenize_str(joined):
+        spans = [span for _, span in tool.pre_tokenizer.pre_tokenize_str(joined)]
+        distinct = list({joined[a:b] for a, b in spans})
+        tables = dict(zip(distinct, self.of_pieces(distinct), strict=True))
+        for a, b in spans:
             counts[at + 1 : a + 1] = total
-            found = self.of_piece(joined[a:b])
-            counts[a + 1 : b + 1] = np.array(found) + total
-            total += found[-1]
+            found = np.frombuffer(tables[joined[a:b]], np.int32)
+            counts[a + 1 : b + 1] = found + total
+            total += int(found[-1])
             at = b
         counts[at + 1 :] = total
         result = np.full(len(text), -1, dtype=np.int64)
@@ -347,7 +376,23 @@ def with_prefix_counts(docs: DataFrame, path: str, text: str = "text", counts: s
 
         return work
 
-    return with_text_columns(docs, text, StructType([StructField(counts, BinaryType())]), make)
+    return with_text_columns(docs, text, StructType([StructField(counts, BinaryType())]), make, SLICE_BYTES)
+
+
+def answers(stored: list[bytes | None], budget: int) -> tuple[list[int], list[int]]:
+    """From stored counts (None: the empty text): the tokens of each whole text, and the length, in code points, of its
+    longest prefix of at most so many tokens."""
+    whole, fitting = [], []
+    for value in stored:
+        found = np.empty(0, np.int64) if value is None else unpack(value)
+        within = np.flatnonzero((found >= 0) & (found <= budget))
+        whole.append(int(found[-1]) if len(found) else 0)
+        fitting.append(int(within[-1]) + 1 if len(within) else 0)
+    return whole, fitting
+
+
+def answer_fields(tokens: str, length: str) -> StructType:
+    return StructType([StructField(tokens, LongType()), StructField(length, IntegerType())])
 
 
 def with_budget(docs: DataFrame, budget: int, counts: str = "prefix_counts", tokens: str = "n_tokens", length: str = "fits") -> DataFrame:
@@ -356,18 +401,28 @@ def with_budget(docs: DataFrame, budget: int, counts: str = "prefix_counts", tok
 
     def make() -> Callable[[pa.Array], list]:
         def work(stored: pa.Array) -> list:
-            whole, fitting = [], []
-            for value in stored.to_pylist():
-                found = np.empty(0, np.int64) if value is None else unpack(value)
-                within = np.flatnonzero((found >= 0) & (found <= budget))
-                whole.append(int(found[-1]) if len(found) else 0)
-                fitting.append(int(within[-1]) + 1 if len(within) else 0)
+            whole, fitting = answers(stored.to_pylist(), budget)
+            return [pa.array(whole, pa.int64()), pa.array(fitting, pa.int32())]
+
+        return work
+
+    return with_text_columns(docs, counts, answer_fields(tokens, length), make)
+
+
+def with_counts_and_budget(docs: DataFrame, path: str, budget: int, text: str, tokens: str, length: str) -> DataFrame:
+    """with_prefix_counts and with_budget in one pass: the counts are made, asked and left in the task."""
+
+    def make() -> Callable[[pa.Array], list]:
+        counter = PrefixCounter(path)
+
+        def work(texts: pa.Array) -> list:
+            stored = [pack(c) for c in counter.counts(texts.fill_null("").to_pylist())]
+            whole, fitting = answers(stored, budget)
             return [pa.array(whole, pa.int64()), pa.array(fitting, pa.int32())]
 
         return work
 
-    added = StructType([StructField(tokens, LongType()), StructField(length, IntegerType())])
-    return with_text_columns(docs, counts, added, make)
+    return with_text_columns(docs, text, answer_fields(tokens, length), make, SLICE_BYTES)
 
 
 def count_at(stored: bytes, length: int) -> int | None:
@@ -381,8 +436,9 @@ def count_at(stored: bytes, length: int) -> int | None:
 
 def truncated(docs: DataFrame, path: str, budget: int, text: str = "text") -> DataFrame:
     """docs with each text cut to its longest prefix of at most so many tokens; NULL stays NULL."""
-    counted = with_budget(with_prefix_counts(docs, path, text, "_prefix_counts"), budget, "_prefix_counts", "_n_tokens", "_fits")
-    cut = F.when(F.col(text).isNotNull(), F.substring(F.col(text), F.lit(1), F.col("_fits")))
+    tokens, length = fresh("tokens"), fresh("length")
+    counted = with_counts_and_budget(docs, path, budget, text, tokens, length)
+    cut = F.when(F.col(text).isNotNull(), F.substring(F.col(text), F.lit(1), F.col(length)))
     return counted.withColumn(text, cut).select(*docs.columns)
 
 
@@ -398,7 +454,6 @@ def document_counts(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
         F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("n_bytes"),
     )
-    counted = with_prefix_counts(plain, path).drop("text")
-    return with_budget(counted, limit).select(
+    return with_counts_and_budget(plain, path, limit, "text", "n_tokens", "fits").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fits"
     )
