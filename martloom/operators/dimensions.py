@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.calendar import calendar_columns
@@ -52,7 +52,7 @@ def dim_campaign(campaigns: DataFrame, run_ts: datetime | None = None) -> DataFr
 
 
 def dim_adset(
-    adsets: DataFrame, campaign: DataFrame, loaded_at: datetime, run_ts: datetime | None = None
+    adsets: DataFrame, campaign: DataFrame, loaded_at: datetime | Column, run_ts: datetime | None = None
 ) -> DataFrame:
     """Ad sets with the key of their campaign; an ad set without a current campaign is left out.
 
@@ -64,7 +64,7 @@ def dim_adset(
         *"ad_set_id campaign_key campaign_id ad_set_name targeting_age_min targeting_age_max".split(),
         *"targeting_gender targeting_locations targeting_interests bid_strategy bid_amount".split(),
         *"daily_budget start_date end_date status".split(),
-        *_versioned(moment(loaded_at)),
+        *_versioned(loaded_at if isinstance(loaded_at, Column) else moment(loaded_at)),
     )
     return stamped(out, run_ts, *AUDIT)
 

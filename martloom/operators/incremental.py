@@ -23,6 +23,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martloom.operators import changes
+
 # Rows of data have a period, rows of the index a bucket, the number of its keys and the bits of all bucket numbers.
 LOG_SCHEMA = "version int, period int, path string, bucket int, keys bigint, bits int"
 BUCKET_KEYS = 1 << 20
@@ -235,3 +237,30 @@ class FactTable:
         if mark is not None and look_back_days:
             mark -= timedelta(days=look_back_days)
         self.upsert(build(mark))
+
+    def load_changes(self, digests: DataFrame, build: Callable[[list[int]], DataFrame]) -> list[int]:
+        """Build the periods whose source has changed since the last such load, and put them in place of what is stored.
+
+        ``digests`` describes the source by period, as ``period_digests`` does; ``build`` gets the periods that differ and
+        returns their rows. Late, corrected and deleted source rows arrive, however old; files of other periods stay. The
+        first load builds all periods. A load that dies before its digests are written is done again by the next one.
+        """
+        path = f"{self.folder}/digests"
+        where, files = self._files(path)
+        names = [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+        done = [n for n in names if n[5:].isdigit() and files.exists(self._files(f"{path}/{n}/_SUCCESS")[0])]
+        last = max((int(n[5:]) for n in done), default=0)
+        # Written before anything is built, so that all that follows speaks of one state of the source.
+        now = f"{path}/load={last + 1}-read"
+        digests.write.mode("overwrite").parquet(now)
+        now = self.spark.read.schema(changes.SCHEMA).parquet(now)
+        before = (
+            self.spark.read.schema(changes.SCHEMA).parquet(f"{path}/load={last}") if last
+            else self.spark.createDataFrame([], changes.SCHEMA)
+        )
+        periods = changes.changed_periods(before, now)
+        if periods:
+            old = self.read(periods=set(periods).__contains__)
+            self.upsert(build(periods), gone=None if old is None else old.select(self.unique_key))
+            now.write.mode("overwrite").parquet(f"{path}/load={last + 1}")
+        return periods

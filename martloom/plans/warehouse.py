@@ -7,12 +7,15 @@ warehouse whose marts read the stored tables.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import UTC, datetime, time
+from datetime import UTC, date, datetime, time
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martloom.operators import ad_marts, dimensions, facts, sales_marts
+from martloom.operators.changes import Source, month_of, period_digests
+from martloom.operators.common import moment
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.staging import STAGED, stage
 from martloom.session import tune
@@ -32,6 +35,15 @@ MARTS = (
 
 
 STORED_MARTS = ("budget_utilization",)
+# The inputs whose rows become rows of a fact, for loads that follow changes of the source.
+SOURCES = {
+    "fact_sales": Source("Orders", "order_date", "Order_Items", "order_id"),
+    "fact_order_summary": Source("Orders", "order_date", "Order_Items", "order_id"),
+    "fact_inventory": Source("Inventory", "last_restocked"),
+    "fact_ad_performance": Source("Ad_Insights", "date"),
+    "fact_adset_performance": Source("Ad_Insights", "date"),
+    "fact_campaign_spend": Source("Ad_Spend", "date"),
+}
 
 
 class Warehouse:
@@ -52,6 +64,19 @@ class Warehouse:
     def dates(self) -> RunDates:
         return self._dates
 
+    @property
+    def as_of(self) -> date:
+        return self.dates.as_of
+
+    @property
+    def loaded_at(self) -> Column:
+        """The run counts as loaded at midnight of the report day."""
+        return moment(datetime.combine(self.as_of, time()))
+
+    def calendar(self, name: str) -> DataFrame:
+        """The days a model looks its dates up in: at least all days of its own inputs."""
+        return self["dim_date"]
+
     def __getitem__(self, name: str) -> DataFrame:
         """A model: the stored table if there is one, else its query, set up once."""
         if name not in self.tables:
@@ -74,9 +99,7 @@ class Warehouse:
             case "dim_campaign":
                 return dimensions.dim_campaign(self["stg_campaigns"], run_ts=self.run_ts)
             case "dim_adset":
-                # The run counts as loaded at midnight of the report day.
-                loaded_at = datetime.combine(self.dates.as_of, time())
-                return dimensions.dim_adset(self["stg_adsets"], self["dim_campaign"], loaded_at, run_ts=self.run_ts)
+                return dimensions.dim_adset(self["stg_adsets"], self["dim_campaign"], self.loaded_at, run_ts=self.run_ts)
             case "dim_ad":
                 return dimensions.dim_ad(self["stg_ads"], self["dim_adset"], run_ts=self.run_ts)
             case "dim_date":
@@ -93,7 +116,7 @@ class Warehouse:
 
     def fact(self, name: str, after=None) -> DataFrame:
         """The query of a fact; ``after`` is the high-water mark of an incremental load."""
-        days = self["dim_date"]
+        days = self.calendar(name)
         match name:
             case "fact_sales":
                 return facts.fact_sales(
@@ -118,13 +141,23 @@ class Warehouse:
                 )
         raise KeyError(name)
 
+    def fact_of_periods(self, name: str, periods: list[int]) -> DataFrame:
+        """The rows of a fact whose source rows lie in some months (yyyymm); the filter sits on the source."""
+        source = SOURCES[name]
+        rows = self.inputs[source.table].where(month_of(F.col(source.time_column)).isin(periods))
+        return Warehouse(self.spark, {**self.inputs, source.table: rows}, self.dates, self.run_ts).fact(name)
+
+    def load_changes(self, name: str, table: FactTable) -> list[int]:
+        """Bring a stored fact to what its inputs say now, month by month; the months that were built again."""
+        return table.load_changes(period_digests(self.inputs, SOURCES[name]), lambda p: self.fact_of_periods(name, p))
+
     @property
     def hierarchy(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self["dim_ad"], self["dim_adset"], self["dim_campaign"]
 
     def mart(self, name: str, **limits) -> DataFrame:
         """The query of a mart, if wanted with other limits than the standard ones."""
-        days = self["dim_date"]
+        days = self.calendar(name)
         limits["run_ts"] = self.run_ts
         match name:
             case "product_performance":
@@ -134,14 +167,14 @@ class Warehouse:
             case "customer_segmentation":
                 return sales_marts.customer_segmentation(
                     self["fact_order_summary"], self["fact_sales"], self["dim_customer"], self["dim_product"], days,
-                    self.dates.as_of, **limits,
+                    self.as_of, **limits,
                 )
             case "sales_by_region":
                 return sales_marts.sales_by_region(self["fact_sales"], self["dim_customer"], days, **limits)
             case "inventory_analysis":
                 return sales_marts.inventory_analysis(
                     self["fact_inventory"], self["fact_sales"], self["dim_product"], self["dim_warehouse"], days,
-                    self.dates.as_of, **limits,
+                    self.as_of, **limits,
                 )
             case "campaign_performance":
                 return ad_marts.campaign_performance(
@@ -157,12 +190,18 @@ class Warehouse:
                 )
         raise KeyError(name)
 
-    def run(self, folder: str, look_back_days: int = 0, run_ts: datetime | None = None) -> Warehouse:
+    def run(
+        self, folder: str, look_back_days: int = 0, run_ts: datetime | None = None, corrections: bool = False
+    ) -> Warehouse:
         """A whole run into stored tables, and the warehouse that reads them.
 
         Dimensions are rebuilt in full. Facts are loaded above their high-water mark, or in full the first time. Marts
         stay queries over the stored tables, except the budget mart, which is stored too. Audit columns get ``run_ts``, the
         time of the run (the present one in UTC if none is given).
+
+        With ``corrections``, facts are compared with their source by month instead, and months that differ are built again:
+        late, changed and deleted source rows arrive, at the price of reading the source. A folder is best loaded the same way
+        every time.
         """
         folder = folder.rstrip("/")
         kept = Warehouse(self.spark, self.inputs, self.dates, run_ts or datetime.now(UTC).replace(tzinfo=None))
@@ -170,7 +209,10 @@ class Warehouse:
             kept.tables[name] = save_table(kept[name], f"{folder}/{name}")
         for name, (key, time_column, date_key) in facts.LOADS.items():
             table = FactTable(self.spark, f"{folder}/{name}", key, time_column, month_of_key(date_key))
-            table.load(lambda mark, name=name: kept.fact(name, mark), look_back_days)
+            if corrections:
+                kept.load_changes(name, table)
+            else:
+                table.load(lambda mark, name=name: kept.fact(name, mark), look_back_days)
             stored = table.read()
             kept.tables[name] = kept.fact(name).where("false") if stored is None else stored
         for name in STORED_MARTS:
@@ -178,8 +220,22 @@ class Warehouse:
         return kept
 
 
+# The table of the sample whose time column a model looks up in the calendar.
+TIMED = {
+    **dict.fromkeys(("fact_sales", "fact_order_summary", "product_performance", "customer_segmentation"), "orders"),
+    **dict.fromkeys(("sales_by_region", "inventory_analysis"), "orders"),
+    "fact_inventory": "lineitem",
+    **dict.fromkeys(("fact_ad_performance", "fact_adset_performance", "fact_campaign_spend"), "events"),
+    **dict.fromkeys(("campaign_performance", "budget_utilization"), "events"),
+}
+
+
 class StarWarehouse(Warehouse):
-    """The models over a star-schema sample; run dates come from the data when a model first needs them."""
+    """The models over a star-schema sample, whose run dates come from the data.
+
+    A model reads the time column of its own table only, as part of its query: its calendar is a row of bounds turned into
+    days. The report day is read from the orders, and only by models that use it.
+    """
 
     inputs: star.StarTables
 
@@ -189,3 +245,19 @@ class StarWarehouse(Warehouse):
     @cached_property
     def dates(self) -> RunDates:
         return star.run_dates(self.inputs.raw)
+
+    @cached_property
+    def as_of(self) -> date:
+        return star.report_day(self.inputs.raw).first()["day"]
+
+    @property
+    def loaded_at(self) -> Column:
+        return star.report_day(self.inputs.raw).select(F.col("day").cast("timestamp_ntz")).scalar()
+
+    def calendar(self, name: str) -> DataFrame:
+        table = TIMED.get(name)
+        if table is None:
+            return self["dim_date"]
+        if f"days of {table}" not in self.tables:
+            self.tables[f"days of {table}"] = dimensions.dim_date_dynamic(star.date_bounds(self.inputs.raw, table))
+        return self.tables[f"days of {table}"]

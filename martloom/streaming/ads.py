@@ -45,15 +45,17 @@ def read_events(spark: SparkSession, path: str, files_per_batch: int | None = No
     return reader.parquet(path)
 
 
-def run_to_end(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame], None]) -> None:
-    """Process everything there is now, in update mode, one ``write`` per micro-batch."""
+def run_to_end(
+    stream: DataFrame, checkpoint: str, write: Callable[[DataFrame], None], mode: str = "update"
+) -> None:
+    """Process everything there is now, one ``write`` per micro-batch."""
     conf = stream.sparkSession.conf
     before = conf.get(STATE_STORE)
     # Read when the query starts; state that outgrows memory stays on disk.
     conf.set(STATE_STORE, ROCKSDB)
     try:
         query = (
-            stream.writeStream.outputMode("update")
+            stream.writeStream.outputMode(mode)
             .option("checkpointLocation", checkpoint)
             .foreachBatch(lambda batch, _: write(batch))
             .trigger(availableNow=True)

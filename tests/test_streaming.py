@@ -60,3 +60,43 @@ def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
     table = streams.stream_ad_daily(spark, folder, str(tmp_path / "out"), files_per_batch=1)
     found = {str(r["date"]): str(r["spend"]) for r in table.read().collect()}
     assert found == {"2024-01-01": "1.25", "2024-01-08": "2.00", "2024-01-09": "2.00"}
+
+
+def test_sales_from_two_streams(spark, tmp_path):
+    """Lines ahead of and behind their order, in other micro-batches; state that is too old is given up."""
+    from datetime import timedelta
+
+    from martloom.streaming.sales import stream_fact_sales
+    from tests.samples import at, bag, line, order, shop
+
+    orders = [order(n, day=f"2024-01-{10 + n}") for n in range(1, 9)]
+    lines = [line(n, 1 + n % 8) for n in range(1, 25)]
+    w = shop(spark, orders, lines)
+    late = 7  # received long after its order
+    received = {}
+    for n, r in enumerate(lines):
+        when = orders[r["order_id"] - 1]["order_date"] + timedelta(hours=(-30, 0, 30)[n % 3])
+        received[str(r["order_item_id"])] = when + timedelta(days=30) if r["order_item_id"] == late else when
+
+    def stamped(df, times, key):
+        table = spark.createDataFrame([(str(k), t) for k, t in times.items()], "k string, received_at timestamp")
+        return df.join(table, df[key].cast("string") == table.k).drop("k")
+
+    heads = stamped(w["stg_orders"], {o["order_id"]: o["order_date"] for o in orders}, "order_id").cache()
+    parts = stamped(w["stg_order_items"], received, "order_item_id").cache()
+
+    def stream(name, like):
+        return spark.readStream.schema(like.schema).parquet(f"{tmp_path}/{name}")
+
+    limits = [at("2024-01-01"), at("2024-01-14T12:00:00"), at("2024-03-30")]
+    table = None
+    for since, until in zip(limits, limits[1:], strict=False):
+        for name, df in (("orders", heads), ("lines", parts)):
+            df.where((df.received_at >= since) & (df.received_at < until)).write.mode("append").parquet(f"{tmp_path}/{name}")
+        table = stream_fact_sales(
+            stream("orders", heads), stream("lines", parts), str(tmp_path), w["dim_customer"], w["dim_product"], w["dim_date"]
+        )
+    wanted = w["fact_sales"].where(f"order_item_id <> {late}")
+    assert bag(table.read().select(wanted.columns)) == bag(wanted)
+    crossed = [k for k, t in received.items() if (t < limits[1]) != (orders[lines[int(k) - 1]["order_id"] - 1]["order_date"] < limits[1])]
+    assert len(crossed) >= 2
