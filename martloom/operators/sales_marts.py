@@ -192,20 +192,26 @@ REGION = ("country", "state", "city")
 MONTH = ("year_number", "quarter_number", "month_number", "month_name")
 
 
-def regional_sales(sales: DataFrame, customer: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Sales by region and month; the ship-to place, or else the customer's.
+def located_orders(sales: DataFrame, customer: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales by order with its month and its region: the ship-to place, or else the customer's.
 
-    Lines are summed by order first: the customer lookup and the two distinct counts then see one row per order, and
-    nothing at all is shuffled for it where the lines are already partitioned by order.
+    Lines are summed by order first: the customer lookup and distinct counts then see one row per order, and nothing at all is
+    shuffled for it where the lines are already partitioned by order.
     """
     by_order = sales.groupBy("order_id", "customer_key", "order_date_key", *[f"shipping_{c}" for c in REGION]).agg(
         F.sum("line_item_total").alias("order_sales"), F.sum("quantity").alias("order_units")
     )
     where = customer.select("customer_key", "customer_id", *REGION)
     located = in_calendar(by_order, "order_date_key", calendar, *MONTH).join(where, "customer_key")
-    return located.groupBy(
-        *[F.coalesce(f"shipping_{name}", name).alias(name) for name in REGION], *MONTH
-    ).agg(
+    return located.select(
+        "order_id", "customer_id", "order_sales", "order_units", *MONTH,
+        *[F.coalesce(f"shipping_{name}", name).alias(name) for name in REGION],
+    )
+
+
+def regional_sales(sales: DataFrame, customer: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales by region and month."""
+    return located_orders(sales, customer, calendar).groupBy(*REGION, *MONTH).agg(
         F.sum("order_sales").cast("decimal(28,2)").alias("total_sales"),
         F.count_distinct("order_id").alias("order_count"),
         F.count_distinct("customer_id").alias("customer_count"),

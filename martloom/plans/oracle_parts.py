@@ -430,6 +430,19 @@ SELECT COALESCE(shipping_country, c.country) AS country, COALESCE(shipping_state
 FROM fact_sales JOIN dim_customer c USING (customer_key) JOIN dim_date ON date_key = order_date_key
 GROUP BY 1, 2, 3, 4, 5, 6, 7"""
 
+PARTS["regional_reach"] = "\nUNION ALL\n".join(
+    f"""
+SELECT '{grain}' AS grain, COALESCE(shipping_country, country) AS country, COALESCE(shipping_state, state) AS state,
+       COALESCE(shipping_city, city) AS city, year_number, {quarter} AS quarter_number, {month} AS month_number,
+       COUNT(DISTINCT order_id) AS order_count, COUNT(DISTINCT customer_id) AS customer_count
+FROM fact_sales JOIN dim_customer USING (customer_key) JOIN dim_date ON date_key = order_date_key
+GROUP BY ALL"""
+    for grain, quarter, month in (
+        ("month", "quarter_number", "month_number"), ("quarter", "quarter_number", "CAST(NULL AS INTEGER)"),
+        ("year", "CAST(NULL AS INTEGER)", "CAST(NULL AS INTEGER)"),
+    )
+)
+
 PARTS["regional_previous_period"] = """
 SELECT country, state, city, year_number, quarter_number, month_number,
        LAG(total_sales) OVER region_months AS prev_month_sales,

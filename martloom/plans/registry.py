@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators import (
-    ad_marts, attribution, dimensions, extensions, facts, history, quality, sales_marts, versions,
+    ad_marts, attribution, dimensions, distinct, extensions, facts, history, quality, sales_marts, versions,
 )
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.report_order import in_report_order
@@ -17,6 +17,7 @@ from martloom.plans import oracle_parts as sql
 from martloom.plans.warehouse import DIMENSIONS, FACTS, MARTS, SOURCES, StarWarehouse, Warehouse
 from martloom.session import size_shuffles, stored_bytes, tune, work_folder
 from martloom.sources import star
+from martloom.sources.files import save_table
 from martloom.streaming import ads as streams
 from martloom.streaming import sales as sales_stream
 
@@ -225,7 +226,14 @@ def streamed_sales(w: StarWarehouse) -> DataFrame:
     return table.read()
 
 
+def regional_reach(w: StarWarehouse) -> DataFrame:
+    """The months' bitmaps are stored, and read by all grains."""
+    monthly = distinct.regional_bitmaps(w["fact_sales"], w["dim_customer"], w.calendar("sales_by_region"))
+    return distinct.regional_reach(save_table(monthly, work_folder(w.spark, "regional-bitmaps")))
+
+
 STEPS.update({
+    "regional_reach": regional_reach,
     "stream_fact_sales": streamed_sales,
     "dq_not_null": lambda w: quality.all_not_null(w.__getitem__),
     "dq_unique": lambda w: quality.all_unique(w.__getitem__),
