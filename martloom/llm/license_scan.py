@@ -5,10 +5,9 @@ for any a to b words. It is compiled once into an automaton over word hashes: a
 moves by a word, by any word, or by none past an optional region. A text is accepted where some run of its words leads
 from the first state to the last, so all mandatory words must be there, in order and without others between them.
 
-Not all templates are whole licenses. MIT's first one is. ISC's ends with its conditions and both of BSD end with the first
-words of the disclaimer: they are excerpts, and what follows them is not looked at, so an altered or missing disclaimer is
-accepted too. Those of Apache, GPL and CC-BY, and MIT's other two, are notices that name a license; the whole text of such a
-license has their label only where a notice stands in it.
+The templates of MIT (the first), ISC and both of BSD are whole licenses, disclaimers included: a text that leaves out or
+alters a word of them is not accepted. Those of Apache, GPL and CC-BY, and MIT's other two, are notices that name a license:
+whole in themselves, they say which license is meant; the text of such a license has their label only where a notice stands in it.
 
 Places where a template can begin are found for all texts of a batch at once; the automaton runs from those places only.
 """
@@ -49,7 +48,14 @@ BSD_HEAD = (
     " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials"
     " provided with the distribution."
 )
-BSD_TAIL = ' this software is provided by {{1-20}} "as is" and any express or implied warranties'
+BSD_TAIL = (
+    ' this software is provided by {{1-20}} "as is" and any express or implied warranties, including, but not limited to, the'
+    " implied warranties of merchantability and fitness for a particular purpose are disclaimed. in no event shall {{1-20}} be"
+    " liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to,"
+    " procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and"
+    " on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in"
+    " any way out of the use of this software, even if advised of the possibility of such damage."
+)
 # Wordings of public licenses and of the notices that name them, by label.
 TEMPLATES = {
     "MIT": [
@@ -64,7 +70,11 @@ TEMPLATES = {
     ],
     "ISC": [
         "permission to use, copy, modify, and[[/or]] distribute this software for any purpose with or without fee is"
-        " hereby granted, provided that the above copyright notice and this permission notice appear in all copies"
+        " hereby granted, provided that the above copyright notice and this permission notice appear in all copies. the software"
+        ' is provided "as is" and {{1-12}} disclaims all warranties with regard to this software including all implied warranties'
+        " of merchantability and fitness. in no event shall {{1-12}} be liable for any special, direct, indirect, or consequential"
+        " damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract,"
+        " negligence or other tortious action, arising out of or in connection with the use or performance of this software."
     ],
     "BSD-2-Clause": [BSD_HEAD + BSD_TAIL],
     "BSD-3-Clause": [
