@@ -386,10 +386,12 @@ def purchases(raw: Raw) -> DataFrame:
 DATED = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
 
 
-def date_bounds(raw: Raw) -> DataFrame:
-    """One row: first day of the data, the day after the last one, and the last day with an order."""
+def date_bounds(raw: Raw, *tables: str) -> DataFrame:
+    """One row: first day of the data (of some tables or all), the day after the last one, and the last day with an order."""
     found = None
     for name, column in DATED:
+        if tables and name not in tables:
+            continue
         part = raw(name).agg(
             F.lit(name).alias("name"), F.min(column).alias("first"), F.max(column).alias("last")
         )
@@ -401,6 +403,11 @@ def date_bounds(raw: Raw) -> DataFrame:
     )
 
 
+def report_day(raw: Raw) -> DataFrame:
+    """One row: the day reports are made for, the one after the last order."""
+    return raw("orders").agg(F.date_add(F.to_date(F.max("o_orderdate")), 1).alias("day"))
+
+
 @dataclass(frozen=True)
 class RunDates:
     """Dates a run is told: calendar range (end not included) and the day the reports are made for."""
