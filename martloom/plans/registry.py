@@ -13,6 +13,7 @@ from martloom.operators import (
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.report_order import in_report_order
 from martloom.operators.staging import STAGED
+from martloom.operators.stored_marts import StoredMart
 from martloom.plans import oracle_parts as sql
 from martloom.plans.warehouse import DIMENSIONS, FACTS, MARTS, SOURCES, StarWarehouse, Warehouse
 from martloom.session import size_shuffles, stored_bytes, tune, work_folder
@@ -150,6 +151,18 @@ def load_corrected(w: StarWarehouse, name: str) -> DataFrame:
     return table.read()
 
 
+def updated_budget(w: StarWarehouse) -> DataFrame:
+    """The stored budget mart after a load of inputs that were incomplete and partly wrong for every third campaign, and a
+    load of what they are now."""
+    wrong = F.col("campaign_id") % 3 == 0
+    spend = w.inputs["Ad_Spend"]
+    earlier = seen_earlier(spend.where(wrong), "Ad_Spend").unionByName(spend.where(~wrong))
+    table = StoredMart(w.spark, work_folder(w.spark, "budget"), "campaign_key", "full_date")
+    for inputs in ({**w.inputs, "Ad_Spend": earlier}, w.inputs):
+        Warehouse(w.spark, inputs, w.dates).update_budget(table)
+    return table.read()
+
+
 # The sample's orders lie years before its ads: an order is moved to a day of the ads, three days have none.
 SAMPLE_ORDER_DAY = "date_add(DATE'2024-01-01', CAST(order_id % 27 AS INT))"
 
@@ -233,6 +246,7 @@ def regional_reach(w: StarWarehouse) -> DataFrame:
 
 
 STEPS.update({
+    "updated_budget_utilization": updated_budget,
     "regional_reach": regional_reach,
     "stream_fact_sales": streamed_sales,
     "dq_not_null": lambda w: quality.all_not_null(w.__getitem__),
@@ -295,6 +309,7 @@ def oracle_sql() -> dict[str, str]:
         known[f"incr_{name}"] = known[f"corrected_{name}"] = known[name]
     for name in MARTS:
         known[f"{name}_in_order"] = known[name]
+    known["updated_budget_utilization"] = known["budget_utilization"]
     known["stream_ad_daily"] = known["stg_ad_insights"]
     known["stream_fact_sales"] = known["fact_sales"]
     known["stream_fact_upsert"] = known["fact_ad_performance"]

@@ -18,6 +18,7 @@ from martloom.operators.changes import Source, month_of, period_digests
 from martloom.operators.common import moment
 from martloom.operators.incremental import FactTable, month_of_key
 from martloom.operators.staging import STAGED, stage
+from martloom.operators.stored_marts import StoredMart, budget_inputs
 from martloom.session import tune
 from martloom.sources import star
 from martloom.sources.files import save_table
@@ -151,6 +152,19 @@ class Warehouse:
         """Bring a stored fact to what its inputs say now, month by month; the months that were built again."""
         return table.load_changes(period_digests(self.inputs, SOURCES[name]), lambda p: self.fact_of_periods(name, p))
 
+    def update_budget(self, stored: StoredMart) -> int:
+        """Bring a stored budget mart to what the facts say now, campaign by campaign; the number of campaigns built."""
+        spend, performance = self["fact_campaign_spend"], self["fact_ad_performance"]
+        ad, adset, campaign = self.hierarchy
+
+        def build(changed: DataFrame) -> DataFrame:
+            # The campaign is joined by all that follows, so nothing of the others comes through.
+            those = campaign.join(changed, "campaign_key", "left_semi")
+            days = self.calendar("budget_utilization")
+            return ad_marts.budget_utilization(spend, performance, ad, adset, those, days, run_ts=self.run_ts)
+
+        return stored.update(budget_inputs(spend, performance, adset, campaign), build)
+
     @property
     def hierarchy(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self["dim_ad"], self["dim_adset"], self["dim_campaign"]
@@ -200,8 +214,8 @@ class Warehouse:
         time of the run (the present one in UTC if none is given).
 
         With ``corrections``, facts are compared with their source by month instead, and months that differ are built again:
-        late, changed and deleted source rows arrive, at the price of reading the source. A folder is best loaded the same way
-        every time.
+        late, changed and deleted source rows arrive, at the price of reading the source. The budget mart is then built again for
+        the campaigns whose inputs differ. A folder is to be loaded in the same way every time.
         """
         folder = folder.rstrip("/")
         kept = Warehouse(self.spark, self.inputs, self.dates, run_ts or datetime.now(UTC).replace(tzinfo=None))
@@ -215,8 +229,14 @@ class Warehouse:
                 table.load(lambda mark, name=name: kept.fact(name, mark), look_back_days)
             stored = table.read()
             kept.tables[name] = kept.fact(name).where("false") if stored is None else stored
-        for name in STORED_MARTS:
-            kept.tables[name] = save_table(kept[name], f"{folder}/{name}")
+        if corrections:
+            mart = StoredMart(self.spark, f"{folder}/{STORED_MARTS[0]}", "campaign_key", "full_date")
+            kept.update_budget(mart)
+            stored = mart.read()
+            kept.tables[STORED_MARTS[0]] = kept[STORED_MARTS[0]].where("false") if stored is None else stored
+        else:
+            for name in STORED_MARTS:
+                kept.tables[name] = save_table(kept[name], f"{folder}/{name}")
         return kept
 
 

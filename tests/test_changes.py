@@ -100,3 +100,35 @@ def test_digests_fold_before_they_shuffle(spark):
         if source.table in ("Orders", "Inventory"):
             text = plan(period_digests(w.inputs, source))
             assert text.count("partial_bit_xor") >= 1, name
+
+
+def test_budget_mart_is_built_again_for_changed_campaigns_only(spark, tmp_path):
+    from martloom.operators.stored_marts import StoredMart
+    from tests.samples import insight, media, spent
+
+    campaigns = [{"campaign_id": n, "campaign_name": f"c{n}"} for n in range(1, 7)]
+    adsets = [{"ad_set_id": n, "campaign_id": n} for n in range(1, 7)]
+    ads = [{"ad_id": n, "ad_set_id": n} for n in range(1, 7)]
+    table = StoredMart(spark, str(tmp_path), "campaign_key", "full_date")
+
+    def load(spends, insights, named=campaigns):
+        w = media(spark, insights, spends, ads, adsets, named)
+        built = w.update_budget(table)
+        stored = table.read()
+        assert ([] if stored is None else bag(stored.select(w["budget_utilization"].columns))) == bag(w["budget_utilization"])
+        return built
+
+    spends = [spent(10 * n + d, n, n, f"2024-02-0{d}") for n in range(1, 7) for d in (1, 2, 3)]
+    insights = [insight(n, n, conversions=n, value=5) for n in range(1, 7)]
+    assert load(spends, insights) == 6
+    before = {p: p.stat().st_mtime_ns for p in Path(tmp_path, "rows", "data").rglob("*.parquet")}
+    assert load(spends, insights) == 0
+    # A late day of one campaign, and a conversion of another: its lifetime figures stand in all its rows.
+    assert load([*spends, spent(99, 2, 2, "2024-01-15")], [*insights, insight(77, 5, "2024-02-02", conversions=1, value=9)]) == 2
+    live = {path for _, path in table.table.live().data}
+    kept = [p for p in before if any(str(p).startswith(path.removeprefix("file:")) for path in live)]
+    assert kept and all(p.stat().st_mtime_ns == before[p] for p in kept)
+    renamed = [{**c, "campaign_name": "other"} if c["campaign_id"] == 3 else c for c in campaigns]
+    assert load(spends, insights, renamed) == 3
+    assert load([s for s in spends if s["campaign_id"] != 4], insights, renamed) == 1
+    assert load([], [], renamed) == 6
