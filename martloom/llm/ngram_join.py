@@ -22,24 +22,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm import tokens
-from martloom.llm.common import arrow_map, slices, stored
+from martloom.llm.common import arrow_map, fresh, slices, stored
 from martloom.llm.components import components
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.99
 MOST_HASHES = 256
 # Size of a block in a large group: members, and n-grams altogether.
-CELL_MEMBERS, CELL_GRAMS = 1024, 1 << 20
+CELL_MEMBERS, CELL_GRAMS = 1024, 1 << 19
 
 
 def band_plan(similarity: float, recall: float, most_hashes: int = MOST_HASHES) -> tuple[int, int]:
     """Bands and rows: the most rows in a band (fewest chance meetings) that find a pair just at the threshold with the
-    wanted probability, 1 - (1 - s^rows)^bands, within so many hashes."""
-    best = (most_hashes, 1)
+    wanted probability, 1 - (1 - s^rows)^bands, within so many hashes. A recall that these cannot reach is an error."""
+    best = None
     for rows in range(1, most_hashes + 1):
         bands = math.ceil(math.log(1 - recall) / math.log1p(-(similarity**rows))) if similarity < 1 else 1
         if bands * rows > most_hashes:
             break
         best = (bands, rows)
+    if best is None:
+        raise ValueError(f"{most_hashes} hashes cannot find pairs of similarity {similarity} with a chance of {recall}")
     return best
 
 
@@ -187,14 +189,30 @@ def linked(node: np.ndarray, copies: np.ndarray, block: np.ndarray, same: bool,
 
 def verified(cells: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, similarity: float) -> DataFrame:
     """(node, links, least) for every member of every cell."""
-    texts = identified(docs, doc_id, text).withColumnRenamed("doc_id", "rep")
-    rows = cells.join(texts, ["rep", "text_hash"]).repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
-
-    def work(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        cell = pa.Table.from_batches(held).combine_chunks()
-        at, grams = gram_sets(cell.column("text").combine_chunks(), words)
-        node = np.asarray(cell.column("node"))
-        keys = np.stack([np.asarray(cell.column("key_1")), np.asarray(cell.column("key_2"))], axis=1)
+    texts = identified(docs, doc_id, text).withColumnRenamed("doc_id", "_rep").withColumnRenamed("text_hash", "_hash")
+    # Any number of rows may have no id; of those, each text is there once.
+    named, nameless = texts.where("_rep IS NOT NULL"), texts.where("_rep IS NULL").dropDuplicates(["_hash"])
+    texts = named.unionByName(nameless)
+    same = (F.col("text_hash") == F.col("_hash")) & F.col("rep").eqNullSafe(F.col("_rep"))
+    rows = cells.join(texts, same).repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
+    numbers = ("node", "key_1", "key_2", "copies", "block")
+
+    def parsed(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Numbers of the rows, and the n-grams of their texts; the texts themselves are not kept."""
+        docs_of, grams_of, before = [], [], 0
+        for part in slices(batch, "text"):
+            at, grams = gram_sets(part.column("text"), words)
+            docs_of.append(at + before)
+            grams_of.append(grams)
+            before += part.num_rows
+        return [np.array(batch.column(c)) for c in numbers], np.concatenate(docs_of), np.concatenate(grams_of)
+
+    def work(held: list[tuple], same: bool) -> pa.RecordBatch:
+        node, key_1, key_2, copies, block = (np.concatenate([h[0][k] for h in held]) for k in range(len(numbers)))
+        shifts = np.cumsum([0] + [len(h[0][0]) for h in held])
+        at = np.concatenate([h[1] + shift for h, shift in zip(held, shifts[:-1], strict=True)])
+        grams = np.concatenate([h[2] for h in held])
+        keys = np.stack([key_1, key_2], axis=1)
         present, starts = np.unique(at, return_index=True)
         mine = np.zeros(len(node), dtype=bool)
         mine[present] = (set_keys(at, grams, starts) == keys[present]).all(axis=1)
@@ -206,9 +224,7 @@ def verified(cells: DataFrame, docs: DataFrame, doc_id: str, text: str, words: i
         place = np.full(len(node), -1)
         place[pick] = np.arange(len(pick))
         keep = mine[at]
-        copies, block = np.asarray(cell.column("copies"))[pick], np.asarray(cell.column("block"))[pick]
-        same = cell.column("i")[0] == cell.column("j")[0]
-        links, least = linked(node[pick], copies, block, same, place[at[keep]], grams[keep], similarity)
+        links, least = linked(node[pick], copies[pick], block[pick], same, place[at[keep]], grams[keep], similarity)
         return pa.RecordBatch.from_arrays([pa.array(node[pick]), pa.array(links), pa.array(least)], names=["node", "links", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,47 +235,55 @@ def verified(cells: DataFrame, docs: DataFrame, doc_id: str, text: str, words: i
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if b > a:
                     if now is not None and (cell[a] != now).any():
-                        yield work(held)
+                        yield work(held, now[1] == now[2])
                         held = []
                     now = cell[a]
-                    held.append(batch.slice(a, b - a))
+                    held.append(parsed(batch.slice(a, b - a)))
         if held:
-            yield work(held)
+            yield work(held, now[1] == now[2])
 
     columns = ["label", "i", "j", "node", "key_1", "key_2", "copies", "block", "text"]
     return arrow_map(rows.select(*columns), run, "node long, links long, least long")
 
 
 def classified(docs: DataFrame, doc_id: str, text: str, words: int, similarity: float, recall: float) -> DataFrame:
-    """doc_id, text_hash, class_id, n_links and stays (its id and set are the least of its class) for every row."""
+    """doc_id, text_hash, class_id, n_links and stays for every row.
+
+    Of a class the text that stays is that of the least id, then of the least n-gram set, then of the least hash; no id comes
+    after all ids.
+    """
     bands, rows = band_plan(similarity, recall)
     signed = stored(signatures(docs, doc_id, text, words, bands, rows), "signatures")
     # Classes are numbered before they are stored: ids may repeat on different texts, so they cannot tell classes apart.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash"))
     classes = stored(
         signed.groupBy("key_1", "key_2").agg(
-            F.min("doc_id").alias("rep"), F.min_by("text_hash", "doc_id").alias("text_hash"), F.count("*").alias("copies"),
-            F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"),
-        ).withColumn("node", F.monotonically_increasing_id()),
+            least.alias("least"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"),
+        ).select(
+            "key_1", "key_2", F.col("least.doc_id").alias("rep"), F.col("least.text_hash").alias("text_hash"), "copies", "n_grams",
+            "bands", F.monotonically_increasing_id().alias("node"),
+        ),
         "gram-classes",
     )
-    groups = stored(candidate_groups(classes.where("rep IS NOT NULL")), "band-groups")
+    groups = stored(candidate_groups(classes), "band-groups")
     found = stored(verified(dealt(groups, classes), docs, doc_id, text, words, similarity), "cells")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(found.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")))
     labels = stored(labels.join(classes.select("node", "rep", "key_1", "key_2"), "node"), "gram-labels")
-    firsts = labels.groupBy("label").agg(F.min(F.struct("rep", "key_1", "key_2")).alias("first"))
+    firsts = labels.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("nameless"), "rep", "key_1", "key_2")).alias("first"))
     verdict = (
-        classes.select("node", "key_1", "key_2", "rep", "copies")
+        classes.select("node", "key_1", "key_2", "rep", F.col("text_hash").alias("own_hash"), "copies")
         .join(links, "node", "left")
         .join(labels.join(firsts, "label").select("node", "first"), "node", "left")
         .select(
-            "key_1", "key_2", F.coalesce("first.rep", "rep").alias("class_id"),
+            "key_1", "key_2", "rep", "own_hash", F.when(F.col("first").isNull(), F.col("rep")).otherwise(F.col("first.rep")).alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce((F.col("first.key_1") == F.col("key_1")) & (F.col("first.key_2") == F.col("key_2")), F.lit(True)).alias("leads"),
         )
     )
     with_words = signed.select("doc_id", "text_hash", "key_1", "key_2").join(verdict, ["key_1", "key_2"]).select(
-        "doc_id", "text_hash", "class_id", "n_links", (F.col("leads") & (F.col("doc_id") == F.col("class_id"))).alias("stays")
+        "doc_id", "text_hash", "class_id", "n_links",
+        (F.col("leads") & F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_hash") == F.col("own_hash"))).alias("stays"),
     )
     # What has no signature has no word: counted by rows, since ids may repeat.
     blank = identified(docs, doc_id, text).where(
@@ -280,22 +304,21 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, class_id (least id of its class), n_links (other documents at the threshold or above).
 
-    A text without a word is like no other: it is its own class, with no link; so is a row without an id, unless its
-    n-gram set is that of others. Rows that share an id are documents of their own: each has the class of its own text,
-    though two classes may then have the same least id. An empty table gives an empty result. Other columns of docs are
-    not read.
+    A text without a word is like no other: it is its own class, with no link. Rows without an id are linked and classed like
+    all others; a class that has no id at all has the class id NULL. Rows that share an id are documents of their own: each
+    has the class of its own text, though two classes may then have the same least id. An empty table gives an empty result.
+    Other columns of docs are not read.
     """
     return classified(docs, doc_id, text, words, similarity, recall).select("doc_id", "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that are the least of their class of near duplicates, and rows without an id.
-
-    The least is by id, then by n-gram set; rows that agree in both all stay.
+    """The rows of docs that stay: of each class of near duplicates the least, by id (none comes last), n-gram set and hash
+    of the text. Rows that agree in id and text all stay; so do all texts without a word.
     """
     verdicts = classified(docs, doc_id, text, WORDS, SIMILARITY, RECALL).where("stays")
-    stay = verdicts.select(F.col("doc_id").alias("_stay"), F.col("text_hash").alias("_stay_hash")).distinct()
-    rows = docs.withColumn("_key", F.col(doc_id).cast("long")).withColumn("_hash", F.xxhash64(F.col(text)))
-    same = (rows["_key"] == stay["_stay"]) & (rows["_hash"] == stay["_stay_hash"])
-    kept = rows.join(stay, same, "left_semi").select(*docs.columns)
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    key, code, stay, stay_code = (fresh(n) for n in ("key", "hash", "stay", "stay_hash"))
+    ids = verdicts.select(F.col("doc_id").alias(stay), F.col("text_hash").alias(stay_code)).distinct()
+    rows = docs.withColumn(key, F.col(doc_id).cast("long")).withColumn(code, F.xxhash64(F.col(text)))
+    same = F.col(key).eqNullSafe(F.col(stay)) & (F.col(code) == F.col(stay_code))
+    return rows.join(ids, same, "left_semi").select(*docs.columns)
