@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from martloom.llm import tokens
-from martloom.llm.common import stored, unit_hash, with_text_columns
+from martloom.llm.common import fresh, stored, unit_hash, with_text_columns
 
 MARGINS = ("source", "lang", "topic")
 # Exponent of the tokens that a source, language or topic has: 1 keeps its share, 0 makes all alike.
@@ -46,11 +46,11 @@ def token_topics(texts: pa.Array) -> list[pa.Array]:
     return [pa.array(words.counts().astype(np.int64)), pa.array(topic.astype(np.int64))]
 
 
-def with_topics(docs: DataFrame, text: str) -> DataFrame:
+def with_topics(docs: DataFrame, text: str, tokens_name: str = "n_tokens", topic_name: str = "topic") -> DataFrame:
     def make() -> Callable[[pa.Array], list]:
         return token_topics
 
-    return with_text_columns(docs, text, StructType([StructField(n, LongType()) for n in ("n_tokens", "topic")]), make)
+    return with_text_columns(docs, text, StructType([StructField(n, LongType()) for n in (tokens_name, topic_name)]), make)
 
 
 def key(column: Column) -> Column:
@@ -107,6 +107,29 @@ def calibrated(cells: DataFrame, share: float) -> DataFrame:
     return cells.withColumn("probability", F.least(F.lit(1.0), F.lit(upper) * F.col("weight")))
 
 
+def drawn(
+    docs: DataFrame, doc_id: str, text: str, source: str, lang: str, temperatures: dict[str, float], share: float, seed: int
+) -> tuple[DataFrame, dict[str, str]]:
+    """docs with topic, n_tokens, weight, probability and kept under names that docs does not have, and these names."""
+    names = {n: fresh(n) for n in ("source", "lang", "topic", "n_tokens", "weight", "probability", "kept")}
+    keyed = docs.withColumn(names["source"], key(F.col(source))).withColumn(names["lang"], key(F.col(lang)))
+
+    def with_cells(rows: DataFrame) -> DataFrame:
+        return with_topics(rows, text, names["n_tokens"], names["topic"])
+
+    rows = with_cells(keyed.select(text, names["source"], names["lang"]))
+    cells = rows.where(F.col(names["n_tokens"]) > 0).groupBy(*[F.col(names[m]).alias(m) for m in MARGINS]).agg(
+        F.sum(names["n_tokens"]).alias("tokens")
+    )
+    chances = stored(calibrated(rake(stored(cells, "cells"), temperatures), share), "chances")
+    about = chances.select(*[F.col(c).alias(names[c]) for c in (*MARGINS, "weight", "probability")])
+    found = with_cells(keyed).join(about, [names[m] for m in MARGINS], "left")
+    # A row without an id is drawn by its text: there may be any number of them.
+    draw = unit_hash(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)), seed=seed)
+    has_tokens = F.col(names["n_tokens"]) > 0
+    return found.withColumn(names["kept"], ~has_tokens | F.coalesce(draw < F.col(names["probability"]), F.lit(True))), names
+
+
 def sampled(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -120,26 +143,23 @@ def sampled(
     """doc_id, source, lang, topic, n_tokens, weight, probability and kept for every document.
 
     A NULL source or language is a value of its own. Texts without words (NULL, empty) weigh no tokens and are kept; they
-    have no weight. Rows with the same id are drawn alike. An empty table gives an empty result.
+    have no weight. Rows with the same id are drawn with the same number, each against the probability of its own cell; a row
+    without an id is drawn by its text. An empty table gives an empty result.
     """
-    plain = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source_value"),
-        F.col(lang).alias("lang_value"), key(F.col(source)).alias("source"), key(F.col(lang)).alias("lang"),
-    )
-    rows = stored(with_topics(plain, "text").drop("text"), "token-topics")
-    cells = stored(rows.where("n_tokens > 0").groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    chances = stored(calibrated(rake(cells, temperatures), share), "chances")
-    found = rows.join(chances.select(*MARGINS, "weight", "probability"), list(MARGINS), "left")
-    draw = unit_hash(F.col("doc_id"), seed=seed)
+    plain = docs.select(*dict.fromkeys((doc_id, text, source, lang)))
+    found, names = drawn(plain, doc_id, text, source, lang, temperatures, share, seed)
+    weighed = F.col(names["n_tokens"]) > 0
     return found.select(
-        "doc_id", F.col("source_value").alias("source"), F.col("lang_value").alias("lang"), "topic", "n_tokens", "weight",
-        "probability", F.coalesce(draw < F.col("probability"), F.lit(True)).alias("kept"),
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(lang).alias("lang"),
+        F.col(names["topic"]).alias("topic"), F.col(names["n_tokens"]).alias("n_tokens"),
+        *[F.when(weighed, F.col(names[c])).alias(c) for c in ("weight", "probability")], F.col(names["kept"]).alias("kept"),
     )
 
 
-def kept_documents(docs: DataFrame, doc_id: str = "doc_id", **choices) -> DataFrame:
-    """The rows of docs that the sampling keeps, with all their columns; rows without an id go by the draw of NULL."""
-    name = "_kept_id"
-    verdict = sampled(docs, doc_id, **choices)
-    gone = verdict.where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone[name]), "left_anti")
+def kept_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
+    temperatures: dict[str, float] = TEMPERATURES, share: float = KEEP_TOKENS, seed: int = SEED,
+) -> DataFrame:
+    """The rows of docs that the sampling keeps, with all their columns: each row by its own draw."""
+    found, names = drawn(docs, doc_id, text, source, lang, temperatures, share, seed)
+    return found.where(names["kept"]).select(*docs.columns)
