@@ -16,16 +16,17 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from martloom.llm.common import with_text_columns
+from martloom.llm.common import text_bytes, with_text_columns
 from martloom.llm.pieces import PieceEncoder
 
 NONE = np.int64(1) << 40
-ROW_BYTES = 1 << 21  # bytes of the pieces that are merged together
+ROW_BYTES = 1 << 18  # bytes of the pieces that are merged together, at some 80 bytes of arrays each
 
 
 class Vocabulary:
@@ -35,6 +36,10 @@ class Vocabulary:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+        # All tokens one after the other, by rank, and where each begins (a rank without a token is empty).
+        by_rank = [self.bytes_of.get(rank, b"") for rank in range(max(self.bytes_of) + 1)]
+        self.flat = np.frombuffer(b"".join(by_rank), dtype=np.uint8)
+        self.begins = np.concatenate([[0], np.cumsum([len(t) for t in by_rank])])
         self.byte_ranks = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = {}
         for token, rank in self.ranks.items():
@@ -45,6 +50,17 @@ class Vocabulary:
         self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
 
+    def decoded(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The bytes that the ids of each text stand for. An id that the file lacks is an error."""
+        if len(ids) and (int(ids.max()) >= len(self.begins) - 1 or (self.begins[ids + 1] == self.begins[ids]).any()):
+            raise ValueError("an id without a token")
+        sizes = self.begins[ids + 1] - self.begins[ids]
+        ends = np.cumsum(sizes)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begins[ids] - ends + sizes, sizes)
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        large = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(self.flat[at])])
+        return large.cast(pa.binary())
+
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of tokens; NONE where they make no token or there is no right one (-1)."""
         keys = left << 32 | np.maximum(right, 0)
@@ -132,14 +148,21 @@ def encode_pieces(vocab: Vocabulary, pieces: list[str]) -> list[bytes]:
     return found
 
 
-@cache
 def encoder(path: str, pattern: str) -> PieceEncoder:
-    """Kept by a Python worker from task to task. White space is what Unicode calls so, as in the original pattern."""
+    """One for each task. White space is what Unicode calls so, as in the original pattern."""
     split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
     vocab = vocabulary(path)
     return PieceEncoder(split, lambda pieces: encode_pieces(vocab, pieces))
 
 
+def binaries(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The ids of each text as one binary value."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]) * 4
+    raw = pa.py_buffer(np.ascontiguousarray(ids, dtype="<u4"))
+    large = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), raw])
+    return large.cast(pa.binary())
+
+
 def encode(docs: DataFrame, text: str, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:
     """docs with the ids of each text, as little-endian unsigned 32-bit numbers (binary); NULL counts as empty.
 
@@ -149,7 +172,7 @@ def encode(docs: DataFrame, text: str, path: str, pattern: str, ids: str = "toke
 
     def make() -> Callable[[pa.Array], list]:
         known = encoder(path, pattern)
-        return lambda texts: [pa.array(known.encode(texts.fill_null("").to_pylist()), type=pa.binary())]
+        return lambda texts: [binaries(*known.encode(texts.fill_null("").to_pylist()))]
 
     return with_text_columns(docs, text, StructType([StructField(ids, BinaryType())]), make)
 
@@ -158,22 +181,45 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids", raw: str = "decod
     """docs with the bytes that the ids stand for; NULL ids give NULL. An id that the file lacks is an error."""
 
     def make() -> Callable[[pa.Array], list]:
-        table = vocabulary(path).bytes_of.__getitem__
+        vocab = vocabulary(path)
 
         def work(coded: pa.Array) -> list:
-            plain = [None if x is None else b"".join(map(table, np.frombuffer(x, "<u4").tolist())) for x in coded.to_pylist()]
-            return [pa.array(plain, type=pa.binary())]
+            data, edges = text_bytes(coded)
+            found = vocab.decoded(np.frombuffer(data.tobytes(), "<u4").astype(np.int64), np.diff(edges) // 4)
+            return [pc.if_else(pc.is_valid(coded), found, pa.scalar(None, pa.binary()))]
 
         return work
 
     return with_text_columns(docs, ids, StructType([StructField(raw, BinaryType())]), make)
 
 
+def encode_and_decode(
+    docs: DataFrame, text: str, path: str, pattern: str, ids: str = "token_ids", raw: str = "decoded"
+) -> DataFrame:
+    """encode and then decode in one task, for checks: one Python worker and one vocabulary for both."""
+
+    def make() -> Callable[[pa.Array], list]:
+        known, vocab = encoder(path, pattern), vocabulary(path)
+
+        def work(texts: pa.Array) -> list:
+            found, counts = known.encode(texts.fill_null("").to_pylist())
+            stored = binaries(found, counts)
+            back, edges = text_bytes(stored)
+            return [stored, vocab.decoded(np.frombuffer(back.tobytes(), "<u4").astype(np.int64), np.diff(edges) // 4)]
+
+        return work
+
+    return with_text_columns(docs, text, StructType([StructField(ids, BinaryType()), StructField(raw, BinaryType())]), make)
+
+
 def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, through encode and decode."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, through encode and decode.
+
+    NULL and empty texts have no ids. Rows with equal ids or texts are rows of their own; an empty table gives an empty
+    result. Other columns are not read.
+    """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    coded = encode(plain, "text", path, pattern).drop("text")
-    return decode(coded, path).select(
+    return encode_and_decode(plain, "text", path, pattern).select(
         "doc_id",
         F.floor(F.octet_length("token_ids") / 4).cast(LongType()).alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),

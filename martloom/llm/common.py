@@ -67,12 +67,15 @@ def unit_hash(*columns: Column, seed: int) -> Column:
 
 
 def text_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all strings, one after the other, and where each begins (one more entry than strings).
+    """The UTF-8 bytes of all strings (or binary values), one after the other, and where each begins (one more entry than
+    strings).
 
     NULL counts as the empty string.
     """
-    strings = strings.fill_null("") if strings.null_count else strings
-    strings = strings.cast(pa.large_string())
+    plain = pa.types.is_binary(strings.type) or pa.types.is_large_binary(strings.type)
+    if strings.null_count:
+        strings = strings.fill_null(b"" if plain else "")
+    strings = strings.cast(pa.large_binary() if plain else pa.large_string())
     _, offsets, data = strings.buffers()
     offsets = np.frombuffer(offsets, dtype=np.int64)[strings.offset : strings.offset + len(strings) + 1]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)
