@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import arrow_map, slices
-from martloom.llm.pieces import PieceEncoder
+from martloom.llm.pieces import MOST_REMEMBERED, Remembered, gathered
 from martloom.session import work_folder
 
 BLOCK_IDS = 4 << 20
@@ -34,14 +35,20 @@ MAGIC, VERSION = 0x314D4C54, 1
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + np.uint8(1)
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 DIGITS = "0-9²³¹¼-¾"
-# The split of byte-level vocabularies, for characters up to U+024F; a text with any other goes to the library whole.
-SPLIT = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\s{LETTERS}{DIGITS}]+|\s+(?!\S)|\s+"
-)
+# Kinds of characters up to U+024F; a text with any other goes to the library whole.
 OTHER = re.compile("[^\t\n\r -~¡-ɏ]")
-WORD = re.compile(f" [{LETTERS}]+")
-LINE_WORDS = 600
-ENCODED_BYTES = 4 << 20  # text whose words are looked up together
+SPACE, LETTER, DIGIT, SYMBOL = range(4)
+KINDS = np.array([
+    SPACE if c in "\t\n\r " else LETTER if re.match(f"[{LETTERS}]", c) else DIGIT if re.match(f"[{DIGITS}]", c) else SYMBOL
+    for c in map(chr, range(0x250))
+], dtype=np.uint8)
+# The contractions that the split pattern knows.
+CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
+PLAIN_BYTES = (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))
+# The letter that stands for a byte: its own if it is printable, else one from U+0100 on.
+OTHER_BYTES = [b for b in range(256) if b not in PLAIN_BYTES]
+BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(OTHER_BYTES)}
+ENCODED_BYTES = 6 << 20  # text whose words are looked up together
 
 
 def encode_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,52 +114,123 @@ def unpack(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [x if k else None for x, k in zip(doc_ids.tolist(), known.tolist(), strict=True)], counts.astype(np.int64), ids
 
 
+def cuts_of(points: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where the pieces of byte-level vocabularies begin: runs of letters, of digits and of symbols, each with a single space
+    before it, short endings after an apostrophe, and white space; edges: where texts begin and end.
+
+    Of white space before other characters the last one is not part of its run: a space goes with what follows, any other
+    stands alone.
+    """
+    size = len(points)
+    kinds = KINDS[points]
+    edge = np.zeros(size + 1, dtype=bool)
+    edge[edges] = True
+    new = np.ones(size + 1, dtype=bool)
+    new[1:-1] = kinds[1:] != kinds[:-1]
+    new |= edge
+    # The last of some white space, with something else of the same text behind it.
+    last = np.flatnonzero((kinds == SPACE) & new[1:] & ~edge[1:])
+    new[last] = True
+    new[last[points[last] == ord(" ")] + 1] = False
+    # An apostrophe that begins a piece takes a short ending with it.
+    spots = np.flatnonzero((points == ord("'")) & new[:-1] & ~edge[1:])
+    padded = np.concatenate([points, np.zeros(3, points.dtype)])
+    goes_on = np.concatenate([~new[1:], np.zeros(2, bool)])  # the next character belongs to the same piece
+    one, two = padded[spots + 1], padded[spots + 2]
+    short = np.isin(one, [ord(c) for c in CONTRACTIONS if len(c) == 1])
+    long = np.zeros(len(spots), dtype=bool)
+    for c in CONTRACTIONS:
+        if len(c) == 2:
+            long |= goes_on[spots + 1] & (one == ord(c[0])) & (two == ord(c[1]))
+    new[spots[short | long] + 1] = False
+    new[spots[short] + 2] = True
+    new[spots[long] + 3] = True
+    return np.flatnonzero(new)
+
+
 class LibraryEncoder:
-    """Ids of texts by the tokenizers library, each distinct piece encoded once."""
+    """Ids of texts by the tokenizers library, each distinct piece encoded once. One for each task."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already has a task on each core
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.library = loaded(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        vocab = self.library.get_vocab(with_added_tokens=False)
-        self.size = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
-        self.size[list(vocab.values())] = [len(token) for token in vocab]  # one character stands for one byte
-        self.pieces = PieceEncoder(SPLIT.findall, self.encode_pieces)
+        self.known = Remembered(MOST_REMEMBERED)
 
     def batch(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Words with a space before them are encoded many in a line, and cut apart by their numbers of bytes."""
-        words, others = [], []
-        for piece in pieces:
-            (words if WORD.fullmatch(piece) else others).append(piece)
-        known = dict(zip(others, self.batch(others), strict=True))
-        lines = [words[k : k + LINE_WORDS] for k in range(0, len(words), LINE_WORDS)]
-        for line, coded in zip(lines, self.batch(["".join(line) for line in lines]), strict=True):
-            ends = np.cumsum(self.size[np.frombuffer(coded, "<u4")])
-            cuts = np.searchsorted(ends, np.cumsum([len(w.encode()) for w in line])) + 1
-            begin = 0
-            for word, cut in zip(line, (cuts * 4).tolist(), strict=True):
-                known[word] = coded[begin:cut]
-                begin = cut
-        return [known[p] for p in pieces]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [k for k, t in enumerate(texts) if OTHER.search(t) or any(s in t for s in self.special)]
-        rest = sorted(set(range(len(texts))).difference(whole))
-        found = [b""] * len(texts)
-        for places, way in ((whole, self.batch), (rest, self.pieces.encode)):
-            for k, coded in zip(places, way([texts[k] for k in places]), strict=True):
-                found[k] = coded
-        return found
+        """Pieces are split already: the library's model gets them in the letters that stand for their bytes."""
+        tokens_of, letters = self.library.model.tokenize, BYTE_LETTERS
+        spelled = [
+            p.replace(" ", "Ġ") if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters)
+            for p in pieces
+        ]
+        return [array("I", [t.id for t in tokens_of(x)]).tobytes() for x in spelled]
+
+    def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts of known characters only: cut by numpy, numbered by Arrow."""
+        joined = "".join(texts)
+        edges = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        if not joined:
+            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+        raw = joined.encode()
+        if len(raw) == len(joined):
+            cuts = cuts_of(np.frombuffer(raw, np.uint8), edges)
+            spans = cuts
+        else:
+            points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+            cuts = cuts_of(points, edges)
+            at_byte = np.zeros(len(points) + 1, dtype=np.int64)
+            np.cumsum(1 + (points >= 0x80), out=at_byte[1:])
+            spans = at_byte[cuts]
+        strings = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(spans.astype(np.int64)), pa.py_buffer(raw))
+        coded = strings.dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        found, missing = self.known.find(pieces)
+        if missing:
+            made = self.encode_pieces(missing)
+            self.known.add(missing, made)
+            rest = iter(made)
+            found = [next(rest) if x is None else x for x in found]
+        ids, counts = gathered(found, np.asarray(coded.indices).astype(np.int64))
+        before = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(cuts, edges)]
+        return ids, np.diff(before)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, text after text, and the number of ids of each text."""
+        whole = np.array([OTHER.search(t) is not None or any(s in t for s in self.special) for t in texts], dtype=bool)
+        if not whole.any():
+            return self.plain(texts)
+        rest, counts = self.plain([t for t, x in zip(texts, whole.tolist(), strict=True) if not x])
+        coded = [np.frombuffer(x, "<u4") for x in self.batch([t for t, x in zip(texts, whole.tolist(), strict=True) if x])]
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        sizes[~whole], sizes[whole] = counts, [len(x) for x in coded]
+        ids = np.empty(int(sizes.sum()), dtype=np.uint32)
+        own = np.repeat(whole, sizes)
+        ids[~own] = rest
+        ids[own] = np.concatenate(coded)
+        return ids, sizes
 
 
 @cache
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def loaded(path: str):
+    """The library's tokenizer, kept by a Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already has a task on each core
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def closed(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
+    """The ids of all texts with the end id after each."""
+    out = np.empty(len(ids) + len(counts), dtype=np.uint32)
+    ends = np.cumsum(counts) + np.arange(len(counts))
+    out[ends] = end_id
+    inside = np.ones(len(out), dtype=bool)
+    inside[ends] = False
+    out[inside] = ids
+    return out
 
 
 BLOCKS = "shard int, block int, n_ids long, payload binary"
@@ -166,33 +244,35 @@ def write_token_files(
 
     path names a byte-level vocabulary of the tokenizers library that every executor has. NULL texts are empty, and an
     empty text is the end id alone. Rows without an id come first; rows with equal ids follow in the order of their texts'
-    hashes. Other columns are not read.
+    hashes. An empty table gives files without a block. Other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, shard, block = library_encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        known, shard, block = LibraryEncoder(path), TaskContext.get().partitionId(), 0
         names: list[int | None] = []
-        coded: list[bytes] = []
+        coded: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         held = 0
 
         def out() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(coded), "<u4")
-            payload = pack(names, [len(x) // 4 for x in coded], ids)
+            ids = np.concatenate(coded)
+            payload = pack(names, np.concatenate(sizes).tolist(), ids)
             columns = [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([payload], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["shard", "block", "n_ids", "payload"])
 
         for batch in batches:
             for part in slices(batch, "text", ENCODED_BYTES):
                 names += part.column("doc_id").to_pylist()
-                coded += [x + end for x in known.encode(part.column("text").fill_null("").to_pylist())]
-                held += sum(len(x) for x in coded[-part.num_rows :]) // 4
+                ids, counts = known.encode(part.column("text").fill_null("").to_pylist())
+                coded.append(closed(ids, counts, end_id))
+                sizes.append(counts + 1)
+                held += len(coded[-1])
                 if held >= block_ids:
                     yield out()
-                    names, coded, held, block = [], [], 0, block + 1
+                    names, coded, sizes, held, block = [], [], [], 0, block + 1
         if coded:
             yield out()
 
