@@ -1,30 +1,32 @@
-"""Exact duplicates by grouping on hash and text, and an extendible-hash directory over the result, with DataFrame
-functions only.
+"""Exact duplicates through an extendible-hash index over the texts, with DataFrame functions only.
 
-A plain groupBy over hash and bytes finds the copies, and a join on hash and SHA-256 brings the verdicts to the documents.
-The directory is made from the distinct texts after that; it decides no result, no owner and no lookup.
+The directory comes first, in the way of extendible hashing (Fagin et al., 1979): it maps the leading bits of a 64-bit hash to
+buckets. It starts with one bucket; each round doubles the directory and splits the buckets that hold more distinct hashes
+than fit, while the others keep their fewer bits. Copies share one hash and never overfill a bucket.
 
-The directory is built in the way of extendible hashing (Fagin et al., 1979). A directory maps the leading bits of a 64-bit
-hash to buckets. It starts with one bucket; each round doubles the directory and splits the buckets that hold more
-distinct hashes than fit, while the others keep their fewer bits. Copies share one hash and never overfill a bucket.
-A bucket is a range of hashes; the owners of the stored entries are ranges that Spark's range shuffle picks by itself. Texts
-with equal hashes are grouped by their bytes, so a collision makes a second entry and never a false copy.
+A bucket is a range of hashes. Neighbouring buckets are dealt to owners, so that each owner has about as many hashes; a text
+goes to the owner of its bucket. There texts of one bucket and hash are chained and compared by their bytes, so a collision
+makes a second entry and never a false copy. The index files in the shared folder hold one entry for each distinct text, in
+a folder for each owner, and a document finds its entry through the directory: by owner, bucket, hash and SHA-256.
 
 Copies are combined in each task before anything is shuffled, so a text that makes up a third of all rows costs one row
-for each task. The index files in the shared folder hold one entry for each distinct text, ordered by hash within the
-range of their owner.
+for each task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import stored
 
 BLANKS = r"[\x20\x09-\x0D]+"
 # Distinct hashes in a bucket of the directory; documented size of an owner's smallest unit of work.
-BUCKET_ENTRIES = 1 << 14
+BUCKET_ENTRIES = 1 << 16
+# Entries of one owner, about: what a task chains at a time.
+OWNER_ENTRIES = 1 << 20
+# Bits by which the directory is cut into stretches that are put in order on their own.
+PART_BITS = 12
 # The directory looks at no more than the leading 40 bits: 2^40 buckets.
 MOST_BITS = 40
 
@@ -70,12 +72,38 @@ def directory(keys: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
     return settled
 
 
+def owned(buckets: DataFrame, entries: int = OWNER_ENTRIES) -> DataFrame:
+    """The directory with the owner of each bucket: owners hold neighbouring buckets and about so many entries each.
+
+    Entries are counted by the leading bits first, so that no task has to put all buckets in order; a stretch of the
+    directory that has more than one owner's entries has owners of its own.
+    """
+    first = prefix_of_bucket(F.col("depth"), F.col("bucket"))
+    parts = buckets.withColumn("part", F.shiftrightunsigned(first, 64 - PART_BITS).cast("int")).withColumn("first", first)
+    sizes = parts.groupBy("part").agg(F.sum("entries").alias("held"))
+    # At most 2^PART_BITS rows.
+    before = F.sum("held").over(Window.orderBy("part")) - F.col("held")
+    begins = sizes.select("part", before.alias("before"))
+    inside = F.sum("entries").over(Window.partitionBy("part").orderBy(F.col("first").bitwiseXOR(F.lit(-(1 << 63)).cast("long")))) - F.col("entries")
+    placed = parts.join(F.broadcast(begins), "part").withColumn("at", F.col("before") + inside)
+    return placed.select("depth", "bucket", F.floor(F.col("at") / entries).cast("long").alias("owner"))
+
+
+def prefix_of_bucket(depth: Column, bucket: Column) -> Column:
+    """The least hash of a bucket."""
+    return F.when(depth > 0, F.call_function("shiftleft", bucket, (F.lit(64) - depth).cast("int"))).otherwise(F.lit(0).cast("long"))
+
+
 def placed(keys: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Each key with its bucket: for every depth that the directory uses, the leading bits are looked up."""
+    """Each key with its bucket and owner: for every depth that the directory uses, the leading bits are looked up.
+
+    A key is in exactly one bucket. Keys that the directory was not built for would be in one too, but a directory that lacks
+    a bucket loses its keys.
+    """
     depths = [r["depth"] for r in buckets.select("depth").distinct().collect()]  # at most MOST_BITS + 1
     at = F.array(*[F.struct(F.lit(d).alias("depth"), prefix(F.col("key"), d).alias("bucket")) for d in sorted(depths) or [0]])
     wide = keys.withColumn("at", F.explode(at)).select("*", "at.*").drop("at")
-    return wide.join(buckets.select("depth", "bucket"), ["depth", "bucket"], "left_semi")
+    return wide.join(buckets, ["depth", "bucket"])
 
 
 def exact_duplicates(
@@ -95,26 +123,20 @@ def exact_duplicates(
         F.xxhash64(norm).alias("key"),
         F.length(F.coalesce("raw", F.lit(""))).alias("points"),
     )
+    buckets = stored(owned(directory(rows, capacity)), "hash-directory")
     best = F.max(F.struct("points", F.bitwise_not("doc_id").alias("unlike")))
-    # Equal keys meet in one task and are compared byte by byte, as part of the grouping; a task combines its own first.
-    chains = rows.groupBy("key", "norm").agg(F.count("*").alias("group_size"), best.alias("best"))
-    entries = stored(
-        chains.select(
-            "key",
-            F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
-            F.bitwise_not("best.unlike").alias("keep_id"),
-            "group_size",
-        ),
-        "hash-entries",
-    )
-    buckets = stored(directory(entries, capacity), "hash-directory")
-    index = stored(
-        placed(entries, buckets).repartitionByRange("key").sortWithinPartitions("key", "text_sha256"), "hash-index"
-    )
+    # A chain is what one bucket holds of one hash; its texts are compared byte by byte, as part of the grouping, and a task
+    # combines its own first.
+    chains = placed(rows, buckets).groupBy("owner", "depth", "bucket", "key", "norm").agg(F.count("*").alias("group_size"), best.alias("best"))
+    entries = chains.select(
+        "owner", "depth", "bucket", "key", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+        F.bitwise_not("best.unlike").alias("keep_id"), "group_size",
+    )
+    index = stored(entries.repartitionByRange("owner", "key").sortWithinPartitions("owner", "bucket", "key"), "hash-index")
     asked = docs.select(F.col(doc_id).alias("doc_id"), normalised(F.col(text)).alias("norm")).select(
         "doc_id", F.xxhash64("norm").alias("key"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
     )
-    found = asked.join(index.select("key", "text_sha256", "keep_id", "group_size"), ["key", "text_sha256"])
+    found = placed(asked, buckets).join(index, ["owner", "depth", "bucket", "key", "text_sha256"])
     return found.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
