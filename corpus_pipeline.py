@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, token_ids (binary, little-endian), n_tokens, and whether the ids decode to the text."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", path, pattern), path)
+    coded = bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), "text", path, pattern)
     same = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")
     return coded.select(
         "doc_id", "lang", "source", "token_ids", F.floor(F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
