@@ -4,6 +4,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.operators import facts
 from martloom.operators.incremental import FactTable, latest_per_key, month_of_key
@@ -255,3 +256,49 @@ def test_a_dead_load_leaves_the_index_as_it_was(spark, stored):
     spark.createDataFrame([("a", 202405)], "id string, period int").write.parquet(f"{stored.folder}/keys/version=2/bucket=0")
     stored.upsert(rows(spark, ("a", "2024-02-01", 2)))
     assert contents(stored) == {"a": ("2024-02-01", 2)}
+
+
+def test_a_load_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
+    """Nothing sorts the rows of a load by key, and an index that is written anew is written once."""
+    from martloom.operators import incremental
+
+    monkeypatch.setattr(incremental, "latest_per_key", None)
+    table = FactTable(spark, str(tmp_path), "id", "day", month_of_key("date_key"), bucket_keys=40)
+    table.upsert(many_rows(spark, 0, 300))
+    table.upsert(many_rows(spark, 300, 400, "2024-03-05", 2))
+    assert table.read().count() == 400
+    indexes = {p.name for p in Path(tmp_path, "keys").iterdir()}
+    assert indexes == {"version=1-packed", "version=2-packed"}
+
+
+def test_periods_may_be_replaced_whole(spark, stored, monkeypatch):
+    stored.upsert(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 1), ("c", "2024-02-01", 1), ("d", "2024-03-01", 1)))
+    with_rows = stored._store
+    kept = []
+    monkeypatch.setattr(stored, "_store", lambda df, path: kept.append(path.split("kind=")[1]) or with_rows(df, path))
+    # January is built again, without b, and c has moved into it.
+    stored.upsert(rows(spark, ("a", "2024-01-01", 2), ("c", "2024-01-09", 2)), replaced=[202401])
+    assert contents(stored) == {"a": ("2024-01-01", 2), "c": ("2024-01-09", 2), "d": ("2024-03-01", 1)}
+    assert kept == ["new", "kept"] and sum(n for _, n in stored.live().index.values()) == 3
+    stored.upsert(rows(spark, ("x", "2024-01-01", 1)).where("false"), replaced=[202401, 202403])
+    assert stored.read() is None
+    stored.upsert(rows(spark, ("b", "2024-04-01", 3)))
+    assert contents(stored) == {"b": ("2024-04-01", 3)}
+
+
+def test_states_of_a_key_in_several_periods(spark, stored):
+    stored.upsert(rows(spark, ("a", "2024-01-01", 1), ("a", "2024-02-03", 2), ("b", "2024-01-02", 3), ("c", "2024-03-01", 4)))
+    assert contents(stored) == {"a": ("2024-02-03", 2), "b": ("2024-01-02", 3), "c": ("2024-03-01", 4)}
+    assert {r["period"] for r in stored.known_keys(stored.live(), {0}).where("id = 'a'").collect()} == {202402}
+
+
+def test_keys_are_packed_one_to_one(spark):
+    from martloom.functions.keys import packed, unpacked
+
+    hashed = "00ff" * 8
+    texts = [None, "", "a", hashed, hashed.upper(), hashed[:-1], hashed + "0", "z" * 32, "0123456789abcdef", "=" * 17, "é-1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed(F.col("t")).alias("p"))
+    got = df.select("t", "p", unpacked("p").alias("back")).collect()
+    assert [r["back"] for r in got] == [r["t"] for r in got]
+    assert len({bytes(r["p"]) for r in got if r["t"] is not None}) == len(texts) - 1
+    assert [len(r["p"]) for r in got if r["t"] == hashed] == [16]
