@@ -158,3 +158,14 @@ def test_credits_are_part_of_the_daily_table(spark):
     assert len(only_credit) == 3 and {r["total_spend"] for r in only_credit} == {money(0)}
     days = attributed_daily(credits, *m.hierarchy)
     assert {(r["date"].day, r["ad_set_id"]) for r in days.collect()} == {(2, 1), (2, 2), (2, 3), (6, 1), (6, 2), (6, 3)}
+
+
+def test_shares_are_sorted_once_by_key(spark):
+    """One list per key serves all parts: no sort for each weight, and no wide rows in one."""
+    df = spark.createDataFrame([(1, n, 10) for n in range(4)], "k int, n int, whole int").selectExpr("k", "n", "CAST(whole AS DECIMAL(18,2)) AS whole")
+    got = shared_out(df, "whole", {"a": F.col("n"), "b": F.lit(1), "c": F.lit(2)}, ["k"], ["n"])
+    text = plan(got)
+    assert "Window" not in text and text.count("Exchange hashpartitioning") == 1
+    assert [tuple(map(float, r[3:])) for r in got.orderBy("n").collect()] == [
+        (0.0, 2.5, 2.5), (1.67, 2.5, 2.5), (3.33, 2.5, 2.5), (5.0, 2.5, 2.5)
+    ]

@@ -170,3 +170,9 @@ def test_own_settings_are_kept(spark):
     tune(fresh)
     assert fresh.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
     assert fresh.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_shuffles_grow_with_small_inputs_too(spark):
+    """A task sorts no more of 6 GB than of 1 GB."""
+    with settings(spark, **{"spark.sql.shuffle.partitions": "8", INITIAL_PARTITIONS: "8"}):
+        assert size_shuffles(spark, 1 << 30) == 64 and size_shuffles(spark, 6 << 30) == 384
