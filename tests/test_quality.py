@@ -39,3 +39,12 @@ def test_empty_table_passes(spark):
     assert listed(quality.unique(empty, "t", ["id"])) == {("t", "id", "unique"): 0}
     parents = {"parent": (spark.createDataFrame([(1,)], "k int"), "k")}
     assert listed(quality.relationships(empty, "t", parents)) == {("t", "parent", "relationships"): 0}
+
+
+def test_hashes_are_counted_as_bytes(spark):
+    one, two = "ab" * 16, "cd" * 16
+    df = spark.createDataFrame([(one,), (one,), (two,), (one.upper(),), (None,)], "k string")
+    assert {len(r["value"]) for r in quality._value_counts(df, ["k"]).collect()} == {16, 17 + 32}
+    assert listed(quality.unique(df, "t", ["k"])) == {("t", "k", "unique"): 1}
+    parent = spark.createDataFrame([(one,)], "k string")
+    assert listed(quality.relationships(df, "t", {"k": (parent, "k")})) == {("t", "k", "relationships"): 2}
