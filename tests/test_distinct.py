@@ -26,3 +26,14 @@ def test_bitmaps_count_like_distinct_counts(spark):
     assert bag(distinct_counts(both, ["place", "month"], n_x="x", n_y="y")) == bag(got)
     assert "partial_bitmap_construct_agg" in plan(state)
     assert bitmaps(df.where("false"), ["place"], ["x"]).collect() == []
+
+
+def test_sparse_ids_take_little(spark):
+    """Ids that lie apart: a state of 32 bytes each, and no 4 KB bitmaps in a shuffle or a sort."""
+    df = spark.range(50).selectExpr("CAST(id % 2 AS STRING) AS place", "id * 100000 AS n")
+    state = bitmaps(df, ["place"], ["n"])
+    assert {len(r["bits"]) for r in state.collect()} == {32}
+    for found in (bitmaps(df, ["place"], ["n"]), merged(bitmaps(df, ["place"], ["n"]), ["place"])):
+        # Of the aggregates only the one that finds each id once sends its rows on.
+        assert plan(found).count("ENSURE_REQUIREMENTS") == 1
+    assert bag(distinct_counts(state, ["place"], n="n")) == bag(df.groupBy("place").agg(F.count_distinct("n").alias("n")))
