@@ -169,3 +169,13 @@ def test_shares_are_sorted_once_by_key(spark):
     assert [tuple(map(float, r[3:])) for r in got.orderBy("n").collect()] == [
         (0.0, 2.5, 2.5), (1.67, 2.5, 2.5), (3.33, 2.5, 2.5), (5.0, 2.5, 2.5)
     ]
+
+
+def test_odd_cents_of_equal_touches_go_by_place(spark):
+    """A purchase that is listed twice: its rows differ by their place only, and the first gets the cent that is left."""
+    touches = spark.sql("SELECT 1L person_id, 56L ad_id, TIMESTAMP_NTZ'2024-01-01 08:00:00' touched_at, 5L touch_id")
+    once = spark.sql("SELECT 92L purchase_id, 1L person_id, TIMESTAMP_NTZ'2024-01-01 12:00:00' bought_at, CAST(45.01 AS DECIMAL(18,2)) value")
+    got = attribution_credits(touches, once.union(once)).orderBy("first_credit").collect()
+    assert [[str(r[c]) for c in CREDITS] for r in got] == [
+        ["0.00", "45.01", "22.50", "22.50", "22.50"], ["45.01", "0.00", "22.51", "22.51", "22.51"]
+    ]
