@@ -238,8 +238,11 @@ class PrefixCounter:
             made = [array("i", counts).tobytes() for counts in self.merges.prefix_counts(new)]
             if self.held > MOST_REMEMBERED:
                 self.seen, self.held = {}, 0
-            self.seen.update(zip(new, made, strict=True))
-            self.held += sum(220 + 5 * len(p) for p in new)
+            for piece, counts in zip(new, made, strict=True):
+                if self.held > MOST_REMEMBERED:
+                    break  # one call may bring more than there is room for
+                self.seen[piece] = counts
+                self.held += 220 + 5 * len(piece)
             rest = iter(made)
             found = [next(rest) if known is None else known for known in found]
         return found
