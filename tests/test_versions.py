@@ -200,3 +200,13 @@ def test_sorted_sequences_hold_distinct_days_only(spark):
     times = many.join(orders.select("order_id", F.to_date("order_date").alias("day")), "order_id")
     found = as_of(times, history.withColumnRenamed("effective_date", "since"), "product_id", "day", "since", ["price"])
     assert found.count() == found.select("product_id", "day").distinct().count() <= 8 * 30
+
+
+def test_a_version_is_shuffled_once_however_many_days_are_asked_for(spark):
+    """Versions of many years, found by year and then by day; nothing is made for the months that facts lie in."""
+    start = date(2001, 1, 1)
+    versions = [(1, start + timedelta(days=n), f"v{n}") for n in range(0, 4000, 37)] + [(2, start + timedelta(days=400), "w")]
+    times = [(1 + n % 2, start + timedelta(days=n * 11 - 20)) for n in range(400)] + [(3, start), (None, start), (1, None)]
+    got = with_version(asked(spark, times), known(spark, versions), "k", "day", "since", ["value"])
+    assert sorted(tuple(r) for r in got.select("n", "k", "day", "value").collect()) == sorted(plain_as_of(times, versions), key=lambda r: r[0])
+    assert plan(got).count("Exchange hashpartitioning") == 2 and "Window" not in plan(got)
