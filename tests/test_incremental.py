@@ -302,3 +302,50 @@ def test_keys_are_packed_one_to_one(spark):
     assert [r["back"] for r in got] == [r["t"] for r in got]
     assert len({bytes(r["p"]) for r in got if r["t"] is not None}) == len(texts) - 1
     assert [len(r["p"]) for r in got if r["t"] == hashed] == [16]
+
+
+def shuffle_files(spark) -> set:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p for f in folders for p in Path(f.getPath()).rglob("shuffle_*.data")}
+
+
+def test_a_load_leaves_no_shuffle_files(spark, stored):
+    """Rows dealt by month and keys dealt by bucket are gone when the load is done, also of a load that replaces rows."""
+    before = shuffle_files(spark)
+    stored.upsert(many_rows(spark, 0, 5000))
+    stored.upsert(many_rows(spark, 4000, 6000, "2024-03-05", 2))
+    assert stored.read().count() == 6000
+    left = {p for p in shuffle_files(spark) - before if p.stat().st_size > 2000}
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_rows_may_come_in_parts(spark, stored):
+    """Parts become visible together; a key that two parts have stays once, and an empty part is no harm."""
+    nothing = many_rows(spark, 0, 1).where("false")
+    stored.upsert([many_rows(spark, 0, 30), nothing, many_rows(spark, 20, 50, "2024-02-01", 2)])
+    assert stored.live().version == 1
+    assert {(r["id"], r["value"]) for r in stored.read().collect()} == {(f"k{k}", 2 if k >= 20 else 1) for k in range(50)}
+    assert stored.read().count() == 50 and sum(n for _, n in stored.live().index.values()) == 50
+    stored.upsert([nothing, nothing])
+    assert stored.live().version == 1
+
+
+def test_a_fact_in_parts_is_the_fact(spark, tmp_path):
+    """Orders and lines of large files are built part by part: together all rows, each once, none in two parts."""
+    from martloom.plans.warehouse import MOST_PARTS
+
+    orders = [order(i, day=f"2024-0{1 + i % 4}-11") for i in range(1, 60)]
+    w = shop(spark, orders, [line(i, 1 + i % 70) for i in range(1, 200)])
+    for name in ("Orders", "Order_Items"):
+        w.inputs[name].write.parquet(f"{tmp_path}/{name}")
+        w.inputs[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    for name, after in (("fact_sales", at("2024-02-20")), ("fact_order_summary", None)):
+        parts = w.fact_in_parts(name, after, part_bytes=1)
+        assert len(parts) == MOST_PARTS and len(w.fact_in_parts(name, after)) == 1
+        rows = [bag(part) for part in parts]
+        assert sorted(r for part in rows for r in part) == bag(w.fact(name, after)) and sum(map(bool, rows)) > 2
+    key, time_column, date_key = facts.LOADS["fact_sales"]
+    table = FactTable(spark, str(tmp_path / "sales"), key, time_column, month_of_key(date_key))
+    table.load(lambda mark: w.fact_in_parts("fact_sales", mark, part_bytes=1))
+    assert bag(table.read().select(w["fact_sales"].columns)) == bag(w["fact_sales"])

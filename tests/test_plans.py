@@ -176,3 +176,14 @@ def test_shuffles_grow_with_small_inputs_too(spark):
     """A task sorts no more of 6 GB than of 1 GB."""
     with settings(spark, **{"spark.sql.shuffle.partitions": "8", INITIAL_PARTITIONS: "8"}):
         assert size_shuffles(spark, 1 << 30) == 64 and size_shuffles(spark, 6 << 30) == 384
+
+
+def test_broadcasts_are_bounded_by_rows_in_memory(spark, tmp_path):
+    """Half a million rows whose files are small are not sent through the driver."""
+    fresh = tune(spark.newSession())
+    keys = fresh.range(500_000).selectExpr("id AS k", "md5(CAST(id % 10 AS STRING)) AS v")
+    keys.write.parquet(str(tmp_path / "keys"))
+    stored = fresh.read.parquet(str(tmp_path / "keys"))
+    assert 1 << 21 < stored_bytes(stored) < 10 << 20
+    text = plan(fresh.range(1 << 24).selectExpr("id % 7 AS k").join(stored, "k"))
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
