@@ -48,3 +48,27 @@ def test_hashes_are_counted_as_bytes(spark):
     assert listed(quality.unique(df, "t", ["k"])) == {("t", "k", "unique"): 1}
     parent = spark.createDataFrame([(one,)], "k string")
     assert listed(quality.relationships(df, "t", {"k": (parent, "k")})) == {("t", "k", "relationships"): 2}
+
+
+def test_stored_checks_are_the_checks(spark, tmp_path):
+    """One check after the other, each stored: the same rows, and none of their shuffle files is left."""
+    from martloom.plans.registry import queries
+    from tests.test_incremental import shuffle_files
+
+    asked = []
+
+    def tables(name):
+        asked.append(name)
+        rows = spark.range(9000 if name == "stg_orders" else 3)
+        columns = {c for declared in (quality.NOT_NULL, quality.UNIQUE) for c in declared.get(name, ())}
+        return rows.select(*[rows.id.alias(c) for c in sorted(columns)])
+
+    before = shuffle_files(spark)
+    stored = quality.all_unique(tables, str(tmp_path / "checks"))
+    assert not {p for p in shuffle_files(spark) - before if p.stat().st_size > 20_000}
+    assert asked == list(quality.UNIQUE)
+    assert listed(stored) == listed(quality.all_unique(tables)) and stored.count() == 32
+    found = queries()["dq_unique"](spark, "/root/testdata/sf0.001")
+    assert found.columns == ["table_name", "column_name", "test", "failures"] and found.count() == 32
+    # What is returned reads the stored results, and no model.
+    assert all("unique-" in f for f in found.inputFiles()) and "Union" not in found._jdf.queryExecution().executedPlan().toString()
