@@ -100,3 +100,18 @@ def test_sales_from_two_streams(spark, tmp_path):
     assert bag(table.read().select(wanted.columns)) == bag(wanted)
     crossed = [k for k, t in received.items() if (t < limits[1]) != (orders[lines[int(k) - 1]["order_id"] - 1]["order_date"] < limits[1])]
     assert len(crossed) >= 2
+
+
+def test_a_stream_keeps_two_states_and_leaves_the_session_as_it_was(spark, tmp_path):
+    folder = str(tmp_path / "events")
+    names = [*streams.STATE]
+    before = [spark.conf.get(n, None) for n in names]
+    for n in range(5):
+        write_file(spark, EVENTS[n : n + 1], folder, f"e{n}", n)
+    seen = []
+    stream = streams.ad_daily(streams.read_events(spark, folder, files_per_batch=1))
+    streams.run_to_end(stream, str(tmp_path / "at"), lambda batch: seen.append(batch.sparkSession.conf.get(names[-1])) or batch.count())
+    assert set(seen) == {"2"} and len(seen) >= 5
+    assert [spark.conf.get(n, None) for n in names] == before
+    # Of the batches' commits no more than the last ones are kept.
+    assert len([f for f in os.listdir(tmp_path / "at" / "commits") if f.isdigit()]) <= 4
